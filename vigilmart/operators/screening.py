@@ -55,32 +55,27 @@ def _deletion_variants(text: Column, distance: int) -> Column:
     return F.array_distinct(F.flatten(F.array(*rings)))
 
 
-def _chunk_start(length: Column, part: int, parts: int) -> Column:
-    return F.floor(length * part / parts).cast("int") + 1
-
-
-def _chunk_keys(text: Column, length: Column, parts: int, shift: int) -> Column:
-    """Keys of the substrings of ``text`` where a name of ``length`` has its chunks."""
-    keys = []
-    for part in range(parts):
-        start = _chunk_start(length, part, parts)
-        size = _chunk_start(length, part + 1, parts) - start
-        for offset in range(-shift, shift + 1):
-            chunk = F.struct(
-                length.cast("int").alias("length"),
-                F.lit(part).alias("part"),
-                F.substring(text, start + offset, size).alias("chunk"),
-            )
-            keys.append(F.when(start + offset > 0, F.xxhash64(chunk["length"], chunk["part"], chunk["chunk"])))
-    return F.array_compact(F.array_distinct(F.array(*keys)))
-
-
-def _probe_keys(text: Column, distance: int) -> Column:
-    by_length = [
-        _chunk_keys(text, F.length(text) + delta, distance + 1, distance)
-        for delta in range(-distance, distance + 1)
-    ]
-    return F.array_distinct(F.flatten(F.array(*by_length)))
+def _chunk_keys(text: Column, lengths: Column, parts: int, shift: int) -> Column:
+    """Keys of the substrings of ``text`` where names of the given lengths have their chunks,
+    each looked for up to ``shift`` places to either side."""
+
+    def start_of(length: Column, part: Column) -> Column:
+        return F.floor(length * part / parts).cast("int") + 1
+
+    def keys_of(length: Column, part: Column) -> Column:
+        start = start_of(length, part)
+        size = start_of(length, part + 1) - start
+        places = F.filter(F.sequence(start - shift, start + shift), lambda place: place > 0)
+        return F.transform(
+            places, lambda place: F.xxhash64(length, part, F.substring(text, place, size))
+        )
+
+    part_numbers = F.array(*[F.lit(part) for part in range(parts)])
+    per_length = F.transform(
+        lengths,
+        lambda length: F.flatten(F.transform(part_numbers, lambda part: keys_of(length, part))),
+    )
+    return F.array_distinct(F.flatten(per_length))
 
 
 def _variant_keys(text: Column, distance: int) -> Column:
@@ -103,12 +98,13 @@ def similar_names(names: DataFrame, listed: DataFrame, max_distance: int) -> Dat
     name, other = F.col("match_name"), F.col("listed_name")
     length, other_length = F.length(name), F.length(other)
     parts = max_distance + 1
+    near_lengths = F.sequence(length - max_distance, length + max_distance)
     listed_keys = F.when(
         other_length <= LONG_NAME, _variant_keys(other, max_distance)
-    ).otherwise(_chunk_keys(other, other_length, parts, 0))
+    ).otherwise(_chunk_keys(other, F.array(other_length), parts, 0))
     name_keys = F.concat(
         _or_empty(length <= LONG_NAME + max_distance, _variant_keys(name, max_distance)),
-        _or_empty(length > LONG_NAME - max_distance, _probe_keys(name, max_distance)),
+        _or_empty(length > LONG_NAME - max_distance, _chunk_keys(name, near_lengths, parts, max_distance)),
     )
     # Written first: the planner would otherwise judge the broadcast by the size of the
     # list, not of its many keys.

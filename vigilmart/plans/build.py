@@ -6,16 +6,17 @@ executor costs at most the running step, and the planner knows the size of each
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vigilmart import settings
 from vigilmart.operators import governance, quality, scd2, silver, star
 from vigilmart.sources.bronze import bronze_load, read_bronze
-from vigilmart.sources.files import ENTITIES
 from vigilmart.sources.workspace import write_table
 
 
@@ -47,8 +48,11 @@ class Mart:
         )
 
 
-def layer(root: str, name: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{name}/{table}"
+def side_by_side(*steps: Callable[[], Any]) -> list[Any]:
+    """Run independent steps at the same time, so small jobs fill the cluster together."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(step) for step in steps]
+        return [step.result() for step in running]
 
 
 def build(
@@ -66,34 +70,59 @@ def build(
     With ``expected_rows`` the scorecard must pass, or the build raises.
     """
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-    bronze_load(spark, landing, f"{root}/raw", as_of)
-    bronze = {entity: read_bronze(spark, f"{root}/raw", entity) for entity in ENTITIES}
-
-    accounts = write_table(silver.accounts(bronze["accounts"]), layer(root, "silver", "accounts"))
-    transactions = write_table(
-        silver.transactions(bronze["transactions"]), layer(root, "silver", "transactions")
-    )
-    watchlist = write_table(silver.watchlist(bronze["watchlist"]), layer(root, "silver", "watchlist"))
-
-    source = silver.customer_src(bronze["customers"])
-    if previous_customers is None:
-        versions = scd2.first_load(source, as_of)
-    else:
-        versions = scd2.apply_snapshot(previous_customers, source, as_of)
-    versions = governance.classify(versions, settings.CUSTOMER_TAGS)
-    dim_customer = write_table(versions, layer(root, "silver", "dim_customer"))
-
-    dim_date = write_table(star.dim_date(spark), layer(root, "gold", "dim_date"))
-    dim_branch = write_table(star.dim_branch(dim_customer), layer(root, "gold", "dim_branch"))
-    dim_transaction_type = write_table(
-        star.dim_transaction_type(transactions), layer(root, "gold", "dim_transaction_type")
-    )
-    dim_account = write_table(star.dim_account(accounts), layer(root, "gold", "dim_account"))
-    fact = write_table(
-        star.fact_transaction(
-            transactions, dim_account, dim_transaction_type, dim_customer, dim_branch, dim_date
-        ),
-        layer(root, "gold", "fact_transaction"),
+    raw = f"{root}/raw"
+
+    def loaded(entity: str) -> DataFrame:
+        bronze_load(spark, landing, raw, as_of, entities=(entity,))
+        return read_bronze(spark, raw, entity)
+
+    def written(df: DataFrame, layer: str, table: str) -> DataFrame:
+        return write_table(df, f"{root.rstrip('/')}/{layer}/{table}")
+
+    def account_chain() -> tuple[DataFrame, ...]:
+        rows = loaded("accounts")
+        accounts = written(silver.accounts(rows), "silver", "accounts")
+        return rows, accounts, written(star.dim_account(accounts), "gold", "dim_account")
+
+    def transaction_chain() -> tuple[DataFrame, ...]:
+        rows = loaded("transactions")
+        transactions = written(silver.transactions(rows), "silver", "transactions")
+        types = star.dim_transaction_type(transactions)
+        return rows, transactions, written(types, "gold", "dim_transaction_type")
+
+    def customer_chain() -> tuple[DataFrame, ...]:
+        rows = loaded("customers")
+        source = silver.customer_src(rows)
+        if previous_customers is None:
+            versions = scd2.first_load(source, as_of)
+        else:
+            versions = scd2.apply_snapshot(previous_customers, source, as_of)
+        versions = governance.classify(versions, settings.CUSTOMER_TAGS)
+        dim_customer = written(versions, "silver", "dim_customer")
+        return rows, dim_customer, written(star.dim_branch(dim_customer), "gold", "dim_branch")
+
+    def watchlist_chain() -> tuple[DataFrame, ...]:
+        rows = loaded("watchlist")
+        return rows, written(silver.watchlist(rows), "silver", "watchlist")
+
+    def calendar() -> DataFrame:
+        return written(star.dim_date(spark), "gold", "dim_date")
+
+    (
+        (raw_customers, dim_customer, dim_branch),
+        (raw_accounts, accounts, dim_account),
+        (raw_transactions, transactions, dim_transaction_type),
+        (raw_watchlist, watchlist),
+        dim_date,
+    ) = side_by_side(customer_chain, account_chain, transaction_chain, watchlist_chain, calendar)
+    bronze = {
+        "customers": raw_customers,
+        "accounts": raw_accounts,
+        "transactions": raw_transactions,
+        "watchlist": raw_watchlist,
+    }
+    fact = star.fact_transaction(
+        transactions, dim_account, dim_transaction_type, dim_customer, dim_branch, dim_date
     )
     mart = Mart(
         spark=spark,
@@ -107,7 +136,7 @@ def build(
         dim_branch=dim_branch,
         dim_transaction_type=dim_transaction_type,
         dim_account=dim_account,
-        fact=fact,
+        fact=written(fact, "gold", "fact_transaction"),
     )
     if expected_rows is not None:
         quality.enforce(quality.scorecard(mart.quality_tables(), expected_rows))

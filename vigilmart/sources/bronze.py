@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from vigilmart.sources.files import ENTITIES, entity_path, scan_entity
 
 
-def load_instant(as_of: str | datetime | None = None) -> Column:
+def load_instant(as_of: str | datetime | Column | None = None) -> Column:
     """One fixed instant per run: a literal, so that re-evaluation cannot move it."""
+    if isinstance(as_of, Column):
+        return as_of.cast("timestamp_ntz")
     moment = as_of if as_of is not None else datetime.now(timezone.utc).replace(tzinfo=None)
     return F.lit(str(moment)).cast("timestamp_ntz")
 
 
-def as_bronze(rows: DataFrame, as_of: str | datetime | None = None) -> DataFrame:
+def as_bronze(rows: DataFrame, as_of: str | datetime | Column | None = None) -> DataFrame:
     """Rows of a file scan (batch or stream) in bronze form: data, _load_ts, _file."""
     return rows.select(
         F.to_variant_object(F.struct(*[F.col(f"`{name}`") for name in rows.columns])).alias("data"),
@@ -39,10 +41,11 @@ def bronze_load(
         landed.write.mode(mode).parquet(entity_path(raw, entity))
 
 
+BRONZE_SCHEMA = "data VARIANT, _load_ts TIMESTAMP_NTZ, _file STRING"
+
+
 def read_bronze(spark: SparkSession, raw: str, entity: str) -> DataFrame:
-    return spark.read.schema("data VARIANT, _load_ts TIMESTAMP_NTZ, _file STRING").parquet(
-        entity_path(raw, entity)
-    )
+    return spark.read.schema(BRONZE_SCHEMA).parquet(entity_path(raw, entity))
 
 
 def bronze_schema(bronze: dict[str, DataFrame]) -> DataFrame:
