@@ -205,3 +205,27 @@ def test_figures(spark):
         (date(2024, 1, 2), 2),
         (date(2024, 1, 3), 1),
     ]
+
+
+def test_a_customer_with_most_accounts_brings_one_row_per_day(spark, conf):
+    """Between the account join and the customer join the plan sums up by customer."""
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    txns = spark.range(3_000).selectExpr(
+        "id AS txn_id",
+        "id AS account_id",
+        "DATE '2024-01-02' AS txn_date",
+        "cast(10 AS decimal(12,2)) AS amount",
+        "'CASH' AS txn_type",
+        "'CREDIT' AS direction",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS last_modified",
+    )
+    accts = accounts(spark, *[(i, 1 if i % 3 else i) for i in range(3_000)])
+    found = ctr(spark, txns, accts, customers(spark, *range(1, 3_000)))
+    assert rows(found, "customer_id", "cash_txn_count", "total_cash") == [
+        (1, 2_000, Decimal("20000.00"))
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [i for i, line in enumerate(plan.splitlines()) if "SortMergeJoin [customer_id" in line]
+    sums = [i for i, line in enumerate(plan.splitlines()) if "keys=[customer_id" in line and "full_name" not in line]
+    assert any(i > joins[0] for i in sums)

@@ -1,0 +1,20 @@
+"""Join sides whose size is checked before Spark may broadcast them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 1_000_000
+
+
+def counted_side(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table as the small side of a join: broadcast when its row count is within
+    the bound, sort-merged beyond it.
+
+    For joins whose other side Spark would take for small because it cannot see how many
+    rows an explode makes. The rows should be narrow; counting stops one past the bound.
+    """
+    if table.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(table)
+    return table.hint("merge")

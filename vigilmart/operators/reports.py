@@ -19,23 +19,29 @@ def daily_sums(rows: DataFrame, account_key: str) -> DataFrame:
     )
 
 
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("n").alias("n"), money(F.sum("total")).alias("total"))
+
+
 def roll_up_to_customer(
     daily: DataFrame, account_key: str, dim_account: DataFrame, dim_customer: DataFrame
 ) -> DataFrame:
-    """Daily account sums to daily sums of the current customers."""
-    return (
-        daily.join(dim_account.select(account_key, "customer_id"), account_key)
-        .join(current_customers(dim_customer, "full_name"), "customer_id")
-        .groupBy("customer_id", "full_name", "txn_date")
-        .agg(F.sum("n").alias("n"), money(F.sum("total")).alias("total"))
-    )
+    """Daily account sums to daily sums of the current customers.
+
+    They are summed per customer and day before they meet the customers, so a customer with
+    very many accounts brings one row per day to the join.
+    """
+    owned = daily.join(dim_account.select(account_key, "customer_id"), account_key)
+    per_customer = _summed(owned, "customer_id", "txn_date")
+    named = per_customer.join(current_customers(dim_customer, "full_name"), "customer_id")
+    return _summed(named, "customer_id", "full_name", "txn_date")
 
 
 def _customer_days(
     fact: DataFrame, dim_account: DataFrame, dim_customer: DataFrame, rows: Column
 ) -> DataFrame:
-    # Summing per account and day before the joins leaves one row per account and day to
-    # move, so neither a hot account nor a hot customer reaches a join with all its facts.
+    # One row per account and day is all that leaves the scan of the facts, so a hot
+    # account reaches no join with all of them.
     daily = daily_sums(fact.where(rows), "account_sk")
     return roll_up_to_customer(daily, "account_sk", dim_account, dim_customer)
 

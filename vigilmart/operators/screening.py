@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilmart.functions.columns import match_name
+from vigilmart.operators.joins import counted_side
 from vigilmart.sources.workspace import settle
 
 # Above this length the deletion variants of a name outnumber its chunks by far.
-LONG_NAME = 40
+LONG_NAME = 64
 
 
 def _listed_names(watchlist: DataFrame) -> DataFrame:
@@ -106,16 +107,20 @@ def similar_names(names: DataFrame, listed: DataFrame, max_distance: int) -> Dat
         _or_empty(length <= LONG_NAME + max_distance, _variant_keys(name, max_distance)),
         _or_empty(length > LONG_NAME - max_distance, _chunk_keys(name, near_lengths, parts, max_distance)),
     )
-    # Written first: the planner would otherwise judge the broadcast by the size of the
-    # list, not of its many keys.
+    # Neither side may be judged by its size before the explode: the keys of the list are
+    # written and counted, and the names, however many, are never the broadcast side.
     keyed_list = settle(
         listed.where(other.isNotNull()).select("listed_name", F.explode(listed_keys).alias("key")),
         "listed-keys",
     )
+    # Making the keys is the work here, so it is spread wider than the few bytes of the
+    # names would be.
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         names.where(name.isNotNull())
+        .repartition(tasks)
         .select("match_name", F.explode(name_keys).alias("key"))
-        .join(keyed_list, "key")
+        .join(counted_side(keyed_list), "key")
         .select(
             "match_name",
             "listed_name",

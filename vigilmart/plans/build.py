@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vigilmart import settings
 from vigilmart.operators import governance, quality, scd2, silver, star
 from vigilmart.sources.bronze import bronze_load, read_bronze
-from vigilmart.sources.workspace import write_table
+from vigilmart.sources.workspace import write_by_month, write_table
 
 
 @dataclass(frozen=True)
@@ -136,7 +136,7 @@ def build(
         dim_branch=dim_branch,
         dim_transaction_type=dim_transaction_type,
         dim_account=dim_account,
-        fact=written(fact, "gold", "fact_transaction"),
+        fact=write_by_month(fact, f"{root.rstrip('/')}/gold/fact_transaction", "txn_date"),
     )
     if expected_rows is not None:
         quality.enforce(quality.scorecard(mart.quality_tables(), expected_rows))

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_fallback: dict[str, str] = {}
 
@@ -40,6 +41,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_by_month(df: DataFrame, path: str, day: str) -> DataFrame:
+    """Write a large table with one folder per month of ``day``.
+
+    Rebalancing lets Spark cut up large months and join small ones, so file sizes stay even
+    and no task holds a whole month. A filter on ``day`` then skips the files of other
+    months by their statistics.
+    """
+    month = F.date_format(day, "yyyy-MM")
+    monthly = df.withColumn("_month", month).hint("rebalance", "_month")
+    monthly.write.mode("overwrite").partitionBy("_month").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and continue from there."""
     return write_table(df, new_folder(df.sparkSession, label))
