@@ -21,6 +21,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.default.parallelism", "2")
+        .config("spark.sql.codegen.wholeStage", "false")
     )
     session = settings.tuned(builder, shuffle_partitions=2).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

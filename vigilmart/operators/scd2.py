@@ -56,7 +56,7 @@ def _fresh_versions(src: DataFrame, as_of: Instant) -> DataFrame:
     )
 
 
-def _last_key(dim: DataFrame) -> int:
+def last_key(dim: DataFrame) -> int:
     return dim.agg(F.max("customer_sk")).first()[0] or 0
 
 
@@ -95,18 +95,19 @@ def insert_missing(dim: DataFrame, src: DataFrame, as_of: Instant) -> DataFrame:
     """Add a current version for every source customer that has none."""
     has_version = dim.where(_is_current()).select("customer_id")
     fresh = _fresh_versions(src.join(has_version, "customer_id", "left_anti"), as_of)
-    keyed = dense_key(fresh, ["customer_id"], "customer_sk", start=_last_key(dim))
+    keyed = dense_key(fresh, ["customer_id"], "customer_sk", start=last_key(dim))
     return dim.unionByName(keyed)
 
 
-def apply_snapshot(
-    dim: DataFrame,
+def advance(
+    current: DataFrame,
     src: DataFrame,
     as_of: Instant,
+    highest_key: int,
     tracked: Sequence[str] = settings.TRACKED_COLUMNS,
     null_safe: bool = False,
 ) -> DataFrame:
-    """``close_out`` then ``insert_missing`` with one shuffle of the current slice and the source.
+    """The current versions after a snapshot: kept, closed now, and new ones.
 
     Current versions and source rows meet in one exchange on customer_id. A key yields its
     versions, closed where changed, and the source row when no version stays current.
@@ -114,15 +115,13 @@ def apply_snapshot(
     table. ``src`` must have one row per customer_id, as ``silver.customer_src`` gives.
     """
     row = [c for c in DIM_COLUMNS if c != "customer_id"]
-    current = dim.where(_is_current()).select(
-        "customer_id", F.struct(*row).alias("old"), F.lit(None).alias("new")
-    )
+    held = current.select("customer_id", F.struct(*row).alias("old"), F.lit(None).alias("new"))
     incoming = _fresh_versions(src, as_of).withColumn("customer_sk", F.lit(None).cast("bigint"))
     incoming = incoming.select(
         "customer_id", F.lit(None).alias("old"), F.struct(*row).alias("new")
     )
     per_key = Window.partitionBy("customer_id")
-    both = current.unionByName(incoming)
+    both = held.unionByName(incoming)
     # A NULL key matches nothing, so neither test may hold for it.
     keyed_row = F.col("customer_id").isNotNull()
     matched = (
@@ -151,12 +150,22 @@ def apply_snapshot(
     )
     staged = settle(staged.select(*DIM_COLUMNS), "scd2")
     fresh = staged.where("customer_sk IS NULL").drop("customer_sk")
-    keyed = dense_key(fresh, ["customer_id"], "customer_sk", start=_last_key(dim))
-    return (
-        dim.where(~_is_current())
-        .unionByName(staged.where("customer_sk IS NOT NULL"))
-        .unionByName(keyed)
-    )
+    keyed = dense_key(fresh, ["customer_id"], "customer_sk", start=highest_key)
+    return staged.where("customer_sk IS NOT NULL").unionByName(keyed)
+
+
+def apply_snapshot(
+    dim: DataFrame,
+    src: DataFrame,
+    as_of: Instant,
+    tracked: Sequence[str] = settings.TRACKED_COLUMNS,
+    null_safe: bool = False,
+) -> DataFrame:
+    """``close_out`` then ``insert_missing``, with one shuffle of the current slice and the
+    source; closed history passes by."""
+    current = dim.where(_is_current())
+    advanced = advance(current, src, as_of, last_key(dim), tracked, null_safe)
+    return dim.where(~_is_current()).unionByName(advanced)
 
 
 def verify(dim: DataFrame) -> DataFrame:

@@ -105,6 +105,11 @@ def _bronze_land(entity: str, fields: dict[str, str]) -> Query:
     return query
 
 
+def _peek(m: Mart) -> DataFrame:
+    row = bronze.peek(m.bronze["customers"])
+    return row.select(F.to_json("data").alias("data"), "_load_ts", "_file")
+
+
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.file_manifest(spark, built(spark, sf_dir)[0])
 
@@ -332,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "bronze_land_accounts": _bronze_land("accounts", silver.ACCOUNT_FIELDS),
     "bronze_land_watchlist": _bronze_land("watchlist", silver.WATCHLIST_FIELDS),
     "bronze_schema": _of_mart(lambda m: bronze.bronze_schema(m.bronze)),
+    "bronze_peek": _of_mart(_peek),
     "file_manifest": file_manifest,
     "silver_accounts": _of_mart(lambda m: silver.accounts(m.bronze["accounts"])),
     "silver_transactions": _of_mart(lambda m: silver.transactions(m.bronze["transactions"])),

@@ -14,6 +14,7 @@ def write_batch(df: DataFrame, log: str, batch_id: int) -> None:
 
 
 def read_batches(spark: SparkSession, log: str, schema: str) -> DataFrame:
+    """All rows of a log, with the number of their batch."""
     return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(log)
 
 

@@ -30,7 +30,11 @@ def bronze_stream(
     files_per_batch: int | None = None,
 ) -> DataStreamWriter:
     """New files of an entity appended to bronze. The load time is that of the batch, which
-    Spark keeps with the batch's offsets, so a replay writes the same rows."""
+    Spark keeps with the batch's offsets, so a replay writes the same rows.
+
+    A folder is filled by this stream or by batch loads, not by both: readers of a
+    stream's folder see what the stream has committed.
+    """
     rows = stream_files(spark, entity_path(landing, entity), schema, files_per_batch)
     landed = as_bronze(rows, as_of if as_of is not None else F.current_timestamp())
     return landed.writeStream.format("parquet").option("path", entity_path(raw, entity))

@@ -11,16 +11,26 @@ from pyspark.sql.streaming import DataStreamWriter
 from vigilmart import settings
 from vigilmart.operators import scd2
 from vigilmart.operators.silver import customer_src
-from vigilmart.sources.batches import latest_version, publish, read_version
+from vigilmart.sources.batches import latest_version, publish, read_batches, read_version, write_batch
 from vigilmart.streaming.bronze import stream_from_bronze
 from vigilmart.streaming.runs import each_batch
 
 
-def read_history(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    version = latest_version(spark, root, before)
+def read_current(spark: SparkSession, root: str, version: int | None) -> DataFrame:
     if version is None:
         return scd2.empty_dim(spark)
-    return read_version(spark, root, version, scd2.DIM_SCHEMA)
+    return read_version(spark, f"{root}/current", version, scd2.DIM_SCHEMA)
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """The whole history as of the last finished batch."""
+    version = latest_version(spark, f"{root}/current")
+    current = read_current(spark, root, version)
+    if version is None:
+        return current
+    closed = read_batches(spark, f"{root}/closed", scd2.DIM_SCHEMA)
+    # What a batch closed counts once the batch has published its current versions.
+    return current.unionByName(closed.where(F.col("batch_id") <= version).drop("batch_id"))
 
 
 def history_stream(
@@ -32,22 +42,31 @@ def history_stream(
 ) -> DataStreamWriter:
     """Apply the deliveries of the bronze customers in the order of their load time.
 
-    The validity start is the load time found in the rows, not the clock, and a batch
-    continues from the version before its own: replaying it gives the same table. A
-    delivery should reach bronze in one write, so that a batch sees it whole.
+    A batch writes the new current versions and, to a folder of its own, the versions it
+    closed; what earlier batches closed is neither read nor written again. The validity
+    start is the load time found in the rows, not the clock, and a batch continues from the
+    version before its own: replaying it gives the same tables. A delivery should reach
+    bronze in one write, so that a batch sees it whole.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        dim = read_history(session, root, before=batch_id)
-        last = dim.agg(F.max("valid_from")).first()[0]
+        before = latest_version(session, f"{root}/current", before=batch_id)
+        current = read_current(session, root, before)
+        closed = scd2.empty_dim(session)
+        last = current.agg(F.max("valid_from")).first()[0]
         # One value per delivery in the batch.
         loads = [r[0] for r in batch.select("_load_ts").distinct().orderBy("_load_ts").collect()]
         for load in loads:
             if last is not None and load < last:
                 raise ValueError(f"delivery of {load} arrived after that of {last}")
             rows = batch.where(F.col("_load_ts") == F.lit(str(load)).cast("timestamp_ntz"))
-            dim = scd2.apply_snapshot(dim, customer_src(rows), load, tracked)
-        publish(dim, root, batch_id)
+            # New keys go to current versions only, so the highest is among them.
+            highest = scd2.last_key(current)
+            advanced = scd2.advance(current, customer_src(rows), load, highest, tracked)
+            closed = closed.unionByName(advanced.where(~F.col("is_current")))
+            current = advanced.where("is_current")
+        write_batch(closed, f"{root}/closed", batch_id)
+        publish(current, f"{root}/current", batch_id)
 
     return each_batch(stream_from_bronze(spark, raw, "customers", files_per_batch), handle)
