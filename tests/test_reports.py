@@ -23,12 +23,11 @@ def star_of(spark, txns, accts, held):
     return fact, dim_account, held
 
 
-def ctr(spark, txns, accts, held, **options):
-    return reports.ctr_candidates(*star_of(spark, txns, accts, held), **options)
+def ctr(spark, txns, accts, held):
+    return reports.ctr_candidates(*star_of(spark, txns, accts, held))
 
 
-def split(spark, txns, accts, held, **options):
-    return reports.structuring_flags(*star_of(spark, txns, accts, held), **options)
+split = reports.structuring_flags
 
 
 def test_the_limit_itself_is_not_reported(spark):
@@ -58,9 +57,9 @@ def test_only_cash_credits_of_one_day_count(spark):
 
 def test_accounts_of_one_customer_add_up(spark):
     txns = transactions(spark, (1, 10, DAY, "4000"), (2, 11, DAY, "4000"), (3, 11, DAY, "4000"))
-    accts, held = accounts(spark, (10, 1), (11, 1)), customers(spark, 1)
-    assert rows(ctr(spark, txns, accts, held), "cash_txn_count") == [(3,)]
-    assert rows(split(spark, txns, accts, held), "deposit_count") == [(3,)]
+    tables = star_of(spark, txns, accounts(spark, (10, 1), (11, 1)), customers(spark, 1))
+    assert rows(reports.ctr_candidates(*tables), "cash_txn_count") == [(3,)]
+    assert rows(split(*tables), "deposit_count") == [(3,)]
 
 
 def test_a_deposit_at_the_limit_is_no_split_deposit(spark):
@@ -72,11 +71,11 @@ def test_a_deposit_at_the_limit_is_no_split_deposit(spark):
         (6, 20, DAY, "4000"),
         (7, 20, DAY, "4000"),
     )
-    accts, held = accounts(spark, (10, 1), (20, 2)), customers(spark, 1, 2)
-    assert rows(split(spark, txns, accts, held), "customer_id", "deposit_count", "total_cash") == [
+    tables = star_of(spark, txns, accounts(spark, (10, 1), (20, 2)), customers(spark, 1, 2))
+    assert rows(split(*tables), "customer_id", "deposit_count", "total_cash") == [
         (1, 3, Decimal("12000.00"))
     ]
-    assert rows(ctr(spark, txns, accts, held), "customer_id") == [(1,), (2,)]
+    assert rows(reports.ctr_candidates(*tables), "customer_id") == [(1,), (2,)]
 
 
 def test_three_deposits_are_needed(spark):
@@ -86,10 +85,10 @@ def test_three_deposits_are_needed(spark):
         (2, 10, DAY, "9000"),
         *[(i, 20, DAY, "3500") for i in (3, 4, 5)],
     )
-    accts, held = accounts(spark, (10, 1), (20, 2)), customers(spark, 1, 2)
-    assert rows(split(spark, txns, accts, held), "customer_id") == [(2,)]
-    assert rows(split(spark, txns, accts, held, min_deposits=2), "customer_id") == [(1,), (2,)]
-    assert rows(split(spark, txns, accts, held, limit=Decimal(9500)), "customer_id") == [(2,)]
+    tables = star_of(spark, txns, accounts(spark, (10, 1), (20, 2)), customers(spark, 1, 2))
+    assert rows(split(*tables), "customer_id") == [(2,)]
+    assert rows(split(*tables, min_deposits=2), "customer_id") == [(1,), (2,)]
+    assert rows(split(*tables, limit=Decimal(9500)), "customer_id") == [(2,)]
 
 
 def test_null_amounts_count_but_add_nothing(spark):
@@ -165,7 +164,7 @@ def test_empty_inputs(spark):
     fact, dim_account, _ = star_of(spark, txns, accts, held)
     found = reports.ctr_candidates(fact, dim_account, held)
     assert found.count() == 0
-    assert split(spark, txns, accts, held).count() == 0
+    assert split(fact, dim_account, held).count() == 0
     assert rows(reports.layer_counts({"a": txns, "b": accts}), "tbl", "row_count") == [("a", 0), ("b", 0)]
     assert kpis.kpi_summary(fact, found).first().asDict() == {
         "total_cash_credits": None,
@@ -229,3 +228,22 @@ def test_a_customer_with_most_accounts_brings_one_row_per_day(spark, conf):
     joins = [i for i, line in enumerate(plan.splitlines()) if "SortMergeJoin [customer_id" in line]
     sums = [i for i, line in enumerate(plan.splitlines()) if "keys=[customer_id" in line and "full_name" not in line]
     assert any(i > joins[0] for i in sums)
+
+
+def test_report_by_customer_key_equals_the_one_by_account(spark):
+    txns = transactions(spark, (1, 10, DAY, "6000"), (2, 11, DAY, "6000"), (3, 20, DAY, "9000"))
+    accts, held = accounts(spark, (10, 1), (11, 1), (20, 2)), customers(spark, 1, 2)
+    dim_account = star.dim_account(accts)
+    keyed = star.fact_transaction(
+        txns,
+        dim_account,
+        star.dim_transaction_type(txns),
+        held,
+        star.dim_branch(held),
+        star.dim_date(spark),
+        with_customer_sk=True,
+    )
+    found = reports.ctr_by_customer_key(keyed, held)
+    expected = reports.ctr_candidates(keyed, dim_account, held)
+    assert rows(found, *found.columns) == rows(expected, *found.columns)
+    assert rows(found, "customer_id", "cash_txn_count") == [(1, 2)]

@@ -169,20 +169,30 @@ def cash_inputs(spark, folder):
         star.dim_branch(held),
         star.dim_date(spark),
     )
-    expected = reports.ctr_candidates(fact, dim_account, held)
-    return stream_files(spark, f"{folder}/in", every.schema, files_per_batch=1), dim_account, held, expected
+    stream = stream_files(spark, f"{folder}/in", every.schema, files_per_batch=1)
+    return stream, fact, dim_account, held
 
 
 def test_cash_sums_equal_the_batch_report_with_late_rows(spark, folder):
-    stream, dim_account, held, expected = cash_inputs(spark, folder)
+    stream, fact, dim_account, held = cash_inputs(spark, folder)
+    expected = reports.ctr_candidates(fact, dim_account, held)
     drain(cash.cash_sums_stream(stream, f"{folder}/log"), f"{folder}/c")
-    found = cash.ctr_from_sums(cash.read_cash_sums(spark, f"{folder}/log"), dim_account, held)
+    sums = cash.read_cash_sums(spark, f"{folder}/log")
+    found = cash.ctr_from_sums(sums, dim_account, held)
     assert rows(found, *found.columns) == rows(expected, *found.columns)
     assert found.count() == 2
+    # Below the limit and in two parts each, but not the single large one.
+    split = cash.structuring_from_sums(sums, dim_account, held, min_deposits=2)
+    expected = reports.structuring_flags(fact, dim_account, held, min_deposits=2)
+    assert rows(split, *split.columns) == rows(expected, *split.columns)
+    assert split.count() == 1
 
 
 def test_a_replayed_batch_counts_once(spark, folder):
-    sums = reports.daily_sums(transactions(spark, (1, 10, DAY, "6000")), "account_id")
+    sums = spark.sql(
+        "SELECT 10L AS account_id, DATE '2024-01-02' AS txn_date, 1L AS n, "
+        "cast(6000 AS decimal(22,2)) AS total, 1L AS n_below, cast(6000 AS decimal(22,2)) AS total_below"
+    )
     for _ in range(2):
         write_batch(sums, f"{folder}/log", 0)
     write_batch(sums, f"{folder}/log", 1)
@@ -192,7 +202,8 @@ def test_a_replayed_batch_counts_once(spark, folder):
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_day_windows_equal_the_batch_report_within_the_horizon(spark, folder, conf, zone):
     conf("spark.sql.session.timeZone", zone)
-    stream, dim_account, held, expected = cash_inputs(spark, folder)
+    stream, fact, dim_account, held = cash_inputs(spark, folder)
+    expected = reports.ctr_candidates(fact, dim_account, held)
     drain(cash.windowed_cash_stream(stream, f"{folder}/log", "90 days"), f"{folder}/c")
     found = cash.ctr_from_sums(cash.read_cash_windows(spark, f"{folder}/log"), dim_account, held)
     assert rows(found, *found.columns) == rows(expected, *found.columns)

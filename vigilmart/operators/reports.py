@@ -46,6 +46,13 @@ def _customer_days(
     return roll_up_to_customer(daily, "account_sk", dim_account, dim_customer)
 
 
+def _versions_days(fact: DataFrame, dim_customer: DataFrame, rows: Column) -> DataFrame:
+    # The fact names the customer version itself, so the account hop falls away.
+    daily = daily_sums(fact.where(rows), "customer_sk")
+    versions = dim_customer.select("customer_sk", "customer_id", "full_name")
+    return _summed(daily.join(versions, "customer_sk"), "customer_id", "full_name", "txn_date")
+
+
 def over_limit(customer_days: DataFrame, limit: Decimal = settings.CASH_LIMIT) -> DataFrame:
     return customer_days.where(F.col("total") > F.lit(limit)).select(
         "customer_id",
@@ -66,6 +73,14 @@ def ctr_candidates(
     return over_limit(_customer_days(fact, dim_account, dim_customer, cash_credit()), limit)
 
 
+def ctr_by_customer_key(
+    fact: DataFrame, dim_customer: DataFrame, limit: Decimal = settings.CASH_LIMIT
+) -> DataFrame:
+    """The same report from a fact that carries customer_sk, with the customer as in the
+    version the fact points to."""
+    return over_limit(_versions_days(fact, dim_customer, cash_credit()), limit)
+
+
 def structuring_flags(
     fact: DataFrame,
     dim_account: DataFrame,
@@ -75,8 +90,28 @@ def structuring_flags(
 ) -> DataFrame:
     """Customer days with several cash credits below the limit that sum to more than it."""
     below = cash_credit() & (F.col("amount") < F.lit(limit))
-    days = _customer_days(fact, dim_account, dim_customer, below)
-    return days.where((F.col("n") >= min_deposits) & (F.col("total") > F.lit(limit))).select(
+    return split_deposits(
+        _customer_days(fact, dim_account, dim_customer, below), limit, min_deposits
+    )
+
+
+def structuring_by_customer_key(
+    fact: DataFrame,
+    dim_customer: DataFrame,
+    limit: Decimal = settings.CASH_LIMIT,
+    min_deposits: int = settings.MIN_SPLIT_DEPOSITS,
+) -> DataFrame:
+    below = cash_credit() & (F.col("amount") < F.lit(limit))
+    return split_deposits(_versions_days(fact, dim_customer, below), limit, min_deposits)
+
+
+def split_deposits(
+    customer_days: DataFrame,
+    limit: Decimal = settings.CASH_LIMIT,
+    min_deposits: int = settings.MIN_SPLIT_DEPOSITS,
+) -> DataFrame:
+    many = (F.col("n") >= min_deposits) & (F.col("total") > F.lit(limit))
+    return customer_days.where(many).select(
         "customer_id",
         "full_name",
         "txn_date",

@@ -314,6 +314,7 @@ def _cash_stream(
     name: str,
     start: Callable[[DataFrame, str], object],
     read: Callable[[SparkSession, str], DataFrame],
+    report: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] = cash.ctr_from_sums,
 ) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         _, m = built(spark, sf_dir)
@@ -321,8 +322,7 @@ def _cash_stream(
         bronze_rows = bronze_streams.stream_from_bronze(spark, f"{m.root}/raw", "transactions")
         typed = silver.typed(bronze_rows, silver.TRANSACTION_FIELDS)
         drain(start(typed, f"{folder}/log"), f"{folder}/checkpoint")
-        sums = read(spark, f"{folder}/log")
-        return cash.ctr_from_sums(sums, m.dim_account, m.dim_customer)
+        return report(read(spark, f"{folder}/log"), m.dim_account, m.dim_customer)
 
     return query
 
@@ -378,9 +378,15 @@ QUERIES: dict[str, Query] = {
     "ctr_ranked": _of_mart(
         lambda m: reports.ranked(reports.ctr_candidates(m.fact, m.dim_account, m.dim_customer))
     ),
+    "ctr_by_customer_key": lambda spark, sf_dir: reports.ctr_by_customer_key(
+        fact_with_customer_sk(spark, sf_dir), mart(spark, sf_dir).dim_customer
+    ),
     "structuring_flags": _of_mart(
         lambda m: reports.structuring_flags(m.fact, m.dim_account, m.dim_customer)
     ),
+    "structuring_by_customer_key": lambda spark, sf_dir: reports.structuring_by_customer_key(
+        fact_with_customer_sk(spark, sf_dir), mart(spark, sf_dir).dim_customer
+    ),
     "structuring_ranked": _of_mart(
         lambda m: reports.ranked(reports.structuring_flags(m.fact, m.dim_account, m.dim_customer))
     ),
@@ -457,6 +463,12 @@ QUERIES: dict[str, Query] = {
     "stream_first_seen": stream_first_seen,
     "stream_scd2": stream_scd2,
     "stream_ctr": _cash_stream("stream-ctr", cash.cash_sums_stream, cash.read_cash_sums),
+    "stream_structuring": _cash_stream(
+        "stream-structuring",
+        cash.cash_sums_stream,
+        cash.read_cash_sums,
+        cash.structuring_from_sums,
+    ),
     "stream_ctr_windowed": _cash_stream(
         "stream-ctr-windowed",
         lambda stream, log: cash.windowed_cash_stream(stream, log, "60 days"),

@@ -403,8 +403,10 @@ ORACLES: dict[str, str] = {
          LEFT JOIN dim_date d ON d.date = t.txn_date""",
     "ctr_candidates": _CTR,
     "ctr_ranked": _CTR,
+    "ctr_by_customer_key": _CTR,
     "structuring_flags": _STRUCTURING,
     "structuring_ranked": _STRUCTURING,
+    "structuring_by_customer_key": _STRUCTURING,
     "sanctions_hits": _with("dim_customer", "silver_watch") + _hits("dim_customer"),
     "sanctions_fuzzy": _with("dim_customer", "silver_watch")
     + """SELECT c.customer_id, c.full_name, w.list_source,
@@ -482,4 +484,5 @@ ORACLES: dict[str, str] = {
     "stream_scd2": _with("applied") + f"SELECT {_DIM.removeprefix('customer_sk, ')} FROM applied",
     "stream_ctr": _CTR,
     "stream_ctr_windowed": _CTR,
+    "stream_structuring": _STRUCTURING,
 }

@@ -4,21 +4,37 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from vigilmart import settings
 from vigilmart.functions.columns import cash_credit
-from vigilmart.operators.reports import daily_sums, over_limit, roll_up_to_customer
+from vigilmart.operators.reports import over_limit, roll_up_to_customer, split_deposits
 from vigilmart.sources.batches import read_batches, write_batch
 from vigilmart.streaming.runs import each_batch
 
 SECONDS_PER_DAY = 86400
-SUMS_SCHEMA = "account_id BIGINT, txn_date DATE, n BIGINT, total DECIMAL(22,2)"
-
-
-def cash_sums_stream(transactions: DataFrame, log: str) -> DataStreamWriter:
+SUMS_SCHEMA = (
+    "account_id BIGINT, txn_date DATE, n BIGINT, total DECIMAL(22,2), "
+    "n_below BIGINT, total_below DECIMAL(22,2)"
+)
+
+
+def _sums(limit: Decimal) -> list[Column]:
+    """Of all cash credits, and of those below the limit."""
+    below = F.col("amount") < F.lit(limit)
+    return [
+        F.count("*").alias("n"),
+        F.sum("amount").alias("total"),
+        F.count_if(below).alias("n_below"),
+        F.sum(F.when(below, F.col("amount"))).alias("total_below"),
+    ]
+
+
+def cash_sums_stream(
+    transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT
+) -> DataStreamWriter:
     """Each batch adds its own sums per account and day.
 
     Sums add up, so nothing needs to be remembered between batches, and a transaction that
@@ -26,7 +42,8 @@ def cash_sums_stream(transactions: DataFrame, log: str) -> DataStreamWriter:
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(daily_sums(batch.where(cash_credit()), "account_id"), log, batch_id)
+        cash = batch.where(cash_credit())
+        write_batch(cash.groupBy("account_id", "txn_date").agg(*_sums(limit)), log, batch_id)
 
     return each_batch(transactions, handle)
 
@@ -35,11 +52,13 @@ def read_cash_sums(spark: SparkSession, log: str) -> DataFrame:
     return (
         read_batches(spark, log, SUMS_SCHEMA)
         .groupBy("account_id", "txn_date")
-        .agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+        .agg(*[F.sum(c).alias(c) for c in ("n", "total", "n_below", "total_below")])
     )
 
 
-def windowed_cash_stream(transactions: DataFrame, log: str, horizon: str) -> DataStreamWriter:
+def windowed_cash_stream(
+    transactions: DataFrame, log: str, horizon: str, limit: Decimal = settings.CASH_LIMIT
+) -> DataStreamWriter:
     """Running day windows per account, re-emitted when they change.
 
     For alerts while the day is running: state is dropped once the watermark passes, and
@@ -54,8 +73,9 @@ def windowed_cash_stream(transactions: DataFrame, log: str, horizon: str) -> Dat
         .withColumn("day", midnight)
         .withWatermark("day", horizon)
         .groupBy(F.window("day", "1 day"), "account_id")
-        .agg(F.count("*").alias("n"), F.sum("amount").alias("total"))
-        .select("account_id", F.date_from_unix_date(day_of_window).alias("txn_date"), "n", "total")
+        .agg(*_sums(limit))
+        .withColumn("txn_date", F.date_from_unix_date(day_of_window))
+        .drop("window")
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -83,3 +103,18 @@ def ctr_from_sums(
 ) -> DataFrame:
     """The report over the sums, with customers as they are when it is read."""
     return over_limit(roll_up_to_customer(sums, "account_id", dim_account, dim_customer), limit)
+
+
+def structuring_from_sums(
+    sums: DataFrame,
+    dim_account: DataFrame,
+    dim_customer: DataFrame,
+    limit: Decimal = settings.CASH_LIMIT,
+    min_deposits: int = settings.MIN_SPLIT_DEPOSITS,
+) -> DataFrame:
+    """Split deposits from sums that were taken with the same limit."""
+    below = sums.where("n_below > 0").select(
+        "account_id", "txn_date", F.col("n_below").alias("n"), F.col("total_below").alias("total")
+    )
+    days = roll_up_to_customer(below, "account_id", dim_account, dim_customer)
+    return split_deposits(days, limit, min_deposits)
