@@ -8,7 +8,7 @@ from frames import FEB, JAN, SRC_SCHEMA, accounts, at, rows, transactions
 from pyspark.sql import functions as F
 
 from vigilmart import settings
-from vigilmart.operators import governance, quality, scd2
+from vigilmart.operators import governance, quality, reports, scd2, silver
 from vigilmart.plans.build import build
 from vigilmart.sources import workspace
 from vigilmart.sources.bronze import bronze_schema, peek
@@ -23,7 +23,10 @@ def land(spark, folder, kyc="VERIFIED", load=JAN, extra_account=None):
         ),
         "accounts": accounts(spark, (10, 1), (20, 2), *([extra_account] if extra_account else [])),
         "transactions": transactions(
-            spark, (1, 10, "2024-01-02", "9000"), (2, 10, "2024-01-02", "2000"), (3, 20, "2024-01-02", "5", "ACH")
+            spark,
+            (1, 10, "2024-01-02", "9000"),
+            (2, 10, "2024-01-02", "2000"),
+            (3, 20, "2024-01-02", "5", "ACH"),
         ),
         "watchlist": spark.createDataFrame([("NAME 2", "L")], "name STRING, list_source STRING"),
     }
@@ -113,3 +116,23 @@ def test_a_cluster_must_name_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_root(stub_session(None, "yarn"))
     assert workspace.shared_root(stub_session(None, "local[2]"))
+
+
+def test_fields_of_the_variant_rows_are_read_as_columns(spark, tmp_path):
+    """Bronze files are shredded, and silver takes its fields straight from the scan."""
+    m = build(spark, land(spark, str(tmp_path / "landing")), str(tmp_path / "mart"), JAN)
+    one = silver.typed(m.bronze["transactions"], {"txn_type": "string"})
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<data:struct<0:string>>" in plan
+    assert rows(one, "txn_type") == [("ACH",), ("CASH",), ("CASH",)]
+
+
+def test_a_day_filter_on_a_report_reaches_the_fact_scan(spark, conf, tmp_path):
+    conf("spark.sql.maxMetadataStringLength", "10000")
+    m = build(spark, land(spark, str(tmp_path / "landing")), str(tmp_path / "mart"), JAN)
+    months = {p.name for p in (tmp_path / "mart/gold/fact_transaction").glob("_month=*")}
+    assert months == {"_month=2024-01"}
+    report = reports.ctr_candidates(m.fact, m.dim_account, m.dim_customer)
+    one_day = report.where("txn_date = DATE '2024-01-02'")
+    assert "EqualTo(txn_date,2024-01-02)" in one_day._jdf.queryExecution().executedPlan().toString()
+    assert one_day.count() == 1

@@ -225,8 +225,9 @@ def test_a_customer_with_most_accounts_brings_one_row_per_day(spark, conf):
         (1, 2_000, Decimal("20000.00"))
     ]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    joins = [i for i, line in enumerate(plan.splitlines()) if "SortMergeJoin [customer_id" in line]
-    sums = [i for i, line in enumerate(plan.splitlines()) if "keys=[customer_id" in line and "full_name" not in line]
+    lines = list(enumerate(plan.splitlines()))
+    joins = [i for i, line in lines if "SortMergeJoin [customer_id" in line]
+    sums = [i for i, line in lines if "keys=[customer_id" in line and "full_name" not in line]
     assert any(i > joins[0] for i in sums)
 
 

@@ -124,10 +124,8 @@ def test_point_in_time_keeps_transactions_that_no_version_covers(spark):
         (1, 1, "A", "s", 1, "2024-01-01 00:00:00", "2024-01-10 00:00:00", False),
         (2, 1, "A", "s", 2, "2024-01-15 00:00:00", "2024-01-20 00:00:00", False),
     )
-    txns = transactions(
-        spark,
-        *[(i, 10, day, "1") for i, day in enumerate(["2024-01-05", "2024-01-12", "2024-01-15", "2024-01-25"])],
-    )
+    days = ["2024-01-05", "2024-01-12", "2024-01-15", "2024-01-25"]
+    txns = transactions(spark, *[(i, 10, day, "1") for i, day in enumerate(days)])
     fact = build(spark, txns, accounts(spark, (10, 1)), held, fact=star.fact_point_in_time)
     assert rows(fact, "txn_id", "customer_sk") == [(0, 1), (1, None), (2, 2), (3, None)]
 

@@ -41,7 +41,8 @@ def test_bronze_loads_each_file_once(spark, folder):
     arrive(transactions(spark, (3, 11, DAY, "7")), f"{landing}/transactions")
     loaded = run()
     typed = silver.typed(loaded, silver.TRANSACTION_FIELDS)
-    assert rows(typed, "txn_id", "amount") == [(1, Decimal("5.00")), (2, Decimal("6.00")), (3, Decimal("7.00"))]
+    amounts = [(1, Decimal("5.00")), (2, Decimal("6.00")), (3, Decimal("7.00"))]
+    assert rows(typed, "txn_id", "amount") == amounts
     assert loaded.where("_load_ts IS NULL OR _file NOT LIKE '%/transactions/%'").count() == 0
 
 

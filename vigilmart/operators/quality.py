@@ -51,33 +51,29 @@ RECONCILIATION_CHECK = "fact_vs_silver_txns"
 CARDINALITY_ENTITIES = ("customers", "accounts", "transactions")
 
 
-def _count_if(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def customer_measures(dim_customer: DataFrame) -> DataFrame:
     """One count per customer serves uniqueness, completeness and the history check."""
     current = F.coalesce(F.col("is_current"), F.lit(False))
     per_customer = dim_customer.groupBy("customer_id").agg(
         F.count("*").alias("versions"),
-        _count_if(current).alias("current_rows"),
-        _count_if(current & F.col("ssn").isNull()).alias("no_ssn"),
+        F.count_if(current).alias("current_rows"),
+        F.count_if(current & F.col("ssn").isNull()).alias("no_ssn"),
     )
     return per_customer.agg(
-        _count_if(F.col("current_rows") > 1).alias("pk_dim_customer_unique"),
+        F.count_if(F.col("current_rows") > 1).alias("pk_dim_customer_unique"),
         F.sum(F.when(F.col("customer_id").isNull(), F.col("versions"))).alias("null_customer_id"),
         F.sum("no_ssn").alias("null_ssn"),
         # Only customers that have a current row are looked at, as in the duplicate check.
-        _count_if((F.col("current_rows") != 1) & (F.col("current_rows") > 0)).alias(
+        F.count_if((F.col("current_rows") != 1) & (F.col("current_rows") > 0)).alias(
             "scd2_one_current_per_customer"
         ),
-        _count_if(F.col("current_rows") != 1).alias("scd2_one_current_strict"),
+        F.count_if(F.col("current_rows") != 1).alias("scd2_one_current_strict"),
     )
 
 
 def duplicate_measure(df: DataFrame, key: str, measure: str) -> DataFrame:
     repeats = df.groupBy(key).agg(F.count("*").alias("n"))
-    return repeats.agg(_count_if(F.col("n") > 1).alias(measure))
+    return repeats.agg(F.count_if(F.col("n") > 1).alias(measure))
 
 
 def orphan_measure(child: DataFrame, parent: DataFrame, key: str, measure: str) -> DataFrame:
@@ -90,9 +86,9 @@ def orphan_measure(child: DataFrame, parent: DataFrame, key: str, measure: str)
 def transaction_measures(transactions: DataFrame) -> DataFrame:
     return transactions.agg(
         F.count("*").alias("silver_rows"),
-        _count_if(~F.col("txn_type").isin(*settings.TXN_TYPES)).alias("accepted_txn_type"),
-        _count_if(~F.col("direction").isin(*settings.DIRECTIONS)).alias("accepted_direction"),
-        _count_if(F.col("amount") <= 0).alias("amount_positive"),
+        F.count_if(~F.col("txn_type").isin(*settings.TXN_TYPES)).alias("accepted_txn_type"),
+        F.count_if(~F.col("direction").isin(*settings.DIRECTIONS)).alias("accepted_direction"),
+        F.count_if(F.col("amount") <= 0).alias("amount_positive"),
     )
 
 
@@ -203,7 +199,7 @@ def for_display(card: DataFrame) -> DataFrame:
 
 
 def gate(card: DataFrame) -> DataFrame:
-    failed = _count_if(F.col("status") == "FAIL")
+    failed = F.count_if(F.col("status") == "FAIL")
     return card.agg(failed.alias("n")).select(
         F.when(F.col("n") == 0, F.lit("ALL CHECKS PASSED"))
         .otherwise(F.concat(_text("n"), F.lit(" CHECK(S) FAILED")))

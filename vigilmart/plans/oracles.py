@@ -371,7 +371,9 @@ ORACLES: dict[str, str] = {
     "fact_reconciliation": _with("fact")
     + """SELECT (SELECT count(*) FROM fact) AS fact_rows,
            (SELECT count(*) FROM transactions) AS silver_rows""",
-    "fact_point_in_time": _with("transactions", "dim_account", "dim_type", "dim_customer", "second", "dim_date")
+    "fact_point_in_time": _with(
+        "transactions", "dim_account", "dim_type", "dim_customer", "second", "dim_date"
+    )
     + f""", moved AS (
            SELECT d.customer_id FROM dim_customer d JOIN second s ON s.customer_id = d.customer_id
            WHERE s.kyc_status<>d.kyc_status OR s.country<>d.country OR s.full_name<>d.full_name

@@ -97,8 +97,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     matching = table(spark, sf_dir, "customer").where("c_custkey%50=1")
     other = table(spark, sf_dir, "supplier").where("s_suppkey<5")
-    return matching.selectExpr("'  ' || lower(c_name) || ' ' AS name", "'OFAC SDN' AS list_source").unionByName(
-        other.selectExpr("s_name AS name", "'OFAC SDN' AS list_source")
+    names = matching.selectExpr("'  ' || lower(c_name) || ' ' AS name")
+    return names.unionByName(other.selectExpr("s_name AS name")).withColumn(
+        "list_source", F.lit("OFAC SDN")
     )
 
 
