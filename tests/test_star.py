@@ -5,6 +5,8 @@ from datetime import date
 import pytest
 from frames import FEB, JAN, accounts, customers, dim, rows, transactions
 
+from pyspark.sql import functions as F
+
 from vigilmart.operators import star
 
 
@@ -126,8 +128,16 @@ def test_point_in_time_keeps_transactions_that_no_version_covers(spark):
     )
     days = ["2024-01-05", "2024-01-12", "2024-01-15", "2024-01-25"]
     txns = transactions(spark, *[(i, 10, day, "1") for i, day in enumerate(days)])
+    undated = transactions(spark, (4, 10, "2024-01-05", "1")).withColumn("txn_date", F.lit(None).cast("date"))
+    txns = txns.unionByName(undated)
     fact = build(spark, txns, accounts(spark, (10, 1)), held, fact=star.fact_point_in_time)
-    assert rows(fact, "txn_id", "customer_sk") == [(0, 1), (1, None), (2, 2), (3, None)]
+    assert rows(fact, "txn_id", "customer_sk") == [
+        (0, 1),
+        (1, None),
+        (2, 2),
+        (3, None),
+        (4, None),
+    ]
 
 
 @pytest.mark.parametrize("fact", [star.fact_transaction, star.fact_point_in_time])

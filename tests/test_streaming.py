@@ -208,3 +208,18 @@ def test_day_windows_equal_the_batch_report_within_the_horizon(spark, folder, co
     drain(cash.windowed_cash_stream(stream, f"{folder}/log", "90 days"), f"{folder}/c")
     found = cash.ctr_from_sums(cash.read_cash_windows(spark, f"{folder}/log"), dim_account, held)
     assert rows(found, *found.columns) == rows(expected, *found.columns)
+
+
+def test_corrections_across_batches_count_once_through_the_latest_log(spark, folder):
+    def version(amount, load):
+        df = transactions(spark, (1, 10, DAY, amount), (2, 10, DAY, "100"))
+        return df.selectExpr("* EXCEPT (last_modified)", f"TIMESTAMP_NTZ '{load}' AS last_modified")
+
+    for amount, load in (("20000", JAN), ("11000", MAR), ("30000", FEB)):
+        arrive(version(amount, load), f"{folder}/in")
+    schema = version("1", JAN).schema
+    stream = stream_files(spark, f"{folder}/in", schema, files_per_batch=1)
+    drain(dedup.latest_log(stream, f"{folder}/log", ["txn_id"], "last_modified"), f"{folder}/c")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    latest = dedup.read_latest(spark, f"{folder}/log", columns, ["txn_id"], "last_modified")
+    assert rows(cash.cash_sums(latest), "n", "total") == [(2, Decimal("11100.00"))]

@@ -10,6 +10,9 @@ from vigilmart.functions.columns import date_key, txn_type_label, weekday_from_s
 from vigilmart.operators.keys import dense_key
 
 
+EARLIEST = "0001-01-01 00:00:00"
+
+
 def dim_date(
     spark: SparkSession,
     start: str = settings.CALENDAR_START,
@@ -166,13 +169,19 @@ def fact_point_in_time(
         .join(dim_branch.select("branch_id", "branch_sk"), "branch_id", "left")
         .select("account_id", "account_sk", "branch_sk", "customer_sk", "span_from", "span_to")
     )
-    at = F.col("t.txn_date").cast("timestamp_ntz")
+    # A transaction without a date meets the first span, to stay in. It gets that version
+    # only if it is valid at all times.
+    sure = F.col("txn_date").isNotNull() | (F.col("span_from").isNull() & F.col("span_to").isNull())
+    at = F.coalesce(F.col("t.txn_date").cast("timestamp_ntz"), F.lit(EARLIEST).cast("timestamp_ntz"))
     valid = (
         (F.col("t.account_id") == F.col("a.account_id"))
         & (F.col("a.span_from").isNull() | (at >= F.col("a.span_from")))
         & (F.col("a.span_to").isNull() | (at < F.col("a.span_to")))
     )
-    return _star(transactions, chain, dim_transaction_type, dim_date, valid, "customer_sk")
+    extra = ("customer_sk", "span_from", "span_to")
+    fact = _star(transactions, chain, dim_transaction_type, dim_date, valid, *extra)
+    of_version = {c: F.when(sure, F.col(c)) for c in ("branch_sk", "customer_sk")}
+    return fact.withColumns(of_version).drop("span_from", "span_to")
 
 
 def fact_reconciliation(fact: DataFrame, transactions: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from vigilmart import settings
 from vigilmart.functions.columns import field
@@ -310,21 +311,29 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read_history(spark, f"{folder}/dim").drop("customer_sk")
 
 
+def _bronze_transactions(m: Mart) -> DataFrame:
+    rows = bronze_streams.stream_from_bronze(m.spark, f"{m.root}/raw", "transactions")
+    return silver.typed(rows, silver.TRANSACTION_FIELDS)
+
+
+def _silver_transactions(m: Mart) -> DataFrame:
+    folder = f"{m.root}/silver/transactions"
+    return bronze_streams.stream_files(m.spark, folder, m.transactions.schema)
+
+
 def _cash_stream(
     name: str,
-    start: Callable[[DataFrame, str], object],
+    source: Callable[[Mart], DataFrame],
+    start: Callable[[DataFrame, str], DataStreamWriter],
     read: Callable[[SparkSession, str], DataFrame],
     report: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] = cash.ctr_from_sums,
 ) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _, m = built(spark, sf_dir)
-        folder = new_folder(spark, name)
-        bronze_rows = bronze_streams.stream_from_bronze(spark, f"{m.root}/raw", "transactions")
-        typed = silver.typed(bronze_rows, silver.TRANSACTION_FIELDS)
-        drain(start(typed, f"{folder}/log"), f"{folder}/checkpoint")
-        return report(read(spark, f"{folder}/log"), m.dim_account, m.dim_customer)
+    def query(m: Mart) -> DataFrame:
+        folder = new_folder(m.spark, name)
+        drain(start(source(m), f"{folder}/log"), f"{folder}/checkpoint")
+        return report(read(m.spark, f"{folder}/log"), m.dim_account, m.dim_customer)
 
-    return query
+    return _of_mart(query)
 
 
 QUERIES: dict[str, Query] = {
@@ -462,15 +471,19 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_first_seen": stream_first_seen,
     "stream_scd2": stream_scd2,
-    "stream_ctr": _cash_stream("stream-ctr", cash.cash_sums_stream, cash.read_cash_sums),
+    "stream_ctr": _cash_stream(
+        "stream-ctr", _bronze_transactions, cash.cash_sums_stream, cash.read_cash_sums
+    ),
     "stream_structuring": _cash_stream(
         "stream-structuring",
+        _bronze_transactions,
         cash.cash_sums_stream,
         cash.read_cash_sums,
         cash.structuring_from_sums,
     ),
     "stream_ctr_windowed": _cash_stream(
         "stream-ctr-windowed",
+        _silver_transactions,
         lambda stream, log: cash.windowed_cash_stream(stream, log, "60 days"),
         cash.read_cash_windows,
     ),

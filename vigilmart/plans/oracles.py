@@ -9,6 +9,7 @@ FIRST = f"TIMESTAMP '{FIRST_SNAPSHOT}'"
 SECOND = f"TIMESTAMP '{SECOND_SNAPSHOT}'"
 MID = "TIMESTAMP '2024-01-15 00:00:00'"
 ATTRS = "full_name, ssn, country, branch_id, kyc_status"
+ATTR_ORDER = ", ".join(f"{c} NULLS LAST" for c in ATTRS.split(", "))
 
 # Common table expressions by name; each may use those listed in its own tuple.
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -24,7 +25,20 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           {FIRST} AS last_modified
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     ),
+    "src": (
+        ("customers",),
+        f"""
+        SELECT customer_id, {ATTRS} FROM customers
+        QUALIFY row_number() OVER (PARTITION BY customer_id
+          ORDER BY last_modified DESC NULLS FIRST, {ATTR_ORDER}) = 1""",
+    ),
     "second": (
+        ("second_rows",),
+        f"""
+        SELECT customer_id, {ATTRS} FROM second_rows
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY {ATTR_ORDER}) = 1""",
+    ),
+    "second_rows": (
         ("customers",),
         f"""
         SELECT customer_id, full_name, ssn,
@@ -58,6 +72,22 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           ts AS last_modified
         FROM events""",
     ),
+    "silver_accounts": (
+        ("accounts",),
+        """
+        SELECT * FROM accounts
+        QUALIFY row_number() OVER (PARTITION BY account_id
+          ORDER BY last_modified DESC NULLS FIRST, customer_id NULLS LAST,
+            account_type NULLS LAST, open_date NULLS LAST) = 1""",
+    ),
+    "silver_txn": (
+        ("transactions",),
+        """
+        SELECT * FROM transactions
+        QUALIFY row_number() OVER (PARTITION BY txn_id
+          ORDER BY last_modified DESC NULLS FIRST, account_id NULLS LAST, txn_date NULLS LAST,
+            amount NULLS LAST, txn_type NULLS LAST, direction NULLS LAST) = 1""",
+    ),
     "watch": (
         (),
         """
@@ -72,11 +102,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         QUALIFY row_number() OVER (PARTITION BY name ORDER BY list_source NULLS LAST) = 1""",
     ),
     "dim_customer": (
-        ("customers",),
+        ("src",),
         f"""
         SELECT row_number() OVER (ORDER BY customer_id NULLS LAST) AS customer_sk, customer_id,
           {ATTRS}, {FIRST} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current
-        FROM customers""",
+        FROM src""",
     ),
     "closed": (
         ("dim_customer", "second"),
@@ -119,26 +149,26 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT DISTINCT branch_id FROM dim_customer WHERE branch_id IS NOT NULL)""",
     ),
     "dim_type": (
-        ("transactions",),
+        ("silver_txn",),
         """
         SELECT row_number() OVER (ORDER BY txn_type NULLS LAST) AS txn_type_sk, txn_type,
           CASE txn_type WHEN 'CASH' THEN 'Cash' WHEN 'WIRE' THEN 'Wire Transfer'
             WHEN 'ACH' THEN 'ACH Transfer' WHEN 'CARD' THEN 'Card' ELSE txn_type END
             AS txn_type_desc
-        FROM (SELECT DISTINCT txn_type FROM transactions)""",
+        FROM (SELECT DISTINCT txn_type FROM silver_txn)""",
     ),
     "dim_account": (
-        ("accounts",),
+        ("silver_accounts",),
         """
         SELECT row_number() OVER (ORDER BY account_id NULLS LAST) AS account_sk, account_id,
-          customer_id, account_type, open_date FROM accounts""",
+          customer_id, account_type, open_date FROM silver_accounts""",
     ),
     "fact": (
-        ("transactions", "dim_account", "dim_type", "dim_customer", "dim_branch", "dim_date"),
+        ("silver_txn", "dim_account", "dim_type", "dim_customer", "dim_branch", "dim_date"),
         """
         SELECT t.txn_id, a.account_sk, y.txn_type_sk, b.branch_sk, d.date_sk, t.txn_date,
           t.txn_type, t.direction, t.amount, c.customer_sk
-        FROM transactions t
+        FROM silver_txn t
         JOIN dim_account a ON a.account_id = t.account_id
         JOIN dim_type y ON y.txn_type = t.txn_type
         LEFT JOIN dim_customer c ON c.customer_id = a.customer_id AND c.is_current
@@ -240,7 +270,7 @@ _ZERO = {
     "fk_account_to_customer": (
         "integrity",
         "orphan accounts (no current customer)",
-        """(SELECT 1 FROM accounts a LEFT JOIN dim_customer c
+        """(SELECT 1 FROM silver_accounts a LEFT JOIN dim_customer c
             ON c.customer_id = a.customer_id AND c.is_current WHERE c.customer_id IS NULL)""",
     ),
     "fk_fact_to_account": (
@@ -263,17 +293,17 @@ _ZERO = {
     "accepted_txn_type": (
         "validity",
         "rows with unexpected txn_type",
-        "(SELECT 1 FROM transactions WHERE txn_type NOT IN ('CASH','WIRE','ACH','CARD'))",
+        "(SELECT 1 FROM silver_txn WHERE txn_type NOT IN ('CASH','WIRE','ACH','CARD'))",
     ),
     "accepted_direction": (
         "validity",
         "rows with unexpected direction",
-        "(SELECT 1 FROM transactions WHERE direction NOT IN ('CREDIT','DEBIT'))",
+        "(SELECT 1 FROM silver_txn WHERE direction NOT IN ('CREDIT','DEBIT'))",
     ),
     "amount_positive": (
         "validity",
         "rows with amount <= 0",
-        "(SELECT 1 FROM transactions WHERE amount <= 0)",
+        "(SELECT 1 FROM silver_txn WHERE amount <= 0)",
     ),
 }
 _FIFTEEN = [name for name in _ZERO if name != "scd2_one_current_strict"]
@@ -304,7 +334,7 @@ _RECONCILED_BODY = """
         SELECT 'fact_vs_silver_txns' AS check_name, 'reconciliation' AS category,
           CASE WHEN f = s THEN 'PASS' ELSE 'FAIL' END AS status,
           'fact=' || f || ' silver=' || s AS metric
-        FROM (SELECT (SELECT count(*) FROM fact) AS f, (SELECT count(*) FROM transactions) AS s)"""
+        FROM (SELECT (SELECT count(*) FROM fact) AS f, (SELECT count(*) FROM silver_txn) AS s)"""
 _CARD_BODY = " UNION ALL ".join(
     [_ROWCOUNT_BODY, _RECONCILED_BODY, *[_zero_body(name) for name in _FIFTEEN]]
 )
@@ -324,16 +354,14 @@ ORACLES: dict[str, str] = {
     "bronze_land_customers": _with("customers") + f"SELECT *, {_BRONZE} FROM customers",
     "bronze_land_accounts": _with("accounts") + f"SELECT *, {_BRONZE} FROM accounts",
     "bronze_land_watchlist": _with("watch") + f"SELECT *, {_BRONZE} FROM watch",
-    "silver_accounts": _with("accounts") + "SELECT * FROM accounts",
-    "silver_transactions": _with("transactions")
-    + """SELECT * FROM transactions
-         QUALIFY row_number() OVER (PARTITION BY txn_id ORDER BY last_modified DESC NULLS FIRST) = 1""",
+    "silver_accounts": _with("silver_accounts") + "SELECT * FROM silver_accounts",
+    "silver_transactions": _with("silver_txn") + "SELECT * FROM silver_txn",
     "silver_watchlist": _with("silver_watch") + "SELECT * FROM silver_watch",
-    "customer_src": _with("customers") + f"SELECT customer_id, {ATTRS} FROM customers",
+    "customer_src": _with("src") + "SELECT * FROM src",
     "customer_lookup": _with("dim_customer")
     + f"SELECT {_DIM} FROM dim_customer WHERE full_name = '{LOOKED_UP_NAME}'",
     "dedup_latest": _LATEST_LINES,
-    "layer_counts": _with("customers", "accounts", "transactions", "watch", "silver_watch")
+    "layer_counts": _with("customers", "silver_accounts", "silver_txn", "silver_watch")
     + " UNION ALL ".join(
         f"SELECT '{label}' AS tbl, count(*) AS row_count FROM {cte}"
         for label, cte in (
@@ -341,14 +369,14 @@ ORACLES: dict[str, str] = {
             ("raw.accounts", "accounts"),
             ("raw.transactions", "transactions"),
             ("raw.watchlist", "watch"),
-            ("silver.accounts", "accounts"),
-            ("silver.transactions", "transactions"),
+            ("silver.accounts", "silver_accounts"),
+            ("silver.transactions", "silver_txn"),
             ("silver.watchlist", "silver_watch"),
         )
     ),
-    "distinct_values": _with("transactions")
-    + """SELECT DISTINCT 'txn_type' AS column_name, txn_type AS value FROM transactions
-         UNION ALL SELECT DISTINCT 'direction', direction FROM transactions""",
+    "distinct_values": _with("silver_txn")
+    + """SELECT DISTINCT 'txn_type' AS column_name, txn_type AS value FROM silver_txn
+         UNION ALL SELECT DISTINCT 'direction', direction FROM silver_txn""",
     "scd2_first_load": _with("dim_customer") + f"SELECT {_DIM} FROM dim_customer",
     "scd2_close_out": _with("closed") + f"SELECT {_DIM} FROM closed",
     "scd2_insert": _with("applied") + f"SELECT {_DIM} FROM applied",
@@ -370,9 +398,9 @@ ORACLES: dict[str, str] = {
     "fact_with_customer_sk": _with("fact") + "SELECT * FROM fact",
     "fact_reconciliation": _with("fact")
     + """SELECT (SELECT count(*) FROM fact) AS fact_rows,
-           (SELECT count(*) FROM transactions) AS silver_rows""",
+           (SELECT count(*) FROM silver_txn) AS silver_rows""",
     "fact_point_in_time": _with(
-        "transactions", "dim_account", "dim_type", "dim_customer", "second", "dim_date"
+        "silver_txn", "dim_account", "dim_type", "dim_customer", "second", "dim_date"
     )
     + f""", moved AS (
            SELECT d.customer_id FROM dim_customer d JOIN second s ON s.customer_id = d.customer_id
@@ -396,7 +424,7 @@ ORACLES: dict[str, str] = {
            FROM (SELECT DISTINCT branch_id FROM versions WHERE branch_id IS NOT NULL))
          SELECT t.txn_id, a.account_sk, y.txn_type_sk, b.branch_sk, d.date_sk, t.txn_date,
            t.txn_type, t.direction, t.amount, v.customer_sk
-         FROM transactions t
+         FROM silver_txn t
          JOIN dim_account a ON a.account_id = t.account_id
          JOIN dim_type y ON y.txn_type = t.txn_type
          LEFT JOIN versions v ON v.customer_id = a.customer_id
@@ -482,7 +510,7 @@ ORACLES: dict[str, str] = {
          FROM fact GROUP BY 1""",
     "stream_bronze": _with("transactions") + "SELECT * FROM transactions",
     "stream_dedup": _LATEST_LINES,
-    "stream_first_seen": _with("transactions") + "SELECT * FROM transactions",
+    "stream_first_seen": _with("silver_txn") + "SELECT * FROM silver_txn",
     "stream_scd2": _with("applied") + f"SELECT {_DIM.removeprefix('customer_sk, ')} FROM applied",
     "stream_ctr": _CTR,
     "stream_ctr_windowed": _CTR,

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from vigilmart import settings
 from vigilmart.functions.columns import cash_credit
+from vigilmart.operators.dedup import latest_per_key
 from vigilmart.operators.reports import over_limit, roll_up_to_customer, split_deposits
 from vigilmart.sources.batches import read_batches, write_batch
 from vigilmart.streaming.runs import each_batch
@@ -32,18 +33,25 @@ def _sums(limit: Decimal) -> list[Column]:
     ]
 
 
+def cash_sums(transactions: DataFrame, limit: Decimal = settings.CASH_LIMIT) -> DataFrame:
+    cash = transactions.where(cash_credit())
+    return cash.groupBy("account_id", "txn_date").agg(*_sums(limit))
+
+
 def cash_sums_stream(
     transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT
 ) -> DataStreamWriter:
     """Each batch adds its own sums per account and day.
 
     Sums add up, so nothing needs to be remembered between batches, and a transaction that
-    arrives days late still counts. Transactions must be unique by txn_id.
+    arrives days late still counts. Of repeats within a batch the latest counts. Where a
+    transaction may be corrected by a later batch, keep a ``dedup.latest_log`` instead and
+    take ``cash_sums`` of what it reads.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        cash = batch.where(cash_credit())
-        write_batch(cash.groupBy("account_id", "txn_date").agg(*_sums(limit)), log, batch_id)
+        once = latest_per_key(batch, ["txn_id"], "last_modified")
+        write_batch(cash_sums(once, limit), log, batch_id)
 
     return each_batch(transactions, handle)
 
@@ -61,8 +69,9 @@ def windowed_cash_stream(
 ) -> DataStreamWriter:
     """Running day windows per account, re-emitted when they change.
 
-    For alerts while the day is running: state is dropped once the watermark passes, and
-    transactions later than the horizon are not counted.
+    For alerts while the day is running, over transactions unique by txn_id, such as a silver
+    table: state is dropped once the watermark passes, and transactions later than the
+    horizon or without a date are not counted.
     """
     # Windows start at UTC midnight; going through day numbers keeps the session's time
     # zone out of it.
