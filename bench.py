@@ -1,7 +1,7 @@
 """Time the mart build and the headline queries; prints one JSON line.
 
-Each query is run once to warm up and then timed, its result going to Spark's no-op sink.
-The build is timed cold, from landing the sources to the written fact.
+The build and each query are run once to warm up and then timed; a query's result goes to
+Spark's no-op sink. The build runs from landing the sources to the written fact.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ import time
 from pyspark.sql import SparkSession
 
 from vigilmart import settings
-from vigilmart.plans.catalog import QUERIES, built
+from vigilmart.plans.build import build
+from vigilmart.plans.catalog import QUERIES, built, land_sources
+from vigilmart.sources.adapters import FIRST_SNAPSHOT
+from vigilmart.sources.workspace import new_folder
 
 HEADLINE = (
     "silver_transactions",
@@ -31,6 +34,7 @@ HEADLINE = (
     "sanctions_fuzzy",
     "row_access",
     "ctr_region_scoped",
+    "ctr_by_customer_key",
     "classified_columns",
     "dq_scorecard",
     "kpi_summary",
@@ -62,7 +66,11 @@ def main() -> None:
     spark = settings.tuned(builder, shuffle_partitions=int(cpus)).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
-    seconds = {"mart_build": timed(lambda: built(spark, sf_dir))}
+    def rebuild() -> None:
+        build(spark, land_sources(spark, sf_dir), new_folder(spark, "mart"), FIRST_SNAPSHOT)
+
+    built(spark, sf_dir)
+    seconds = {"mart_build": timed(rebuild)}
     for name in sys.argv[1:] or HEADLINE:
 
         def run(query=QUERIES[name]) -> None:

@@ -32,8 +32,8 @@ def _instant(as_of: Instant) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
-def _is_current() -> Column:
-    return F.coalesce(F.col("is_current"), F.lit(False))
+def _is_closed() -> Column:
+    return ~F.coalesce(F.col("is_current"), F.lit(False))
 
 
 def _differs(old: Column, new: Column, null_safe: bool) -> Column:
@@ -77,7 +77,7 @@ def close_out(
     Only the current slice meets the source; closed history passes by.
     """
     source = src.select("customer_id", *tracked, F.lit(True).alias("seen"))
-    joined = dim.where(_is_current()).alias("old").join(
+    joined = dim.where("is_current").alias("old").join(
         source.alias("new"), F.col("old.customer_id") == F.col("new.customer_id"), "left"
     )
     changed = F.col("new.seen") & _changed("old", "new", tracked, null_safe)
@@ -88,12 +88,12 @@ def close_out(
         F.when(changed, _instant(as_of)).otherwise(F.col("old.valid_to")).alias("valid_to"),
         (~changed).alias("is_current"),
     )
-    return dim.where(~_is_current()).unionByName(current)
+    return dim.where(_is_closed()).unionByName(current)
 
 
 def insert_missing(dim: DataFrame, src: DataFrame, as_of: Instant) -> DataFrame:
     """Add a current version for every source customer that has none."""
-    has_version = dim.where(_is_current()).select("customer_id")
+    has_version = dim.where("is_current").select("customer_id")
     fresh = _fresh_versions(src.join(has_version, "customer_id", "left_anti"), as_of)
     keyed = dense_key(fresh, ["customer_id"], "customer_sk", start=last_key(dim))
     return dim.unionByName(keyed)
@@ -163,9 +163,9 @@ def apply_snapshot(
 ) -> DataFrame:
     """``close_out`` then ``insert_missing``, with one shuffle of the current slice and the
     source; closed history passes by."""
-    current = dim.where(_is_current())
+    current = dim.where("is_current")
     advanced = advance(current, src, as_of, last_key(dim), tracked, null_safe)
-    return dim.where(~_is_current()).unionByName(advanced)
+    return dim.where(_is_closed()).unionByName(advanced)
 
 
 def verify(dim: DataFrame) -> DataFrame:
