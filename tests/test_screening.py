@@ -5,7 +5,7 @@ import random
 import pytest
 from frames import FEB, JAN, dim, rows
 
-from vigilmart.operators import screening
+from vigilmart.operators import joins, screening
 
 
 def watch(spark, *entries):
@@ -102,3 +102,32 @@ def test_empty_inputs(spark):
     for screen in (screening.sanctions_hits, screening.sanctions_fuzzy):
         assert screen(empty, listed).count() == 0
         assert screen(named(spark, "Ada"), watch(spark)).count() == 0
+
+
+def test_a_list_too_large_to_broadcast_gives_the_same_pairs(spark, monkeypatch):
+    pick = random.Random(5)
+    roots = ["".join(pick.choice("abc") for _ in range(n)) for n in (3, 9, 30, 70)]
+    listed = spark.createDataFrame([(r,) for r in roots], "listed_name STRING")
+    names = spark.createDataFrame(
+        [(mutate(pick, r),) for r in roots for _ in range(5)], "match_name STRING"
+    ).distinct()
+    columns = ("match_name", "listed_name", "distance")
+    small = screening.similar_names(names, listed, 2)
+    monkeypatch.setattr(screening, "counted_side", lambda table: joins.counted_side(table, 1))
+    large = screening.similar_names(names, listed, 2)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
+    assert "BroadcastHashJoin" in plans[0] and "BuildRight" in plans[0]
+    assert "SortMergeJoin" in plans[1] and "Broadcast" not in plans[1]
+    assert rows(small, *columns) == rows(large, *columns)
+
+
+def test_a_name_shared_by_most_customers_is_compared_once(spark):
+    shared = spark.range(20_000).selectExpr(
+        "id AS customer_sk",
+        "id AS customer_id",
+        "CASE WHEN id % 3 < 2 THEN 'Jon Smith' ELSE 'Name ' || id END AS full_name",
+        "TRUE AS is_current",
+    )
+    found = screening.sanctions_fuzzy(shared, watch(spark, ("JOHN SMITH", "L")), 1)
+    assert found.count() == 13_334
+    assert found.where("distance <> 1").count() == 0

@@ -38,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SOURCE_TABLES = ("customer", "nation", "supplier", "events")
 FIRST, SECOND = adapters.FIRST_SNAPSHOT, adapters.SECOND_SNAPSHOT
 MID_MONTH = "2024-01-15 00:00:00"
+# The row counts that the scorecard expects, and the roles its samples show.
 EXPECTED_ROWS = {"customers": 500, "accounts": 773, "transactions": 31153}
 LOOKED_UP_NAME = "Customer#000000001"
 SAMPLE_ROLES = ("COMPLIANCE_ANALYST", "AUDITOR")

@@ -93,7 +93,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT '  ' || lower(c_name) || ' ' AS name, 'OFAC SDN' AS list_source
         FROM customer WHERE c_custkey%50=1
-        UNION ALL SELECT s_name, 'OFAC SDN' FROM supplier WHERE s_suppkey<5""",
+        UNION ALL SELECT s_name, 'OFAC SDN' FROM supplier""",
     ),
     "silver_watch": (
         ("watch",),
