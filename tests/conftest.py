@@ -13,7 +13,8 @@ from vigilmart import settings  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    work = tmp_path_factory.mktemp("spark")
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("vigilmart-tests")
@@ -22,6 +23,8 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.default.parallelism", "2")
         .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.checkpoint.dir", f"file://{work}/shared")
+        .config("spark.sql.warehouse.dir", f"file://{work}/warehouse")
     )
     session = settings.tuned(builder, shuffle_partitions=2).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

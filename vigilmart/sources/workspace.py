@@ -6,25 +6,19 @@ reaches it and a table written there outlives the executor that wrote it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local_fallback: dict[str, str] = {}
-
 
 def shared_root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, or one beside the tables of the warehouse.
+
+    The warehouse is shared like every table's folder, so it can stand in for the option.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_fallback:
-        _local_fallback[app] = tempfile.mkdtemp(prefix="vigilmart-")
-    return _local_fallback[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
