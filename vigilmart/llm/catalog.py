@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilmart.llm import mixing, secrets, urls
@@ -41,13 +41,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["place"] < len(secrets.BASE))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
-        for kind in secrets.BASE
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *counts,
+        *[count(kind) for kind in secrets.BASE],
         F.sha2(secrets.listed(base), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"),
     )

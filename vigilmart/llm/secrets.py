@@ -107,7 +107,12 @@ def trigram_query(regex: str) -> Query:
         return words
 
     close(walk(sre_parse.parse(regex), {""}))
-    return [[_trigrams(w) for w in sorted(s)] for s in segments]
+    return [_least([_trigrams(w) for w in sorted(s)]) for s in segments]
+
+
+def _least(segment: list[frozenset[str]]) -> list[frozenset[str]]:
+    """Drop alternatives that ask for all of another's trigrams and more."""
+    return [a for i, a in enumerate(segment) if not any(b < a or (b == a and j < i) for j, b in enumerate(segment))]
 
 
 def text_key(text: Column) -> Column:
