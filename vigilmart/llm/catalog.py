@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilmart.llm import mixing, secrets, urls
+from vigilmart.llm import mixing, oddsketch, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,18 @@ URL_RULES = (
 )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -54,6 +66,8 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_mixing": op5_mixing,
     "op10_secret_scans": op10_secret_scans,
