@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilmart.llm import mixing, oddsketch, secrets, toxicity, urls
+from vigilmart.llm import mixing, oddsketch, parsing, secretscan, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oddsketch.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.against_next(_table(spark, sf_dir, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -51,23 +55,24 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    base = F.filter("spans", lambda s: s["place"] < len(secrets.BASE))
+    found = secretscan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["place"] < len(secretscan.BASE))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
     return found.select(
         "doc_id",
-        *[count(kind) for kind in secrets.BASE],
-        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"),
+        *[count(kind) for kind in secretscan.BASE],
+        F.sha2(secretscan.listed(base), 256).alias("base_sha256"),
+        secretscan.listed(F.col("spans")).alias("spans"),
     )
 
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_url_filters": op4_url_filters,
     "op5_mixing": op5_mixing,
     "op10_secret_scans": op10_secret_scans,
@@ -79,7 +84,7 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 def _secret_sql() -> str:
     """Positions from the gaps that a split leaves and the lengths of the matches."""
     kinds = []
-    for place, rule in enumerate(secrets.RULES):
+    for place, rule in enumerate(secretscan.RULES):
         regex = rule.regex.replace("'", "''")
         kinds.append(
             f"SELECT row_id, {place} AS place, '{rule.kind}' AS kind,"
