@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilmart.llm import mixing, oddsketch, parsing, secretscan, toxicity, urls
+from vigilmart.llm import bpe, cells, mixing, oddsketch, parsing, secretscan, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,10 @@ URL_RULES = (
 )
 
 
+# The ranks of the byte-level vocabulary; the tokenizers library has the same as byte_bpe_50k.json.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -54,6 +59,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.coded(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), ids=False)
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["place"] < len(secretscan.BASE))
@@ -75,6 +88,8 @@ QUERIES: dict[str, Query] = {
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_url_filters": op4_url_filters,
     "op5_mixing": op5_mixing,
+    "op7_bpe": op7_bpe,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_secret_scans": op10_secret_scans,
 }
 

@@ -175,13 +175,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     The whole text is read; a NULL or empty one has no feature and gets the score of the bias.
     Columns of ``docs`` named ``score`` or ``predicted`` are replaced.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most MOST_FEATURES weights
-
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        known = shared.value
-        return pd.Series([known.score(t) for t in texts], dtype="float64")
+        return pd.Series([model.score(t) for t in texts], dtype="float64")  # sent with at most MOST_FEATURES weights
 
     kept = docs.drop("score", "predicted")
     return kept.withColumn("score", scored(F.col(text))).withColumn(
