@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilmart.llm import bpe, cells, mixing, oddsketch, parsing, secretscan, toxicity, urls
+from vigilmart.llm import bpe, cells, mincut, mixing, oddsketch, parsing, secretscan, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,10 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut.extracted(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["place"] < len(secretscan.BASE))
@@ -90,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op7_bpe": op7_bpe,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_secret_scans": op10_secret_scans,
 }
 
