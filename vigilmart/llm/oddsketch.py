@@ -6,10 +6,11 @@
    512 (1 - exp(-m / 512)) bits where m samples lie in one of the two sets of samples only.
 2. Texts with equal sets form a class, by a grouping; only classes are compared.
 3. Classes that share a band value meet. No bucket is expanded into all pairs: members meet
-   the bucket's smallest member, what is linked is joined to components, and only members
-   outside a bucket's largest component meet the others of the bucket again. A pair whose
-   sketches differ in more bits than two sets at the threshold would (4 standard deviations)
-   is dropped; every other pair is confirmed on the full sets.
+   the bucket's smallest member where their sketches differ in no more bits than two sets at
+   the threshold would (4 standard deviations), and are confirmed on the full sets. What is
+   linked is joined to components. Only members outside a bucket's largest component then look
+   for the others of the bucket: in blocks, by the hashes of their shingles themselves (of
+   large sets a sample), and what may be alike is again confirmed on the full sets.
 
 A pair at similarity 0.8 shares none of the 32 bands with probability 5e-8.
 """
@@ -32,6 +33,9 @@ SKETCH_BITS = 1024
 _LANES = SKETCH_BITS // 64
 SIMILARITY = 80  # per cent
 MOST_FLIPPED = 140  # of sketch bits, for a pair that may reach SIMILARITY
+SAMPLE_BITS = 9  # sets of up to 2^9 shingles are compared whole in the last round
+SLACK = 4.5
+BLOCK = 2048
 _PIECE = 1 << 15  # shingles hashed at once, so they stay in the cache
 _seeds = np.random.default_rng(20240229)
 _FACTORS = _seeds.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -191,25 +195,20 @@ def near_duplicates(
     cards = classes.select("_node", "_n", "_sketch")
     members = classes.select("_node", F.explode("_bands").alias("_bucket"))
     leaders = members.groupBy("_bucket").agg(F.min("_node").alias("_leader"), F.count("*").alias("_size"))
-    met = (
-        members.join(leaders.where("_size > 1"), "_bucket")
-        .where("_node <> _leader")
-        .select(F.col("_node").alias("a"), F.col("_leader").alias("b"))
-        .distinct()
-    )
-    met = settle(met, "met")
+    crowded = settle(members.join(leaders.where("_size > 1"), "_bucket"), "crowded")
+    met = crowded.where("_node <> _leader").select(F.col("_node").alias("a"), F.col("_leader").alias("b"))
+    met = settle(_sketched(met.distinct(), cards, similarity), "alike")
     # Whatever shares a bucket may have to be confirmed: these texts are written once.
-    nodes = met.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
+    nodes = crowded.select("_node").distinct()
     texts = source.join(nodes, source["_id"] == nodes["_node"], "left_semi")
     texts = settle(texts.groupBy("_id").agg(F.min("_text").alias("_text")), "texts")
-    met = settle(_sketched(met, cards, similarity), "alike")
     # Each member first tries the leader whose sketch is nearest, then the others.
     nearest = met.groupBy("a").agg(F.min_by("b", F.struct("_flipped", "b")).alias("b"))
     links = _links(nearest, texts, width, similarity)
     comps = graph.components(links)
     links = links.unionByName(_links(_apart(met.select("a", "b"), comps), texts, width, similarity))
     comps = graph.components(links)
-    links = links.unionByName(_links(_unmet(members, cards, comps, similarity), texts, width, similarity))
+    links = links.unionByName(_links(_unmet(crowded, texts, comps, width, similarity), texts, width, similarity))
     comps = graph.components(links)
     of_class = classes.join(comps, F.col("_node") == F.col("node"), "left").select(
         "_digest", F.coalesce("component", "_node").alias("_component")
@@ -260,29 +259,129 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs.join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b")
 
 
-def _unmet(members: DataFrame, cards: DataFrame, comps: DataFrame, similarity: int) -> DataFrame:
-    """All pairs within a bucket that two components still separate and sketches let through.
+def _samples(width: int):
+    """Sorted 32-bit hashes of a text's shingles; of large sets those below a limit.
 
-    Only members outside a bucket's largest component look for the others, so a bucket whose
-    members are nearly all linked costs its few outsiders times its size.
+    The limit halves as the size doubles, so some hundreds of hashes stand for any set, and
+    two sets are compared by what both have below the lower of their limits.
     """
-    placed = members.join(comps.withColumnRenamed("node", "_node"), "_node", "left").select(
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingles = Shingler(width)
+        for batch in batches:
+            held, limits, sizes = [], [], []
+            for text in batch["_text"]:
+                found = shingles(text)
+                limit = 32 - max(0, (len(found) - 1).bit_length() - SAMPLE_BITS)
+                short = found >> np.uint64(32)
+                held.append(np.unique(short[short < np.uint64(1 << limit)]).astype(np.uint32).tobytes())
+                limits.append(limit)
+                sizes.append(len(found))
+            yield pd.DataFrame({"_node": batch["_id"].array, "_held": held, "_limit": limits, "_n": sizes})
+
+    return run
+
+
+def _outsiders(similarity: int):
+    """Pairs of one bucket that lie in two components and may reach the similarity.
+
+    Rows come sorted by bucket and block; those of side 0 look for the others. Sampled sets
+    that fall short by over ``SLACK`` standard deviations are dropped; whole sets must reach it.
+    """
+    least = similarity / 100
+
+    def pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        side = block["_side"].to_numpy()
+        nodes, comps = block["_node"].to_numpy(), block["_component"].to_numpy()
+        limits, sizes = block["_limit"].to_numpy(), block["_n"].to_numpy()
+        held = [np.frombuffer(h, np.uint32) for h in block["_held"]]
+        lookers, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(lookers) or not len(others):
+            return
+        tokens = np.concatenate([held[i] for i in others])
+        place = np.repeat(np.arange(len(others)), [len(held[i]) for i in others])
+        order = np.argsort(tokens, kind="stable")
+        tokens, place = tokens[order], place[order]
+        for i in lookers:
+            fits = (comps[others] != comps[i]) & (100 * np.minimum(sizes[others], sizes[i]) >= similarity * np.maximum(sizes[others], sizes[i]))
+            if not fits.any():
+                continue
+            own = held[i]
+            first, last = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+            spans = [place[f:t] for f, t in zip(first, last, strict=True)]
+            for limit in np.unique(limits[others[fits]]):
+                lower = min(int(limit), int(limits[i]))
+                n_own = int(np.searchsorted(own, np.uint64(1 << lower)))
+                same = fits & (limits[others] == limit)
+                common = np.bincount(np.concatenate(spans[:n_own] or [place[:0]]), minlength=len(others))[same]
+                theirs = np.array([np.searchsorted(held[o], np.uint64(1 << lower)) for o in others[same]])
+                union = np.maximum(n_own + theirs - common, 1)
+                slack = SLACK * np.sqrt(least * (1 - least) / union) if lower < 32 else 0.0
+                for o in others[same][common / union >= least - slack]:
+                    yield max(nodes[i], nodes[o]), min(nodes[i], nodes[o])
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest: pd.DataFrame | None = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            edges = np.flatnonzero((rows[["_bucket", "_i", "_j"]].diff().fillna(1) != 0).any(axis=1).to_numpy())
+            found = [p for f, t in zip(edges[:-1], edges[1:], strict=True) for p in pairs(rows.iloc[f:t])]
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+            rest = rows.iloc[edges[-1] :] if len(edges) else None
+        if rest is not None:
+            yield pd.DataFrame(list(pairs(rest)), columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _unmet(crowded: DataFrame, texts: DataFrame, comps: DataFrame, width: int, similarity: int) -> DataFrame:
+    """All pairs within a bucket that two components still separate and that may be alike.
+
+    Only members outside a bucket's largest component look for the others, block by block, so
+    a bucket whose members are nearly all linked costs its few outsiders times its size.
+    """
+    placed = crowded.join(comps.withColumnRenamed("node", "_node"), "_node", "left").select(
         "_bucket", "_node", F.coalesce("component", "_node").alias("_component")
     )
     counted = placed.groupBy("_bucket", "_component").agg(F.count("*").alias("_size"))
-    split = counted.groupBy("_bucket").agg(
-        F.count("*").alias("_parts"), F.max_by("_component", F.struct("_size", "_component")).alias("_main")
+    split = (
+        counted.groupBy("_bucket")
+        .agg(
+            F.count("*").alias("_parts"),
+            F.max(F.struct("_size", "_component")).alias("_largest"),
+            F.sum("_size").alias("_all"),
+        )
+        .where("_parts > 1")
+        .select(
+            "_bucket",
+            F.col("_largest._component").alias("_main"),
+            F.ceil(F.col("_all") / BLOCK).cast("int").alias("_blocks"),
+            F.ceil((F.col("_all") - F.col("_largest._size")) / BLOCK).cast("int").alias("_rows"),
+        )
+    )
+    placed = settle(placed.join(split, "_bucket"), "open")
+    nodes = placed.select("_node").distinct()
+    cards = texts.join(nodes, texts["_id"] == nodes["_node"], "left_semi").mapInPandas(
+        _samples(width), "_node bigint, _held binary, _limit int, _n bigint"
     )
-    open_members = settle(placed.join(split.where("_parts > 1"), "_bucket").join(cards, "_node"), "open")
-    outside = open_members.where("_component <> _main").select(
-        "_bucket", F.col("_node").alias("a"), F.col("_component").alias("_ca"), F.col("_n").alias("a_n"), F.col("_sketch").alias("a_sketch")
+    cards = settle(cards, "samples")
+    own = F.pmod(F.xxhash64("_node"), "_rows").cast("int")
+    looking = placed.where("_component <> _main").select(
+        "_bucket", "_node", "_component", F.lit(0).alias("_side"), own.alias("_i"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_j")
     )
-    everyone = open_members.select(
-        "_bucket", F.col("_node").alias("b"), F.col("_component").alias("_cb"), F.col("_n").alias("b_n"), F.col("_sketch").alias("b_sketch")
+    there = placed.select(
+        "_bucket",
+        "_node",
+        "_component",
+        F.lit(1).alias("_side"),
+        F.explode(F.sequence(F.lit(0), F.col("_rows") - 1)).alias("_i"),
+        F.pmod(F.xxhash64("_node"), "_blocks").cast("int").alias("_j"),
     )
     return (
-        outside.join(everyone, "_bucket")
-        .where((F.col("_ca") != F.col("_cb")) & _alike("a", "b", similarity))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        looking.unionByName(there)
+        .join(cards, "_node")
+        .repartition("_bucket", "_i", "_j")
+        .sortWithinPartitions("_bucket", "_i", "_j")
+        .mapInPandas(_outsiders(similarity), "a bigint, b bigint")
         .distinct()
     )
