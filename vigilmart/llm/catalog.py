@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilmart.llm import bpe, cells, mincut, mixing, oddsketch, parsing, secretscan, toxicity, urls
+from vigilmart.llm import bpe, cells, mincut, mixing, oddsketch, parsing, secretscan, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,25 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of an archive, checked against a replica with known damage.
+
+    In the replica each 101st record has lost its last byte and each 211th is missing.
+    """
+    archive = warc.archived(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    damaged = F.when(
+        F.col("page_id") % 101 == 0, F.expr("substring(record, 1, octet_length(record) - 1)")
+    ).otherwise(F.col("record"))
+    replica = archive.withColumn("record", damaged).where("page_id % 211 <> 0")
+    found = warc.audit(archive, replica).select(
+        "file", F.col("start").alias("offset"), "replica_length", "replica_hash", "status"
+    )
+    listed = archive.select("page_id", "file", "offset", F.sha2("record", 256).alias("hash"))
+    return listed.join(found, ["file", "offset"], "left").select(
+        "page_id", "file", "offset", "hash", "replica_length", "replica_hash", F.coalesce("status", F.lit("ok")).alias("status")
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), ids=False)
 
@@ -92,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_url_filters": op4_url_filters,
     "op5_mixing": op5_mixing,
+    "op6_warc_fixity": op6_warc_fixity,
     "op7_bpe": op7_bpe,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_html_extraction": op9_html_extraction,
@@ -183,5 +203,23 @@ ORACLES: dict[str, str] = {
             - floor(start + CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END * (place - 1)) AS BIGINT)) AS taken
     FROM ranked JOIN goals ON ranked.source IS NOT DISTINCT FROM goals.source
     """,
+    "op6_warc_fixity": """
+    WITH records AS (
+        SELECT page_id, page_id // 1024 AS file,
+            'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: '
+            || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+            || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+            || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+        FROM pages),
+    placed AS (
+        SELECT page_id, file, record, CAST(coalesce(sum(strlen(record)) OVER (
+            PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+        FROM records)
+    SELECT page_id, file, "offset", sha256(record) AS hash,
+        CASE WHEN page_id % 211 <> 0 AND page_id % 101 = 0 THEN CAST(strlen(record) - 1 AS BIGINT) END AS replica_length,
+        CASE WHEN page_id % 211 <> 0 AND page_id % 101 = 0 THEN sha256(left(record, length(record) - 1)) END AS replica_hash,
+        CASE WHEN page_id % 211 = 0 THEN 'missing' WHEN page_id % 101 = 0 THEN 'changed' ELSE 'ok' END AS status
+    FROM placed
+    """,
     "op10_secret_scans": _secret_sql(),
 }
