@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,6 @@ URL_RULES = (
 )
 
 
-# The ranks of the byte-level vocabulary; the tokenizers library has the same as byte_bpe_50k.json.
-VOCABULARY = "byte_bpe_50k.tiktoken"
-
-
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -79,7 +76,7 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.coded(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), ids=False)
+    return bpe.coded(_table(spark, sf_dir, "documents"), public_tokenizers.path(corpus_pipeline.VOCABULARY), ids=False)
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_secret_scans": op10_secret_scans,
+    "pipeline": corpus_pipeline.run,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
