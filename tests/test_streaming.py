@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import shutil
 from decimal import Decimal
 
 import pytest
 from frames import FEB, JAN, MAR, accounts, at, customers, rows, transactions
 
+from pyspark.sql import functions as F
+
 from vigilmart.operators import reports, scd2, silver, star
 from vigilmart.operators.dedup import latest_per_key
 from vigilmart.sources.batches import latest_version, publish, write_batch
@@ -66,7 +69,7 @@ def test_latest_log_equals_batch_and_takes_late_corrections(spark, folder):
     for delivery in deliveries:
         arrive(spark.createDataFrame(delivery, schema), f"{folder}/in")
     stream = stream_files(spark, f"{folder}/in", schema, files_per_batch=1)
-    drain(dedup.latest_log(stream, f"{folder}/log", ["k"], "t"), f"{folder}/c")
+    drain(dedup.latest_log(stream, f"{folder}/log", ["k"], "t"))
     latest = dedup.read_latest(spark, f"{folder}/log", schema, ["k"], "t")
     assert rows(latest, "k", "v") == [(1, "a"), (2, "c"), (3, "d")]
     batch = latest_per_key(spark.read.schema(schema).parquet(f"{folder}/in"), ["k"], "t")
@@ -78,12 +81,22 @@ def test_first_seen_drops_repeats_across_batches(spark, folder):
     arrive(df, f"{folder}/in")
     arrive(transactions(spark, (2, 10, DAY, "6"), (3, 10, DAY, "7")), f"{folder}/in")
     stream = stream_files(spark, f"{folder}/in", df.schema, files_per_batch=1)
-    once = dedup.first_seen(stream, ["txn_id"], "last_modified", "10 days")
-    drain(once.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/c")
-    out = spark.read.schema(df.schema).parquet(f"{folder}/out")
+    drain(dedup.first_seen(stream, f"{folder}/log", ["txn_id"]))
+    out = dedup.read_first_seen(spark, f"{folder}/log", cash.TXN_SCHEMA)
     assert rows(out, "txn_id") == [(1,), (2,), (3,)]
 
 
+def test_first_seen_keeps_new_keys_however_late(spark, folder):
+    df = transactions(spark, (1, 10, "2024-06-01", "5"))
+    arrive(df, f"{folder}/in")
+    late = transactions(spark, (2, 10, "2001-01-01", "6"), (1, 10, "2024-06-01", "7"))
+    arrive(late.withColumn("last_modified", F.lit("1999-01-01").cast("timestamp_ntz")), f"{folder}/in")
+    stream = stream_files(spark, f"{folder}/in", df.schema, files_per_batch=1)
+    drain(dedup.first_seen(stream, f"{folder}/log", ["txn_id"]))
+    out = dedup.read_first_seen(spark, f"{folder}/log", cash.TXN_SCHEMA)
+    assert rows(out, "txn_id", "amount") == [(1, Decimal("5.00")), (2, Decimal("6.00"))]
+
+
 CUSTOMER_SCHEMA = (
     "customer_id BIGINT, full_name STRING, ssn STRING, country STRING, branch_id INT, "
     "kyc_status STRING, last_modified TIMESTAMP_NTZ"
@@ -100,8 +113,8 @@ def deliver(spark, folder, load, *versions):
     )
 
 
-def run_history(spark, folder, checkpoint="c"):
-    drain(history.history_stream(spark, f"{folder}/raw", f"{folder}/dim"), f"{folder}/{checkpoint}")
+def run_history(spark, folder):
+    drain(history.history_stream(spark, f"{folder}/raw", f"{folder}/dim"))
     return history.read_history(spark, f"{folder}/dim")
 
 
@@ -132,8 +145,40 @@ def test_history_of_several_deliveries_in_one_batch(spark, folder):
     for load, *versions in DELIVERIES:
         deliver(spark, folder, load, *versions)
     assert rows(run_history(spark, folder), *VERSION) == AFTER_THREE
-    # Starting over with a lost checkpoint replays batch 0 and gives the same table.
-    assert rows(run_history(spark, folder, "other"), *VERSION) == AFTER_THREE
+
+
+def test_streams_refuse_to_go_on_without_their_checkpoint(spark, folder):
+    for load, *versions in DELIVERIES:
+        deliver(spark, folder, load, *versions)
+        run_history(spark, folder)
+    shutil.rmtree(f"{folder}/dim/current-checkpoint")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        run_history(spark, folder)
+    assert rows(history.read_history(spark, f"{folder}/dim"), *VERSION) == AFTER_THREE
+    stream, *_ = cash_inputs(spark, folder)
+    drain(cash.cash_sums_stream(stream, f"{folder}/log"))
+    shutil.rmtree(f"{folder}/log-checkpoint")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        cash.cash_sums_stream(stream, f"{folder}/log")
+
+
+def test_history_without_marker_files(spark, folder):
+    option = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set(option, "false")
+    try:
+        for load, *versions in DELIVERIES:
+            deliver(spark, folder, load, *versions)
+            held = run_history(spark, folder)
+        assert rows(held, *VERSION) == AFTER_THREE
+    finally:
+        hadoop.unset(option)
+
+
+def test_versions_of_which_none_is_complete_are_an_error(spark, folder, tmp_path):
+    (tmp_path / "dim" / "v=1").mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="none is complete"):
+        latest_version(spark, f"{folder}/dim")
 
 
 def test_history_refuses_a_delivery_from_the_past(spark, folder):
@@ -177,7 +222,7 @@ def cash_inputs(spark, folder):
 def test_cash_sums_equal_the_batch_report_with_late_rows(spark, folder):
     stream, fact, dim_account, held = cash_inputs(spark, folder)
     expected = reports.ctr_candidates(fact, dim_account, held)
-    drain(cash.cash_sums_stream(stream, f"{folder}/log"), f"{folder}/c")
+    drain(cash.cash_sums_stream(stream, f"{folder}/log"))
     sums = cash.read_cash_sums(spark, f"{folder}/log")
     found = cash.ctr_from_sums(sums, dim_account, held)
     assert rows(found, *found.columns) == rows(expected, *found.columns)
@@ -195,17 +240,17 @@ def test_a_replayed_batch_counts_once(spark, folder):
         "cast(6000 AS decimal(22,2)) AS total, 1L AS n_below, cast(6000 AS decimal(22,2)) AS total_below"
     )
     for _ in range(2):
-        write_batch(sums, f"{folder}/log", 0)
-    write_batch(sums, f"{folder}/log", 1)
+        write_batch(sums, f"{folder}/log/sums", 0)
+    write_batch(sums, f"{folder}/log/sums", 1)
     assert rows(cash.read_cash_sums(spark, f"{folder}/log"), "n", "total") == [(2, Decimal("12000.00"))]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
-def test_day_windows_equal_the_batch_report_within_the_horizon(spark, folder, conf, zone):
+def test_day_windows_equal_the_batch_report(spark, folder, conf, zone):
     conf("spark.sql.session.timeZone", zone)
     stream, fact, dim_account, held = cash_inputs(spark, folder)
     expected = reports.ctr_candidates(fact, dim_account, held)
-    drain(cash.windowed_cash_stream(stream, f"{folder}/log", "90 days"), f"{folder}/c")
+    drain(cash.windowed_cash_stream(stream, f"{folder}/log"))
     found = cash.ctr_from_sums(cash.read_cash_windows(spark, f"{folder}/log"), dim_account, held)
     assert rows(found, *found.columns) == rows(expected, *found.columns)
 
@@ -219,7 +264,24 @@ def test_corrections_across_batches_count_once_through_the_latest_log(spark, fol
         arrive(version(amount, load), f"{folder}/in")
     schema = version("1", JAN).schema
     stream = stream_files(spark, f"{folder}/in", schema, files_per_batch=1)
-    drain(dedup.latest_log(stream, f"{folder}/log", ["txn_id"], "last_modified"), f"{folder}/c")
+    drain(dedup.latest_log(stream, f"{folder}/log", ["txn_id"], "last_modified"))
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     latest = dedup.read_latest(spark, f"{folder}/log", columns, ["txn_id"], "last_modified")
     assert rows(cash.cash_sums(latest), "n", "total") == [(2, Decimal("11100.00"))]
+
+
+@pytest.mark.parametrize("start, read", [(cash.cash_sums_stream, cash.read_cash_sums), (cash.windowed_cash_stream, cash.read_cash_windows)])
+def test_redelivered_corrected_late_and_undated_transactions_count_once(spark, folder, start, read):
+    def at_load(df, load):
+        return df.withColumn("last_modified", F.lit(load).cast("timestamp_ntz"))
+
+    undated = transactions(spark, (9, 30, DAY, "20000")).withColumn("txn_date", F.lit(None).cast("date"))
+    arrive(transactions(spark, (1, 10, DAY, "6000"), (2, 20, DAY, "100")).unionByName(undated), f"{folder}/in")
+    arrive(transactions(spark, (1, 10, DAY, "6000")), f"{folder}/in")  # delivered again
+    arrive(at_load(transactions(spark, (2, 21, DAY, "300")), MAR), f"{folder}/in")  # moved to another account
+    arrive(at_load(transactions(spark, (2, 20, DAY, "999")), FEB), f"{folder}/in")  # an older version, late
+    arrive(at_load(transactions(spark, (3, 10, "2020-01-01", "50"), (1, 10, DAY, "1", "WIRE")), MAR), f"{folder}/in")
+    stream = stream_files(spark, f"{folder}/in", undated.schema, files_per_batch=1)
+    drain(start(stream, f"{folder}/log"))
+    found = rows(read(spark, f"{folder}/log"), "account_id", "n", "total")
+    assert found == [(10, 1, Decimal("50.00")), (21, 1, Decimal("300.00")), (30, 1, Decimal("20000.00"))]

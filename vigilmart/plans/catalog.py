@@ -242,12 +242,17 @@ def _scorecard(m: Mart) -> DataFrame:
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landed transactions loaded by a stream, started twice; the second finds nothing."""
+    """The landed transactions in two deliveries, loaded by a stream that is started after each
+    and once more; the last start finds nothing."""
     landing, _ = built(spark, sf_dir)
-    schema = files.scan_entity(spark, landing, "transactions").schema
+    rows = files.scan_entity(spark, landing, "transactions")
     folder = new_folder(spark, "stream-bronze")
-    for _ in range(2):
-        writer = bronze_streams.bronze_stream(spark, landing, f"{folder}/raw", "transactions", schema, FIRST)
+    for part in (rows.where("txn_id % 3 = 0"), rows.where("txn_id % 3 <> 0"), None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{folder}/landing/transactions")
+        writer = bronze_streams.bronze_stream(
+            spark, f"{folder}/landing", f"{folder}/raw", "transactions", rows.schema, FIRST
+        )
         drain(writer, f"{folder}/checkpoint")
     loaded = read_bronze(spark, f"{folder}/raw", "transactions")
     return silver.typed(loaded, silver.TRANSACTION_FIELDS)
@@ -271,30 +276,40 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(lines, LINE_KEYS, _line_order(), ties=[])
 
 
+def _schema_text(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as a stream with real duplicates, in several batches."""
+    """Order lines with real duplicates, arriving in three batches."""
     lines = adapters.table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
     folder = new_folder(spark, "stream-dedup")
-    arrivals = f"{folder}/arrivals"
-    lines.write.parquet(arrivals)
-    stream = bronze_streams.stream_files(spark, arrivals, lines.schema)
-    writer = dedup.latest_log(stream, f"{folder}/log", LINE_KEYS, _line_order(), ties=[])
-    drain(writer, f"{folder}/checkpoint")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema)
-    return dedup.read_latest(spark, f"{folder}/log", schema, LINE_KEYS, _line_order(), ties=[])
+    for part in range(3):
+        lines.where(F.col("l_suppkey") % 3 == part).write.mode("append").parquet(f"{folder}/arrivals")
+        stream = bronze_streams.stream_files(spark, f"{folder}/arrivals", lines.schema)
+        drain(dedup.latest_log(stream, f"{folder}/log", LINE_KEYS, _line_order(), ties=[]))
+    return dedup.read_latest(spark, f"{folder}/log", _schema_text(lines), LINE_KEYS, _line_order(), ties=[])
+
+
+def _streamed_deliveries(
+    m: Mart, name: str, start: Callable[[DataFrame, str], DataStreamWriter]
+) -> tuple[str, DataFrame]:
+    """Run a stream after each of three deliveries that repeat, correct and outdate each
+    other and hold transactions without a date; returns its log and the rows' frame."""
+    folder = new_folder(m.spark, name)
+    for delivery in adapters.transaction_deliveries(m.transactions):
+        delivery.write.mode("append").parquet(f"{folder}/arrivals")
+        stream = bronze_streams.stream_files(m.spark, f"{folder}/arrivals", m.transactions.schema)
+        drain(start(stream, f"{folder}/log"))
+    return f"{folder}/log", m.transactions
 
 
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions delivered twice; each is kept once."""
-    _, m = built(spark, sf_dir)
-    folder = new_folder(spark, "stream-first-seen")
-    arrivals = f"{folder}/arrivals"
-    for _ in range(2):
-        m.transactions.write.mode("append").parquet(arrivals)
-    stream = bronze_streams.stream_files(spark, arrivals, m.transactions.schema)
-    once = dedup.first_seen(stream, ["txn_id"], "last_modified", "60 days")
-    drain(once.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/checkpoint")
-    return spark.read.schema(m.transactions.schema).parquet(f"{folder}/out")
+    """Of transactions delivered several times, in several versions, what came first."""
+    log, frame = _streamed_deliveries(
+        mart(spark, sf_dir), "stream-first-seen", lambda s, log: dedup.first_seen(s, log, ["txn_id"])
+    )
+    return dedup.read_first_seen(spark, log, _schema_text(frame))
 
 
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,32 +322,19 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
         stop = f"{folder}/landing-{load[:10]}"
         files.land_entity(delivered, stop, "customers")
         bronze_load(spark, stop, f"{folder}/raw", load, mode="append", entities=("customers",))
-        writer = history.history_stream(spark, f"{folder}/raw", f"{folder}/dim")
-        drain(writer, f"{folder}/checkpoint")
-    return history.read_history(spark, f"{folder}/dim").drop("customer_sk")
-
-
-def _bronze_transactions(m: Mart) -> DataFrame:
-    rows = bronze_streams.stream_from_bronze(m.spark, f"{m.root}/raw", "transactions")
-    return silver.typed(rows, silver.TRANSACTION_FIELDS)
-
-
-def _silver_transactions(m: Mart) -> DataFrame:
-    folder = f"{m.root}/silver/transactions"
-    return bronze_streams.stream_files(m.spark, folder, m.transactions.schema)
+        drain(history.history_stream(spark, f"{folder}/raw", f"{folder}/dim"))
+    return history.read_history(spark, f"{folder}/dim")
 
 
 def _cash_stream(
     name: str,
-    source: Callable[[Mart], DataFrame],
     start: Callable[[DataFrame, str], DataStreamWriter],
     read: Callable[[SparkSession, str], DataFrame],
     report: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] = cash.ctr_from_sums,
 ) -> Query:
     def query(m: Mart) -> DataFrame:
-        folder = new_folder(m.spark, name)
-        drain(start(source(m), f"{folder}/log"), f"{folder}/checkpoint")
-        return report(read(m.spark, f"{folder}/log"), m.dim_account, m.dim_customer)
+        log, _ = _streamed_deliveries(m, name, start)
+        return report(read(m.spark, log), m.dim_account, m.dim_customer)
 
     return _of_mart(query)
 
@@ -472,20 +474,11 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_first_seen": stream_first_seen,
     "stream_scd2": stream_scd2,
-    "stream_ctr": _cash_stream(
-        "stream-ctr", _bronze_transactions, cash.cash_sums_stream, cash.read_cash_sums
-    ),
+    "stream_ctr": _cash_stream("stream-ctr", cash.cash_sums_stream, cash.read_cash_sums),
     "stream_structuring": _cash_stream(
-        "stream-structuring",
-        _bronze_transactions,
-        cash.cash_sums_stream,
-        cash.read_cash_sums,
-        cash.structuring_from_sums,
+        "stream-structuring", cash.cash_sums_stream, cash.read_cash_sums, cash.structuring_from_sums
     ),
     "stream_ctr_windowed": _cash_stream(
-        "stream-ctr-windowed",
-        _silver_transactions,
-        lambda stream, log: cash.windowed_cash_stream(stream, log, "60 days"),
-        cash.read_cash_windows,
+        "stream-ctr-windowed", cash.windowed_cash_stream, cash.read_cash_windows
     ),
 }

@@ -225,6 +225,12 @@ _STRUCTURING = _with("fact") + _cash(
 )
 
 
+def _delivered(sql: str) -> str:
+    """The same over transactions some of which have no date, as the streams deliver them."""
+    day = "CAST(ts AS DATE) AS txn_date"
+    return sql.replace(day, "CASE WHEN event_id%50<>7 THEN CAST(ts AS DATE) END AS txn_date")
+
+
 def _hits(customer: str) -> str:
     return f"""
         SELECT DISTINCT c.customer_id, c.full_name, w.list_source
@@ -510,9 +516,16 @@ ORACLES: dict[str, str] = {
          FROM fact GROUP BY 1""",
     "stream_bronze": _with("transactions") + "SELECT * FROM transactions",
     "stream_dedup": _LATEST_LINES,
-    "stream_first_seen": _with("silver_txn") + "SELECT * FROM silver_txn",
-    "stream_scd2": _with("applied") + f"SELECT {_DIM.removeprefix('customer_sk, ')} FROM applied",
-    "stream_ctr": _CTR,
-    "stream_ctr_windowed": _CTR,
-    "stream_structuring": _STRUCTURING,
+    "stream_first_seen": _delivered(
+        _with("silver_txn")
+        + """SELECT * EXCLUDE (amount, last_modified),
+               CASE WHEN txn_id%10=0 THEN CAST(amount*2 AS DECIMAL(12,2)) ELSE amount END AS amount,
+               CASE WHEN txn_id%10=0 THEN last_modified - INTERVAL 1 DAY ELSE last_modified END
+                 AS last_modified
+             FROM silver_txn"""
+    ),
+    "stream_scd2": _with("applied") + f"SELECT {_DIM} FROM applied",
+    "stream_ctr": _delivered(_CTR),
+    "stream_ctr_windowed": _delivered(_CTR),
+    "stream_structuring": _delivered(_STRUCTURING),
 }

@@ -107,6 +107,25 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+UNDATED = "txn_id % 50 = 7"
+OUTDATED = "txn_id % 10 = 0"
+
+
+def transaction_deliveries(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Transactions as they might arrive: repeated, corrected, out of order, some undated.
+
+    The latest versions over all deliveries are ``rows``, with no date where ``UNDATED`` says.
+    """
+    final = rows.withColumn("txn_date", F.when(~F.expr(UNDATED), F.col("txn_date")))
+    old = final.withColumn("amount", (F.col("amount") * 2).cast("decimal(12,2)")).withColumn(
+        "last_modified", F.col("last_modified") - F.expr("INTERVAL 1 DAY")
+    )
+    first = final.where(f"txn_id % 2 = 0 AND NOT {OUTDATED}").unionByName(old.where(OUTDATED))
+    second = final.where("txn_id % 2 <> 0").unionByName(first.where("txn_id % 4 = 0"))
+    third = final.where(OUTDATED).unionByName(old.where("txn_id % 20 = 0")).unionByName(second.where("txn_id % 5 = 1"))
+    return first, second, third
+
+
 SOURCES = {
     "customers": customers,
     "accounts": accounts,

@@ -15,11 +15,15 @@ from vigilmart.operators.reports import over_limit, roll_up_to_customer, split_d
 from vigilmart.sources.batches import read_batches, write_batch
 from vigilmart.streaming.runs import each_batch
 
-SECONDS_PER_DAY = 86400
 SUMS_SCHEMA = (
     "account_id BIGINT, txn_date DATE, n BIGINT, total DECIMAL(22,2), "
     "n_below BIGINT, total_below DECIMAL(22,2)"
 )
+MEASURES = ("n", "total", "n_below", "total_below")
+TXN_SCHEMA = (
+    "txn_id BIGINT, account_id BIGINT, txn_date DATE, amount DECIMAL(12,2), txn_type STRING, "
+    "direction STRING, last_modified TIMESTAMP_NTZ"
+)
 
 
 def _sums(limit: Decimal) -> list[Column]:
@@ -38,68 +42,93 @@ def cash_sums(transactions: DataFrame, limit: Decimal = settings.CASH_LIMIT) ->
     return cash.groupBy("account_id", "txn_date").agg(*_sums(limit))
 
 
+def _changed_sums(batch: DataFrame, log: str, batch_id: int, limit: Decimal) -> DataFrame:
+    """What a batch changes in the sums: its transactions' latest versions, less what earlier
+    batches had counted for them. The versions of the batch are logged for later batches."""
+    spark = batch.sparkSession
+    columns = [c.split()[0] for c in TXN_SCHEMA.split(", ")]
+    seen = latest_per_key(batch.select(*columns), ["txn_id"], "last_modified")
+    write_batch(seen, f"{log}/txns", batch_id)
+    own = spark.read.schema(TXN_SCHEMA).parquet(f"{log}/txns/batch_id={batch_id}")
+    ids = own.select(F.col("txn_id").alias("_id"))
+    earlier = read_batches(spark, f"{log}/txns", TXN_SCHEMA, before=batch_id).drop("batch_id")
+    earlier = earlier.join(ids, F.col("txn_id").eqNullSafe(F.col("_id")), "left_semi")
+    counted = latest_per_key(earlier, ["txn_id"], "last_modified")
+    now = latest_per_key(own.unionByName(counted), ["txn_id"], "last_modified")
+    less = cash_sums(counted, limit).select(
+        "account_id", "txn_date", *[(-F.coalesce(F.col(m), F.lit(0))).alias(m) for m in MEASURES]
+    )
+    changes = cash_sums(now, limit).unionByName(less).groupBy("account_id", "txn_date")
+    return _as_logged(changes.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES]))
+
+
+def _as_logged(sums: DataFrame) -> DataFrame:
+    kinds = dict(c.split() for c in SUMS_SCHEMA.split(", "))
+    return sums.select(*[F.col(c).cast(kind) for c, kind in kinds.items()])
+
+
 def cash_sums_stream(
     transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT
 ) -> DataStreamWriter:
-    """Each batch adds its own sums per account and day.
+    """Each batch adds what it changes in the sums per account and day.
 
-    Sums add up, so nothing needs to be remembered between batches, and a transaction that
-    arrives days late still counts. Of repeats within a batch the latest counts. Where a
-    transaction may be corrected by a later batch, keep a ``dedup.latest_log`` instead and
-    take ``cash_sums`` of what it reads.
+    Of all versions of a transaction, in this batch or earlier ones, the latest counts, once:
+    a redelivery changes nothing, a correction moves the difference. Transactions count
+    however late they are, and with or without a date. A replayed batch overwrites its own
+    folders, and looks at batches below it only.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        once = latest_per_key(batch, ["txn_id"], "last_modified")
-        write_batch(cash_sums(once, limit), log, batch_id)
+        write_batch(_changed_sums(batch, log, batch_id, limit), f"{log}/sums", batch_id)
 
-    return each_batch(transactions, handle)
+    return each_batch(transactions, log, handle)
 
 
-def read_cash_sums(spark: SparkSession, log: str) -> DataFrame:
+def read_cash_sums(spark: SparkSession, log: str, before: int | None = None) -> DataFrame:
     return (
-        read_batches(spark, log, SUMS_SCHEMA)
+        read_batches(spark, f"{log}/sums", SUMS_SCHEMA, before)
         .groupBy("account_id", "txn_date")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "total", "n_below", "total_below")])
+        .agg(*[F.sum(c).alias(c) for c in MEASURES])
+        .where("n > 0")
     )
 
 
 def windowed_cash_stream(
-    transactions: DataFrame, log: str, horizon: str, limit: Decimal = settings.CASH_LIMIT
+    transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT
 ) -> DataStreamWriter:
-    """Running day windows per account, re-emitted when they change.
+    """Running day windows per account, emitted again whenever a batch changes them.
 
-    For alerts while the day is running, over transactions unique by txn_id, such as a silver
-    table: state is dropped once the watermark passes, and transactions later than the
-    horizon or without a date are not counted.
+    For alerts while the day is running. No window ever closes: late, corrected and undated
+    transactions change theirs, at whatever time they come.
     """
-    # Windows start at UTC midnight; going through day numbers keeps the session's time
-    # zone out of it.
-    midnight = F.timestamp_seconds(F.unix_date("txn_date") * SECONDS_PER_DAY)
-    day_of_window = (F.unix_seconds(F.col("window.start")) / SECONDS_PER_DAY).cast("int")
-    days = (
-        transactions.where(cash_credit())
-        .withColumn("day", midnight)
-        .withWatermark("day", horizon)
-        .groupBy(F.window("day", "1 day"), "account_id")
-        .agg(*_sums(limit))
-        .withColumn("txn_date", F.date_from_unix_date(day_of_window))
-        .drop("window")
-    )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, log, batch_id)
-
-    return each_batch(days, handle, mode="update")
+        write_batch(_changed_sums(batch, log, batch_id, limit), f"{log}/sums", batch_id)
+        spark = batch.sparkSession
+        touched = spark.read.schema(SUMS_SCHEMA).parquet(f"{log}/sums/batch_id={batch_id}")
+        touched = touched.select(F.col("account_id").alias("_a"), F.col("txn_date").alias("_d"))
+        sums = (
+            read_batches(spark, f"{log}/sums", SUMS_SCHEMA, before=batch_id + 1)
+            .join(
+                touched,
+                F.col("account_id").eqNullSafe(F.col("_a")) & F.col("txn_date").eqNullSafe(F.col("_d")),
+                "left_semi",
+            )
+            .groupBy("account_id", "txn_date")
+            .agg(*[F.sum(c).alias(c) for c in MEASURES])
+        )
+        write_batch(_as_logged(sums), f"{log}/windows", batch_id)
+
+    return each_batch(transactions, log, handle)
 
 
 def read_cash_windows(spark: SparkSession, log: str) -> DataFrame:
-    """The last emitted state of every window."""
+    """The last emitted state of every window that still holds a transaction."""
     last_first = Window.partitionBy("account_id", "txn_date").orderBy(F.desc("batch_id"))
     return (
-        read_batches(spark, log, SUMS_SCHEMA)
+        read_batches(spark, f"{log}/windows", SUMS_SCHEMA)
         .withColumn("_rank", F.row_number().over(last_first))
-        .where("_rank = 1")
+        .where("_rank = 1 AND n > 0")
         .drop("_rank", "batch_id")
     )
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +15,26 @@ from vigilmart.sources.batches import read_batches, write_batch
 from vigilmart.streaming.runs import each_batch
 
 
-def first_seen(stream: DataFrame, keys: Sequence[str], event_time: str, horizon: str) -> DataFrame:
-    """The first row of each key; a repeat within the horizon is dropped. Key state is
-    released once the watermark passes, so it stays bounded; rows later than the horizon
-    are dropped with it. Where those matter, use ``latest_log``."""
-    timed = stream.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-    once = timed.withWatermark("_event_time", horizon).dropDuplicatesWithinWatermark(list(keys))
-    return once.drop("_event_time")
+def first_seen(stream: DataFrame, log: str, keys: Sequence[str]) -> DataStreamWriter:
+    """The row of each key that arrived first; of several in one batch the smallest.
+
+    Each batch writes the rows whose key no earlier batch had. The log is the memory, so no
+    row is too late: however old its event time, it is kept if its key is new.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        once = latest_per_key(batch, keys)
+        known = read_batches(batch.sparkSession, log, schema, before=batch_id)
+        known = known.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        write_batch(once.join(known, same, "left_anti"), log, batch_id)
+
+    return each_batch(stream, log, handle)
+
+
+def read_first_seen(spark: SparkSession, log: str, schema: str) -> DataFrame:
+    return read_batches(spark, log, schema).drop("batch_id")
 
 
 def latest_log(
@@ -38,7 +53,7 @@ def latest_log(
     def handle(batch: DataFrame, batch_id: int) -> None:
         write_batch(latest_per_key(batch, keys, newest, ties), log, batch_id)
 
-    return each_batch(stream, handle)
+    return each_batch(stream, log, handle)
 
 
 def read_latest(

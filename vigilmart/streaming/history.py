@@ -69,4 +69,5 @@ def history_stream(
         write_batch(closed, f"{root}/closed", batch_id)
         publish(current, f"{root}/current", batch_id)
 
-    return each_batch(stream_from_bronze(spark, raw, "customers", files_per_batch), handle)
+    source = stream_from_bronze(spark, raw, "customers", files_per_batch)
+    return each_batch(source, f"{root}/current", handle)

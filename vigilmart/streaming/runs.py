@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from vigilmart.sources.batches import own_checkpoint
 
-def drain(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Process all new input in as many batches as the source makes, then stop."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
 
+def drain(writer: DataStreamWriter, checkpoint: str | None = None) -> None:
+    """Process all new input in as many batches as the source makes, then stop.
 
-def each_batch(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], mode: str = "append"
-) -> DataStreamWriter:
-    return stream.writeStream.outputMode(mode).foreachBatch(handle)
+    Streams that write a log bring their checkpoint along; others are given one.
+    """
+    if checkpoint is not None:
+        writer = writer.option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def each_batch(stream: DataFrame, log: str, handle: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+    """A writer that hands each batch to ``handle``, under the checkpoint of ``log``."""
+    writer = stream.writeStream.outputMode("append").foreachBatch(handle)
+    return writer.option("checkpointLocation", own_checkpoint(stream.sparkSession, log))
