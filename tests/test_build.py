@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilmart import settings
 from vigilmart.operators import governance, quality, reports, scd2, silver
-from vigilmart.plans.build import build
+from vigilmart.plans.build import build, published
 from vigilmart.sources import workspace
 from vigilmart.sources.bronze import bronze_schema, peek
 from vigilmart.sources.files import ENTITIES, entity_path, file_manifest, land_entity, scan_entity
@@ -54,7 +54,9 @@ def test_build_writes_all_layers_and_passes_its_gate(spark, tmp_path):
         "gold/dim_transaction_type",
         "gold/dim_account",
         "gold/fact_transaction",
-    }
+        "checks/scorecard",
+    } | {str(p.relative_to(tmp_path / "mart")) for p in (tmp_path / "mart/published").glob("*")}
+    assert published(spark, str(tmp_path / "mart"))
 
 
 def test_build_stops_at_a_failing_check(spark, tmp_path):
@@ -65,6 +67,18 @@ def test_build_stops_at_a_failing_check(spark, tmp_path):
         )
 
 
+def test_the_gate_is_on_without_expected_counts_and_publishes_nothing(spark, tmp_path):
+    landing = land(spark, str(tmp_path / "landing"), extra_account=(30, 99))
+    with pytest.raises(quality.QualityGateError, match="1 orphan accounts"):
+        build(spark, landing, str(tmp_path / "mart"), JAN)
+    assert not published(spark, str(tmp_path / "mart"))
+    build(spark, landing, str(tmp_path / "told"), JAN, on_fail="report")
+    row = spark.read.parquet(str(tmp_path / "told/published")).first()
+    assert row["failed"] == "fk_account_to_customer"
+    with pytest.raises(ValueError, match="on_fail"):
+        build(spark, landing, str(tmp_path / "other"), JAN, on_fail="ignore")
+
+
 def test_the_next_build_continues_the_history(spark, tmp_path):
     first = build(spark, land(spark, str(tmp_path / "l1")), str(tmp_path / "m1"), JAN)
     second = build(
@@ -101,21 +115,20 @@ def test_bronze_schema_and_peek(spark, tmp_path):
     assert peek(m.bronze["customers"]).count() == 1
 
 
-def stub_session(named, master):
-    context = SimpleNamespace(master=master, applicationId="stub", getCheckpointDir=lambda: None)
-    conf = SimpleNamespace(get=lambda key, default: named)
+def stub_session(named, warehouse="hdfs://w/warehouse"):
+    values = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": warehouse}
+    context = SimpleNamespace(getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, default=None: values[key] or default)
     return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_shared_folder_is_the_one_the_cluster_names():
-    named = stub_session("hdfs://shared/checkpoints/", "yarn")
+    named = stub_session("hdfs://shared/checkpoints/")
     assert workspace.new_folder(named, "x").startswith("hdfs://shared/checkpoints/vigilmart/x-")
 
 
-def test_a_cluster_must_name_a_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workspace.shared_root(stub_session(None, "yarn"))
-    assert workspace.shared_root(stub_session(None, "local[2]"))
+def test_without_a_named_folder_the_warehouse_holds_the_work():
+    assert workspace.shared_root(stub_session(None)) == "hdfs://w/warehouse/_work"
 
 
 def test_fields_of_the_variant_rows_are_read_as_columns(spark, tmp_path):
@@ -130,9 +143,12 @@ def test_fields_of_the_variant_rows_are_read_as_columns(spark, tmp_path):
 def test_a_day_filter_on_a_report_reaches_the_fact_scan(spark, conf, tmp_path):
     conf("spark.sql.maxMetadataStringLength", "10000")
     m = build(spark, land(spark, str(tmp_path / "landing")), str(tmp_path / "mart"), JAN)
-    months = {p.name for p in (tmp_path / "mart/gold/fact_transaction").glob("_month=*")}
-    assert months == {"_month=2024-01"}
-    report = reports.ctr_candidates(m.fact, m.dim_account, m.dim_customer)
-    one_day = report.where("txn_date = DATE '2024-01-02'")
-    assert "EqualTo(txn_date,2024-01-02)" in one_day._jdf.queryExecution().executedPlan().toString()
+    months = {p.name for p in (tmp_path / "mart/gold/fact_transaction").glob("txn_month=*")}
+    assert months == {"txn_month=2024-01"}
+    one_day = reports.ctr_candidates(
+        workspace.within_days(m.fact, "txn_date", "2024-01-02", "2024-01-02"), m.dim_account, m.dim_customer
+    )
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(txn_month" in plan
+    assert "GreaterThanOrEqual(txn_date,2024-01-02)" in plan
     assert one_day.count() == 1

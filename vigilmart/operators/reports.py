@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vigilmart import settings
 from vigilmart.functions.columns import cash_credit, money
 from vigilmart.operators.star import current_customers
+from vigilmart.operators.keys import dense_key
 
 
 def daily_sums(rows: DataFrame, account_key: str) -> DataFrame:
@@ -121,7 +122,10 @@ def split_deposits(
 
 
 def ranked(report: DataFrame) -> DataFrame:
-    return report.orderBy(F.desc("total_cash"), "customer_id", "txn_date")
+    """The report with its rank, from the largest total down, numbered without a single task."""
+    keyed = report.withColumn("_falling", -F.col("total_cash"))
+    numbered = dense_key(keyed, ["_falling", "customer_id", "txn_date"], "rank").drop("_falling")
+    return numbered.orderBy("rank")
 
 
 def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:

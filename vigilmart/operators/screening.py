@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilmart.functions.columns import match_name
-from vigilmart.operators.joins import counted_side
 from vigilmart.sources.workspace import settle
 
-# Above this length the deletion variants of a name outnumber its chunks by far.
-LONG_NAME = 64
+GRAM = 3
 
 
 def _listed_names(watchlist: DataFrame) -> DataFrame:
@@ -56,78 +54,74 @@ def _deletion_variants(text: Column, distance: int) -> Column:
     return F.array_distinct(F.flatten(F.array(*rings)))
 
 
-def _chunk_keys(text: Column, lengths: Column, parts: int, shift: int) -> Column:
-    """Keys of the substrings of ``text`` where names of the given lengths have their chunks,
-    each looked for up to ``shift`` places to either side."""
+def _grams(text: Column) -> Column:
+    """The GRAM-character pieces of a text, each with the number of its occurrence."""
+    starts = F.sequence(F.lit(1), F.length(text) - GRAM + 1)
+    pieces = F.when(F.length(text) >= GRAM, F.transform(starts, lambda i: F.substring(text, i, GRAM)))
+    pieces = F.coalesce(pieces, F.array().cast("array<string>"))
 
-    def start_of(length: Column, part: Column) -> Column:
-        return F.floor(length * part / parts).cast("int") + 1
+    def numbered(all_pieces: Column) -> Column:
+        def number(piece: Column, place: Column) -> Column:
+            upto = F.slice(all_pieces, F.lit(1), place + 1)
+            return F.struct(piece.alias("gram"), F.size(F.filter(upto, lambda x: x == piece)).alias("nth"))
 
-    def keys_of(length: Column, part: Column) -> Column:
-        start = start_of(length, part)
-        size = start_of(length, part + 1) - start
-        places = F.filter(F.sequence(start - shift, start + shift), lambda place: place > 0)
-        return F.transform(
-            places, lambda place: F.xxhash64(length, part, F.substring(text, place, size))
-        )
+        return F.transform(all_pieces, number)
 
-    part_numbers = F.array(*[F.lit(part) for part in range(parts)])
-    per_length = F.transform(
-        lengths,
-        lambda length: F.flatten(F.transform(part_numbers, lambda part: keys_of(length, part))),
-    )
-    return F.array_distinct(F.flatten(per_length))
+    return F.element_at(F.transform(F.array(pieces), numbered), 1)
 
 
-def _variant_keys(text: Column, distance: int) -> Column:
-    return F.transform(_deletion_variants(text, distance), lambda t: F.xxhash64(t))
+def _rarest(names: DataFrame, column: str, frequency: DataFrame, n: int) -> DataFrame:
+    """Keys of the n rarest grams of each name, under one order for all names."""
+    pieces = names.select(column, F.explode(_grams(F.col(column))).alias("_g")).select(column, "_g.gram", "_g.nth")
+    weighed = pieces.join(frequency, "gram", "left").select(
+        column, F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("gram"), F.col("nth")).alias("_g")
+    )
+    first = weighed.groupBy(column).agg(F.slice(F.array_sort(F.collect_list("_g")), 1, n).alias("_first"))
+    return first.select(column, F.explode("_first").alias("_g")).select(
+        column, F.xxhash64("_g.gram", "_g.nth").alias("key")
+    )
 
 
-def _or_empty(condition: Column, keys: Column) -> Column:
-    return F.coalesce(F.when(condition, keys), F.array().cast("array<bigint>"))
+def _by_variants(names: DataFrame, column: str, distance: int) -> DataFrame:
+    variants = F.transform(_deletion_variants(F.col(column), distance), lambda t: F.xxhash64(F.lit("whole"), t))
+    return names.select(column, F.explode(variants).alias("key"))
 
 
-def similar_names(names: DataFrame, listed: DataFrame, max_distance: int) -> DataFrame:
-    """Pairs of distinct names within ``max_distance`` edits, with their distance.
+def candidate_names(names: DataFrame, listed: DataFrame, max_distance: int) -> DataFrame:
+    """Pairs of distinct names that may be within ``max_distance`` edits; none is missed.
 
-    Short listed names meet on hashed deletion variants: only names a few edits apart share
-    one, so no key gathers all names, whatever prefix they have in common. Long listed
-    names meet on chunks: of max_distance+1 chunks one is untouched by the edits and lies
-    within max_distance places of its position. Both are complete; the distance is then
-    tested on the candidate pairs.
+    An edit changes at most GRAM grams, so of two near names each shares all but
+    GRAM * max_distance of its grams with the other, hence one of its GRAM * max_distance + 1
+    rarest with the rarest of the other. Frequencies are those of the list: what many names
+    have in common, such as a prefix, is never among the rarest and joins nothing. Names too
+    short to have that many grams meet on their deletion variants. The keys of both sides are
+    written, so Spark knows their size before it picks the join.
     """
-    name, other = F.col("match_name"), F.col("listed_name")
-    length, other_length = F.length(name), F.length(other)
-    parts = max_distance + 1
-    near_lengths = F.sequence(length - max_distance, length + max_distance)
-    listed_keys = F.when(
-        other_length <= LONG_NAME, _variant_keys(other, max_distance)
-    ).otherwise(_chunk_keys(other, F.array(other_length), parts, 0))
-    name_keys = F.concat(
-        _or_empty(length <= LONG_NAME + max_distance, _variant_keys(name, max_distance)),
-        _or_empty(length > LONG_NAME - max_distance, _chunk_keys(name, near_lengths, parts, max_distance)),
-    )
-    # Neither side may be judged by its size before the explode: the keys of the list are
-    # written and counted, and the names, however many, are never the broadcast side.
-    keyed_list = settle(
-        listed.where(other.isNotNull()).select("listed_name", F.explode(listed_keys).alias("key")),
-        "listed-keys",
+    rare = GRAM * max_distance + 1
+    enough = GRAM + GRAM * max_distance  # length from which a name has that many grams
+    listed_by_gram = listed.where(F.length("listed_name") >= enough)
+    frequency = settle(
+        listed_by_gram.select(F.explode(_grams(F.col("listed_name"))).alias("_g"))
+        .groupBy(F.col("_g.gram").alias("gram"))
+        .agg(F.count("*").alias("_n")),
+        "gram-counts",
     )
-    # Making the keys is the work here, so it is spread wider than the few bytes of the
-    # names would be.
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def keyed(side: DataFrame, column: str) -> DataFrame:
+        long = side.where(F.length(column) >= enough)
+        short = side.where(F.length(column) < enough + max_distance)
+        keys = _rarest(long, column, frequency, rare).unionByName(_by_variants(short, column, max_distance))
+        return settle(keys, f"{column.replace('_', '-')}-keys")
+
+    return keyed(names, "match_name").join(keyed(listed, "listed_name"), "key").select("match_name", "listed_name").distinct()
+
+
+def similar_names(names: DataFrame, listed: DataFrame, max_distance: int) -> DataFrame:
+    """Pairs of distinct names within ``max_distance`` edits, with their distance."""
     return (
-        names.where(name.isNotNull())
-        .repartition(tasks)
-        .select("match_name", F.explode(name_keys).alias("key"))
-        .join(counted_side(keyed_list), "key")
-        .select(
-            "match_name",
-            "listed_name",
-            F.levenshtein(name, other, max_distance).alias("distance"),
-        )
+        candidate_names(names, listed, max_distance)
+        .withColumn("distance", F.levenshtein("match_name", "listed_name", max_distance))
         .where("distance >= 0")
-        .distinct()
     )
 
 

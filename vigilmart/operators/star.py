@@ -36,6 +36,22 @@ def dim_date(
     )
 
 
+def calendar_activity(dim_date: DataFrame, fact: DataFrame) -> DataFrame:
+    """The calendar with the transactions of each day: days without any count zero, days
+    outside the calendar, and transactions without a day, have no key."""
+    days = fact.groupBy(F.col("txn_date").alias("_day")).agg(
+        F.count("*").alias("_n"), F.sum("amount").alias("_total")
+    )
+    joined = dim_date.join(days, F.col("date") == F.col("_day"), "full")
+    return joined.withColumns(
+        {
+            "date": F.coalesce("date", "_day"),
+            "txn_count": F.coalesce("_n", F.lit(0)),
+            "total_amount": F.coalesce("_total", F.lit(0)).cast("decimal(38,2)"),
+        }
+    ).drop("_day", "_n", "_total")
+
+
 def dim_branch(dim_customer: DataFrame) -> DataFrame:
     """Branches of all customer versions, not only the current ones."""
     branches = dim_customer.select("branch_id").where("branch_id IS NOT NULL").distinct()

@@ -13,12 +13,16 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigilmart import settings
 from vigilmart.operators import governance, quality, scd2, silver, star
+from vigilmart.sources.batches import exists
 from vigilmart.sources.bronze import bronze_load, read_bronze
 from vigilmart.sources.workspace import write_by_month, write_table
 
+PUBLISHED = "published"
+
 
 @dataclass(frozen=True)
 class Mart:
@@ -62,13 +66,20 @@ def build(
     as_of: str | datetime | None = None,
     previous_customers: DataFrame | None = None,
     expected_rows: Mapping[str, int] | None = None,
+    on_fail: str = "raise",
 ) -> Mart:
     """Build all layers under ``root`` from the entity folders under ``landing``.
 
     ``previous_customers`` is the customer history to continue; without it the history
     starts. ``root`` must be a new folder then, as the history is read while it is written.
-    With ``expected_rows`` the scorecard must pass, or the build raises.
+
+    The scorecard decides on publication; its row counts are checked where ``expected_rows``
+    are given. If a check fails the build raises and ``root`` stays unpublished, so readers
+    that ask ``published`` go on with the build before. ``on_fail="report"`` publishes with
+    the failing checks named in the publication's row.
     """
+    if on_fail not in ("raise", "report"):
+        raise ValueError(f"on_fail is raise or report, not {on_fail!r}")
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     raw = f"{root}/raw"
 
@@ -138,6 +149,14 @@ def build(
         dim_account=dim_account,
         fact=write_by_month(fact, f"{root.rstrip('/')}/gold/fact_transaction", "txn_date"),
     )
-    if expected_rows is not None:
-        quality.enforce(quality.scorecard(mart.quality_tables(), expected_rows))
+    card = written(quality.scorecard(mart.quality_tables(), expected_rows), "checks", "scorecard")
+    if on_fail == "raise":
+        quality.enforce(card)
+    failed = card.agg(F.concat_ws(", ", F.sort_array(F.collect_list(F.when(F.col("status") == "FAIL", F.col("check_name"))))).alias("failed"))
+    write_table(failed.withColumn("as_of", F.lit(str(as_of)).cast("timestamp_ntz")), f"{root.rstrip('/')}/{PUBLISHED}")
     return mart
+
+
+def published(spark: SparkSession, root: str) -> bool:
+    """Whether the build under ``root`` passed its checks and may be read."""
+    return exists(spark, f"{root.rstrip('/')}/{PUBLISHED}")

@@ -76,7 +76,7 @@ def built(spark: SparkSession, sf_dir: str) -> tuple[str, Mart]:
     key = (spark.sparkContext.applicationId, sf_dir, _files_stamp(spark, sf_dir))
     if key not in _built:
         landing = land_sources(spark, sf_dir)
-        _built[key] = landing, build(spark, landing, new_folder(spark, "mart"), FIRST)
+        _built[key] = landing, build(spark, landing, new_folder(spark, "mart"), FIRST, on_fail="report")
     return _built[key]
 
 
@@ -108,12 +108,14 @@ def _bronze_land(entity: str, fields: dict[str, str]) -> Query:
 
 
 def _peek(m: Mart) -> DataFrame:
-    row = bronze.peek(m.bronze["customers"])
-    return row.select(F.to_json("data").alias("data"), "_load_ts", "_file")
+    """The customer with the smallest id, its fields taken out of the VARIANT."""
+    rows = silver.typed(m.bronze["customers"], silver.CUSTOMER_FIELDS)
+    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in ("customer_id", "last_modified")]).limit(1)
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.file_manifest(spark, built(spark, sf_dir)[0])
+    landing, m = built(spark, sf_dir)
+    return bronze.rows_by_folder(m.bronze, files.file_manifest(spark, landing))
 
 
 # --- customer history ---
@@ -238,6 +240,45 @@ def _scorecard(m: Mart) -> DataFrame:
     return quality.scorecard(m.quality_tables(), EXPECTED_ROWS)
 
 
+def _dirty(m: Mart) -> quality.Tables:
+    """The mart with every fault that the scorecard looks for."""
+    customers = m.dim_customer.withColumn("ssn", F.when(F.col("customer_id") % 11 != 0, F.col("ssn")))
+    nameless = customers.where("customer_id % 17 = 0").withColumn("customer_id", F.lit(None).cast("bigint"))
+    repeated = customers.where("customer_id % 13 = 0")
+    accounts = m.accounts.withColumn(
+        "customer_id", F.when(F.col("account_id") % 7 == 0, F.col("customer_id") + 10**12).otherwise(F.col("customer_id"))
+    )
+    txn = F.col("txn_id")
+    transactions = m.transactions.withColumns(
+        {
+            "txn_type": F.when(txn % 9 == 0, "CRYPTO").otherwise(F.col("txn_type")),
+            "direction": F.when(txn % 8 == 0, "SIDEWAYS").otherwise(F.col("direction")),
+            "amount": F.when(txn % 6 == 0, -F.col("amount")).otherwise(F.col("amount")).cast("decimal(12,2)"),
+        }
+    )
+    fact = m.fact.withColumn(
+        "account_sk", F.when(txn % 10 == 3, -F.col("account_sk")).otherwise(F.col("account_sk"))
+    )
+    return quality.Tables(
+        bronze=m.bronze,
+        accounts=accounts,
+        transactions=transactions,
+        dim_customer=customers.unionByName(nameless).unionByName(repeated),
+        dim_account=m.dim_account.unionByName(m.dim_account.where("account_id % 5 = 0")),
+        fact=fact.unionByName(fact.where("txn_id % 4 = 0")),
+    )
+
+
+def _landed_counts(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    landing, _ = built(spark, sf_dir)
+    return {e: files.scan_entity(spark, landing, e).count() for e in quality.CARDINALITY_ENTITIES}
+
+
+def dq_scorecard_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard with the row counts that were landed."""
+    return quality.scorecard(mart(spark, sf_dir).quality_tables(), _landed_counts(spark, sf_dir))
+
+
 # --- streams ---
 
 
@@ -348,7 +389,7 @@ QUERIES: dict[str, Query] = {
     "bronze_land_customers": _bronze_land("customers", silver.CUSTOMER_FIELDS),
     "bronze_land_accounts": _bronze_land("accounts", silver.ACCOUNT_FIELDS),
     "bronze_land_watchlist": _bronze_land("watchlist", silver.WATCHLIST_FIELDS),
-    "bronze_schema": _of_mart(lambda m: bronze.bronze_schema(m.bronze)),
+    "bronze_schema": _of_mart(lambda m: bronze.bronze_fields(m.bronze)),
     "bronze_peek": _of_mart(_peek),
     "file_manifest": file_manifest,
     "silver_accounts": _of_mart(lambda m: silver.accounts(m.bronze["accounts"])),
@@ -376,7 +417,7 @@ QUERIES: dict[str, Query] = {
     "scd2_apply": scd2_apply,
     "scd2_verify": scd2_verify,
     "scd2_history": scd2_history,
-    "dim_date": lambda spark, sf_dir: star.dim_date(spark),
+    "dim_date": _of_mart(lambda m: star.calendar_activity(m.dim_date, m.fact)),
     "dim_branch": _of_mart(lambda m: star.dim_branch(m.dim_customer)),
     "dim_transaction_type": _of_mart(lambda m: star.dim_transaction_type(m.transactions)),
     "dim_account": _of_mart(lambda m: star.dim_account(m.accounts)),
@@ -462,6 +503,10 @@ QUERIES: dict[str, Query] = {
     "dq_amount_positive": _transaction_check("amount_positive"),
     "dq_scorecard": _of_mart(_scorecard),
     "dq_scorecard_display": _of_mart(lambda m: quality.for_display(_scorecard(m))),
+    "dq_scorecard_dirty": _of_mart(lambda m: quality.scorecard(_dirty(m), EXPECTED_ROWS)),
+    "dq_gate_dirty": _of_mart(lambda m: quality.gate(quality.scorecard(_dirty(m), EXPECTED_ROWS))),
+    "dq_scorecard_clean": dq_scorecard_clean,
+    "dq_gate_clean": lambda spark, sf_dir: quality.gate(dq_scorecard_clean(spark, sf_dir)),
     "dq_gate": _of_mart(lambda m: quality.gate(_scorecard(m))),
     "kpi_summary": _of_mart(
         lambda m: kpis.kpi_summary(

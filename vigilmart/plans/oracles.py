@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from vigilmart.plans.catalog import EXPECTED_ROWS, LOOKED_UP_NAME
 from vigilmart.sources.adapters import FIRST_SNAPSHOT, NEW_CUSTOMER_OFFSET, SECOND_SNAPSHOT
 
@@ -95,6 +97,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM customer WHERE c_custkey%50=1
         UNION ALL SELECT s_name, 'OFAC SDN' FROM supplier""",
     ),
+    "watchlist": (("watch",), "SELECT * FROM watch"),
     "silver_watch": (
         ("watch",),
         """
@@ -345,12 +348,102 @@ _CARD_BODY = " UNION ALL ".join(
     [_ROWCOUNT_BODY, _RECONCILED_BODY, *[_zero_body(name) for name in _FIFTEEN]]
 )
 _CARD = _with("fact", "accounts", "customers") + _CARD_BODY
+_CLEAN_BODY = " UNION ALL ".join(
+    [
+        *[
+            f"""SELECT 'bronze_{e}_count' AS check_name, 'rowcount' AS category, 'PASS' AS status,
+                  'expected=' || count(*) || ' actual=' || count(*) AS metric FROM {e}"""
+            for e in EXPECTED_ROWS
+        ],
+        _RECONCILED_BODY,
+        *[_zero_body(name) for name in _FIFTEEN],
+    ]
+)
+_DIRTY_TABLES = """, bad_customer AS (
+          SELECT * REPLACE (CASE WHEN customer_id%11<>0 THEN ssn END AS ssn) FROM dim_customer),
+        dirty_dim_customer AS (
+          SELECT * FROM bad_customer
+          UNION ALL SELECT * REPLACE (NULL AS customer_id) FROM bad_customer WHERE customer_id%17=0
+          UNION ALL SELECT * FROM bad_customer WHERE customer_id%13=0),
+        dirty_silver_accounts AS (
+          SELECT * REPLACE (CASE WHEN account_id%7=0 THEN customer_id+1000000000000 ELSE customer_id END
+            AS customer_id) FROM silver_accounts),
+        dirty_dim_account AS (
+          SELECT * FROM dim_account UNION ALL SELECT * FROM dim_account WHERE account_id%5=0),
+        dirty_silver_txn AS (
+          SELECT * REPLACE (
+            CASE WHEN txn_id%9=0 THEN 'CRYPTO' ELSE txn_type END AS txn_type,
+            CASE WHEN txn_id%8=0 THEN 'SIDEWAYS' ELSE direction END AS direction,
+            CASE WHEN txn_id%6=0 THEN -amount ELSE amount END AS amount) FROM silver_txn),
+        bad_fact AS (
+          SELECT * REPLACE (CASE WHEN txn_id%10=3 THEN -account_sk ELSE account_sk END AS account_sk)
+          FROM fact),
+        dirty_fact AS (SELECT * FROM bad_fact UNION ALL SELECT * FROM bad_fact WHERE txn_id%4=0)
+"""
+_DIRTY_BODY = re.sub(
+    r"\b(FROM|JOIN) (fact|dim_customer|dim_account|silver_accounts|silver_txn)\b", r"\1 dirty_\2", _CARD_BODY
+)
+
+
+def _gate(tables: str, body: str) -> str:
+    return (
+        _with("fact", "accounts", "customers")
+        + tables
+        + f""", checks AS ({body})
+         SELECT CASE WHEN count(*) FILTER (WHERE status='FAIL') = 0 THEN 'ALL CHECKS PASSED'
+           ELSE count(*) FILTER (WHERE status='FAIL') || ' CHECK(S) FAILED' END AS overall_result
+         FROM checks"""
+    )
+
+
+def _ranked(sql: str) -> str:
+    return f"""SELECT *, row_number() OVER (ORDER BY total_cash DESC, customer_id NULLS LAST,
+           txn_date NULLS LAST) AS rank FROM ({sql})"""
+
+
+def _fields(entity: str, kinds: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{entity}' AS entity, '{f}' AS field, '{k}' AS kind, count({f}) AS filled FROM {entity} HAVING count({f}) > 0"
+        for f, k in kinds.items()
+    )
+
+
 
 _DIM = (
     "customer_sk, customer_id, full_name, ssn, country, branch_id, kyc_status, valid_from, "
     "valid_to, is_current"
 )
 
+# Kinds of the fields in bronze, by entity.
+_KINDS = {
+    "customers": {
+        "customer_id": "BIGINT",
+        "full_name": "STRING",
+        "ssn": "STRING",
+        "country": "STRING",
+        "branch_id": "BIGINT",
+        "kyc_status": "STRING",
+        "last_modified": "TIMESTAMP_NTZ",
+    },
+    "accounts": {
+        "account_id": "BIGINT",
+        "customer_id": "BIGINT",
+        "account_type": "STRING",
+        "open_date": "DATE",
+        "last_modified": "TIMESTAMP_NTZ",
+    },
+    "transactions": {
+        "txn_id": "BIGINT",
+        "account_id": "BIGINT",
+        "txn_date": "DATE",
+        "amount": "DECIMAL",
+        "txn_type": "STRING",
+        "direction": "STRING",
+        "last_modified": "TIMESTAMP_NTZ",
+    },
+    "watchlist": {"name": "STRING", "list_source": "STRING"},
+}
+
 ORACLES: dict[str, str] = {
     "scan_parquet": _with("transactions") + "SELECT * FROM transactions",
     "scan_customers": _with("customers") + "SELECT * FROM customers",
@@ -396,7 +489,20 @@ ORACLES: dict[str, str] = {
             row_number() OVER (PARTITION BY customer_id ORDER BY valid_from, customer_sk) AS version_no,
             {ATTRS}, valid_from, valid_to, is_current
           FROM applied""",
-    "dim_date": _with("dim_date") + "SELECT * FROM dim_date",
+    "bronze_schema": _with("customers", "accounts", "transactions", "watchlist")
+    + " UNION ALL ".join(_fields(e, kinds) for e, kinds in _KINDS.items()),
+    "bronze_peek": _with("customers")
+    + f"""SELECT customer_id, {ATTRS}, last_modified FROM customers
+          ORDER BY customer_id NULLS LAST, last_modified NULLS LAST LIMIT 1""",
+    "file_manifest": _with("customers", "accounts", "transactions", "watchlist")
+    + " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, CAST(count(*) AS BIGINT) AS row_count, TRUE AS all_listed FROM {e}" for e in _KINDS
+    ),
+    "dim_date": _with("fact", "dim_date")
+    + """, days AS (SELECT txn_date, count(*) AS n, sum(amount) AS total FROM fact GROUP BY 1)
+         SELECT d.* EXCLUDE (date), coalesce(d.date, days.txn_date) AS date, coalesce(n, 0) AS txn_count,
+           CAST(coalesce(total, 0) AS DECIMAL(38,2)) AS total_amount
+         FROM dim_date d FULL JOIN days ON days.txn_date = d.date""",
     "dim_branch": _with("dim_branch") + "SELECT * FROM dim_branch",
     "dim_transaction_type": _with("dim_type") + "SELECT * FROM dim_type",
     "dim_account": _with("dim_account") + "SELECT * FROM dim_account",
@@ -438,10 +544,10 @@ ORACLES: dict[str, str] = {
          LEFT JOIN branches b ON b.branch_id = v.branch_id
          LEFT JOIN dim_date d ON d.date = t.txn_date""",
     "ctr_candidates": _CTR,
-    "ctr_ranked": _CTR,
+    "ctr_ranked": _ranked(_CTR),
     "ctr_by_customer_key": _CTR,
     "structuring_flags": _STRUCTURING,
-    "structuring_ranked": _STRUCTURING,
+    "structuring_ranked": _ranked(_STRUCTURING),
     "structuring_by_customer_key": _STRUCTURING,
     "sanctions_hits": _with("dim_customer", "silver_watch") + _hits("dim_customer"),
     "sanctions_fuzzy": _with("dim_customer", "silver_watch")
@@ -490,7 +596,12 @@ ORACLES: dict[str, str] = {
     "dq_accepted_direction": _zero("accepted_direction"),
     "dq_amount_positive": _zero("amount_positive"),
     "dq_scorecard": _CARD,
-    "dq_scorecard_display": _CARD,
+    "dq_scorecard_display": f"""SELECT *,
+           CAST(row_number() OVER (ORDER BY status, category, check_name) AS INTEGER) AS place FROM ({_CARD})""",
+    "dq_scorecard_dirty": _with("fact", "accounts", "customers") + _DIRTY_TABLES + _DIRTY_BODY,
+    "dq_gate_dirty": _gate(_DIRTY_TABLES, _DIRTY_BODY),
+    "dq_scorecard_clean": _with("fact", "accounts", "customers") + _CLEAN_BODY,
+    "dq_gate_clean": _gate("", _CLEAN_BODY),
     "dq_gate": _with("fact", "accounts", "customers")
     + f""", checks AS ({_CARD_BODY})
          SELECT CASE WHEN count(*) FILTER (WHERE status='FAIL') = 0 THEN 'ALL CHECKS PASSED'

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,5 +63,31 @@ def bronze_schema(bronze: dict[str, DataFrame]) -> DataFrame:
     return merged
 
 
+def bronze_fields(bronze: dict[str, DataFrame]) -> DataFrame:
+    """Fields of each entity's VARIANT rows: name, kind of value and number of rows with one."""
+    parts = []
+    for entity, df in bronze.items():
+        fields = df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("data").outer())).select(
+            F.col("key").alias("field"),
+            F.regexp_extract(F.schema_of_variant("value"), "^[A-Z_]+", 0).alias("kind"),
+        )
+        counts = fields.where("kind <> 'VOID'").groupBy("field", "kind").agg(F.count("*").alias("filled"))
+        parts.append(counts.select(F.lit(entity).alias("entity"), "field", "kind", "filled"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def rows_by_folder(bronze: dict[str, DataFrame], listing: DataFrame) -> DataFrame:
+    """Rows per entity folder, by the file each row names, and whether all files are listed."""
+    parts = [df.groupBy("_file").agg(F.count("*").alias("_rows")) for df in bronze.values()]
+    files = reduce(DataFrame.unionByName, parts).withColumn("_name", F.element_at(F.split("_file", "/"), -1))
+    names = listing.select(F.col("file_name").alias("_name"), F.lit(True).alias("_listed"))
+    return (
+        files.join(names, "_name", "left")
+        .withColumn("entity", F.element_at(F.split("_file", "/"), -2))
+        .groupBy("entity")
+        .agg(F.sum("_rows").alias("row_count"), F.bool_and(F.coalesce("_listed", F.lit(False))).alias("all_listed"))
+    )
+
+
 def peek(bronze: DataFrame, n: int = 1) -> DataFrame:
     return bronze.limit(n)

@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MONTH = "txn_month"
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, or one beside the tables of the warehouse.
@@ -36,16 +38,21 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
 
 
 def write_by_month(df: DataFrame, path: str, day: str) -> DataFrame:
-    """Write a large table with one folder per month of ``day``.
+    """Write a large table with one folder per month of ``day``, kept as column ``month``.
 
     Rebalancing lets Spark cut up large months and join small ones, so file sizes stay even
-    and no task holds a whole month. A filter on ``day`` then skips the files of other
-    months by their statistics.
+    and no task holds a whole month. ``within_days`` filters by the month too, so that only
+    the folders of those months are opened.
     """
-    month = F.date_format(day, "yyyy-MM")
-    monthly = df.withColumn("_month", month).hint("rebalance", "_month")
-    monthly.write.mode("overwrite").partitionBy("_month").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    monthly = df.withColumn(MONTH, F.date_format(day, "yyyy-MM")).hint("rebalance", MONTH)
+    monthly.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    return df.sparkSession.read.schema(monthly.schema).parquet(path)
+
+
+def within_days(df: DataFrame, day: str, first: str, last: str) -> DataFrame:
+    """Rows of a table of ``write_by_month`` from one day to another, both included."""
+    months = F.col(MONTH).between(first[:7], last[:7])
+    return df.where(months & F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
