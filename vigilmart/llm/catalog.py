@@ -61,16 +61,21 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     In the replica each 101st record has lost its last byte and each 211th is missing.
     """
-    archive = warc.archived(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    damaged = F.when(
-        F.col("page_id") % 101 == 0, F.expr("substring(record, 1, octet_length(record) - 1)")
-    ).otherwise(F.col("record"))
-    replica = archive.withColumn("record", damaged).where("page_id % 211 <> 0")
-    found = warc.audit(archive, replica).select(
+    body = warc.record(F.col("url"), F.col("html"))
+    lost = F.when(F.col("page_id") % 101 == 0, 1).otherwise(0)
+    copy = F.substring(body, F.lit(1), F.octet_length(body) - lost)
+    pages = _table(spark, sf_dir, "pages").select(
+        "page_id", "url", "html", F.octet_length(copy).alias("copy_length"), F.sha2(copy, 256).alias("copy_hash")
+    )
+    archive = warc.archived(pages, keep=("copy_length", "copy_hash"))
+    primary = archive.select("page_id", "file", "offset", "length", "hash")
+    replica = archive.where("page_id % 211 <> 0").select(
+        "file", "offset", F.col("copy_length").alias("length"), F.col("copy_hash").alias("hash")
+    )
+    found = warc.audit(primary, replica, data=None).select(
         "file", F.col("start").alias("offset"), "replica_length", "replica_hash", "status"
     )
-    listed = archive.select("page_id", "file", "offset", F.sha2("record", 256).alias("hash"))
-    return listed.join(found, ["file", "offset"], "left").select(
+    return primary.join(found, ["file", "offset"], "left").select(
         "page_id", "file", "offset", "hash", "replica_length", "replica_hash", F.coalesce("status", F.lit("ok")).alias("status")
     )
 

@@ -32,13 +32,18 @@ def record(url: Column, payload: Column, content_type: str = "text/html") -> Col
     return F.concat(F.encode(head, "UTF-8"), body, F.encode(F.lit(CRLF + CRLF), "UTF-8"))
 
 
-def leaves(records: DataFrame, file: str, offset: str, data: str) -> DataFrame:
-    """``file``, ``start``, ``length`` and ``hash`` of each record."""
+def leaves(records: DataFrame, file: str, offset: str, data: str | None) -> DataFrame:
+    """``file``, ``start``, ``length`` and ``hash`` of each record.
+
+    Without ``data`` the records bring their ``length`` and ``hash`` themselves.
+    """
+    length = F.col("length") if data is None else F.octet_length(F.col(data))
+    digest = F.col("hash") if data is None else F.sha2(F.col(data), 256)
     return records.select(
         F.col(file).alias("file"),
         F.col(offset).cast("bigint").alias("start"),
-        F.octet_length(F.col(data)).cast("bigint").alias("length"),
-        F.sha2(F.col(data), 256).alias("hash"),
+        length.cast("bigint").alias("length"),
+        digest.alias("hash"),
     )
 
 
@@ -75,7 +80,7 @@ def tree(leaf: DataFrame, top: int) -> list[DataFrame]:
     return out
 
 
-def audit(primary: DataFrame, replica: DataFrame, file: str = "file", offset: str = "offset", data: str = "record") -> DataFrame:
+def audit(primary: DataFrame, replica: DataFrame, file: str = "file", offset: str = "offset", data: str | None = "record") -> DataFrame:
     """Records in which two replicas differ: file, start, both lengths and hashes, status.
 
     Status is ``changed``, ``missing`` (only in the primary) or ``extra`` (only in the
@@ -112,14 +117,29 @@ def audit(primary: DataFrame, replica: DataFrame, file: str = "file", offset: st
     return alone_left.join(alone_right, ["file", "start"], "full").withColumn("status", status)
 
 
-def archived(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", pages_per_file: int = 1024) -> DataFrame:
-    """Pages as records of an archive: key, ``file``, ``offset`` and ``record``.
+def archived(
+    pages: DataFrame,
+    key: str = "page_id",
+    url: str = "url",
+    payload: str = "html",
+    keep: tuple[str, ...] = (),
+    pages_per_file: int = 1024,
+) -> DataFrame:
+    """Pages as records of an archive: key, ``file``, ``offset``, ``length``, ``hash``, ``record``
+    and the columns to ``keep``.
 
     A file takes the keys of one span of ``pages_per_file`` numbers, in order; records that
-    repeat a key follow each other. Rows without a key go to file -1.
+    repeat a key follow each other. Rows without a key go to file -1. Lengths and hashes are
+    taken before the rows are put in order, so a reader that needs no more moves no record.
     """
-    rows = pages.select(F.col(key), record(F.col(url), F.col(payload)).alias("record"))
-    rows = rows.withColumn("file", F.coalesce(F.floor(F.col(key) / pages_per_file), F.lit(-1)))
-    size = F.octet_length("record").cast("bigint")
-    before = Window.partitionBy("file").orderBy(key, F.sha2("record", 256)).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum(size).over(before), F.lit(0))).select(key, "file", "offset", "record")
+    body = record(F.col(url), F.col(payload))
+    rows = pages.select(
+        F.col(key),
+        *keep,
+        F.octet_length(body).cast("bigint").alias("length"),
+        F.sha2(body, 256).alias("hash"),
+        body.alias("record"),
+    ).withColumn("file", F.coalesce(F.floor(F.col(key) / pages_per_file), F.lit(-1)))
+    before = Window.partitionBy("file").orderBy(key, "hash").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("length").over(before), F.lit(0))
+    return rows.withColumn("offset", offset).select(key, "file", "offset", "length", "hash", "record", *keep)
