@@ -12,7 +12,8 @@ stand, but for their edges:
 - phrases begin at local maxima of the labels.
 
 The fingerprint is a MinHash over the names of all levels but the lowest, where each name
-stands for the stretch of text under it: long phrases enter more often than short ones.
+stands for the stretch of text under it: long phrases enter more often than short ones, and a
+phrase that recurs enters as often as it does.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ ROUNDS = 4
 FIRST_LEVEL = 2
 _PIECE = 1 << 16  # code points that are parsed together
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+_OWNER = np.uint64(52)  # bits of a name's hash beside the number of its text
+_MOST_TEXTS = 1 << 12
 _STEPS = _M1 * np.arange(64, dtype=np.uint64)
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -96,7 +99,7 @@ def sketches(texts: list[str]) -> np.ndarray:
     first = 0
     while first < len(texts):
         last, size = first + 1, len(texts[first])
-        while last < len(texts) and size + len(texts[last]) <= _PIECE:
+        while last < len(texts) and size + len(texts[last]) <= _PIECE and last - first < _MOST_TEXTS:
             size += len(texts[last])
             last += 1
         part = texts[first:last]
@@ -111,10 +114,15 @@ def sketches(texts: list[str]) -> np.ndarray:
                 long = lengths >> k > 0
                 values.append(names[long] ^ _STEPS[k])
                 whose.append(of[long])
-        owners = np.concatenate(whose)
-        order = np.argsort(owners, kind="stable")
-        drawn, owners = _mix(np.concatenate(values))[order], owners[order]
-        starts = np.searchsorted(owners, np.arange(len(part)))
+        # Sorted by text and name; a name's second and later occurrences are names of their own.
+        held = (np.concatenate(whose).astype(np.uint64) << _OWNER) | (_mix(np.concatenate(values)) >> (np.uint64(64) - _OWNER))
+        held.sort()
+        at = np.arange(len(held))
+        fresh = np.ones(len(held), bool)
+        fresh[1:] = held[1:] != held[:-1]
+        nth = (at - np.maximum.accumulate(np.where(fresh, at, 0))).astype(np.uint64)
+        drawn = _mix((held << (np.uint64(64) - _OWNER)) + nth * _M1)
+        starts = np.searchsorted(held >> _OWNER, np.arange(len(part), dtype=np.uint64))
         for i in range(SLOTS):
             out[first:last, i] = np.minimum.reduceat(drawn * _SEEDS[i], starts)
         first = last
