@@ -16,6 +16,14 @@ ATTR_ORDER = ", ".join(f"{c} NULLS LAST" for c in ATTRS.split(", "))
 # Common table expressions by name; each may use those listed in its own tuple.
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "customers": (
+        ("customer_rows",),
+        """
+        SELECT * FROM customer_rows
+        UNION ALL SELECT * REPLACE ('ZZ' AS country, 'PENDING' AS kyc_status, last_modified - INTERVAL 1 DAY AS last_modified)
+          FROM customer_rows WHERE customer_id%25=5
+        UNION ALL SELECT * FROM customer_rows WHERE customer_id%25=6""",
+    ),
+    "customer_rows": (
         (),
         f"""
         SELECT c_custkey AS customer_id, c_name AS full_name,
@@ -49,11 +57,20 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             AS branch_id,
           CASE WHEN customer_id%10<>0 THEN kyc_status
                WHEN kyc_status='VERIFIED' THEN 'PENDING' ELSE 'VERIFIED' END AS kyc_status
-        FROM customers WHERE customer_id%100<>7
+        FROM customers WHERE customer_id%100<>7 AND last_modified = {FIRST}
         UNION ALL
-        SELECT customer_id+{NEW_CUSTOMER_OFFSET}, {ATTRS} FROM customers WHERE customer_id%100=3""",
+        SELECT customer_id+{NEW_CUSTOMER_OFFSET}, {ATTRS} FROM customers
+        WHERE customer_id%100=3 AND last_modified = {FIRST}""",
     ),
     "accounts": (
+        ("account_rows",),
+        """
+        SELECT * FROM account_rows
+        UNION ALL SELECT * REPLACE ('CLOSED' AS account_type, last_modified - INTERVAL 1 DAY AS last_modified)
+          FROM account_rows WHERE account_id%25=5
+        UNION ALL SELECT * FROM account_rows WHERE account_id%25=6""",
+    ),
+    "account_rows": (
         (),
         f"""
         SELECT c_custkey*2+k AS account_id, c_custkey AS customer_id,
@@ -63,6 +80,14 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM customer, (VALUES (0),(1)) AS v(k) WHERE k=0 OR c_custkey%2=0""",
     ),
     "transactions": (
+        ("txn_rows",),
+        """
+        SELECT * FROM txn_rows
+        UNION ALL SELECT * REPLACE (CAST(amount*2 AS DECIMAL(12,2)) AS amount, last_modified - INTERVAL 1 DAY AS last_modified)
+          FROM txn_rows WHERE txn_id%25=5
+        UNION ALL SELECT * FROM txn_rows WHERE txn_id%25=6""",
+    ),
+    "txn_rows": (
         (),
         """
         SELECT event_id AS txn_id,
@@ -95,7 +120,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT '  ' || lower(c_name) || ' ' AS name, 'OFAC SDN' AS list_source
         FROM customer WHERE c_custkey%50=1
-        UNION ALL SELECT s_name, 'OFAC SDN' FROM supplier""",
+        UNION ALL SELECT s_name, 'OFAC SDN' FROM supplier
+        UNION ALL SELECT '  ' || lower(c_name) || ' ', 'EU LIST' FROM customer WHERE c_custkey%100=1""",
     ),
     "watchlist": (("watch",), "SELECT * FROM watch"),
     "silver_watch": (

@@ -26,10 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _delivered_again(rows: DataFrame, key: str, older: dict[str, str]) -> DataFrame:
+    """The rows with older versions of some and repeats of others, as deliveries have them.
+
+    ``older`` says how a version of the day before differs. Latest versions are the rows.
+    """
+    old = rows.where(f"{key} % 25 = 5").selectExpr(
+        *[f"{older[c]} AS {c}" if c in older else c for c in rows.columns]
+    ).withColumn("last_modified", F.col("last_modified") - F.expr("INTERVAL 1 DAY"))
+    return rows.unionByName(old).unionByName(rows.where(f"{key} % 25 = 6"))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = table(spark, sf_dir, "customer")
-    return rows.join(nation, rows["c_nationkey"] == nation["n_nationkey"]).selectExpr(
+    first = rows.join(nation, rows["c_nationkey"] == nation["n_nationkey"]).selectExpr(
         "c_custkey AS customer_id",
         "c_name AS full_name",
         f"{SSN} AS ssn",
@@ -38,10 +49,12 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN c_mktsegment='FURNITURE' THEN 'PENDING' ELSE 'VERIFIED' END AS kyc_status",
         f"TIMESTAMP_NTZ '{FIRST_SNAPSHOT}' AS last_modified",
     )
+    return _delivered_again(first, "customer_id", {"country": "'ZZ'", "kyc_status": "'PENDING'"})
 
 
 def customers_second_snapshot(first: DataFrame) -> DataFrame:
     """The later delivery: changed, moved, missing and new customers."""
+    first = first.where(F.col("last_modified") == F.lit(FIRST_SNAPSHOT).cast("timestamp_ntz"))
     cid = F.col("customer_id")
     flipped = F.when(F.col("kyc_status") == "VERIFIED", "PENDING").otherwise("VERIFIED")
     kept = first.where(cid % 100 != 7).select(
@@ -65,7 +78,7 @@ def customers_second_snapshot(first: DataFrame) -> DataFrame:
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
+    first = (
         table(spark, sf_dir, "customer")
         .selectExpr(
             "c_custkey",
@@ -79,6 +92,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"TIMESTAMP_NTZ '{FIRST_SNAPSHOT}' AS last_modified",
         )
     )
+    return _delivered_again(first, "account_id", {"account_type": "'CLOSED'"})
 
 
 TRANSACTION_COLUMNS = (
@@ -94,17 +108,21 @@ TRANSACTION_COLUMNS = (
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*TRANSACTION_COLUMNS)
+    first = table(spark, sf_dir, "events").selectExpr(*TRANSACTION_COLUMNS)
+    return _delivered_again(first, "txn_id", {"amount": "cast(amount*2 AS decimal(12,2))"})
 
 
 def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some customers in another spelling, and all suppliers, which match nobody."""
+    """Some customers in another spelling, half of them on two lists, and all suppliers, which
+    match nobody."""
     matching = table(spark, sf_dir, "customer").where("c_custkey%50=1")
+    twice = matching.where("c_custkey%100=1").selectExpr("'  ' || lower(c_name) || ' ' AS name", "'EU LIST' AS list_source")
     other = table(spark, sf_dir, "supplier")
     names = matching.selectExpr("'  ' || lower(c_name) || ' ' AS name")
-    return names.unionByName(other.selectExpr("s_name AS name")).withColumn(
+    listed = names.unionByName(other.selectExpr("s_name AS name")).withColumn(
         "list_source", F.lit("OFAC SDN")
     )
+    return listed.unionByName(twice)
 
 
 UNDATED = "txn_id % 50 = 7"
