@@ -16,6 +16,8 @@ from re import _parser as sre_parse
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilmart.sources.workspace import settle
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -195,7 +197,8 @@ def scan(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     NULL and empty texts have no spans. Equal texts post once, however many rows hold them.
     A column of ``docs`` named ``spans`` is replaced.
     """
-    found = candidates(postings(docs, text, rules), rules)
+    # Written, so that Spark joins by its true size, and can split the rows of a frequent text.
+    found = settle(candidates(postings(docs, text, rules), rules), "candidates")
     kept = docs.drop("spans")
     keyed = kept.withColumn("_key", F.coalesce(text_key(F.col(text)), F.lit("")))
     joined = keyed.join(found.select(F.col("key").alias("_key"), F.col("kinds").alias("_kinds")), "_key", "left")
