@@ -192,6 +192,60 @@ def test_main_text_of_a_page_with_everything():
     )
 
 
+LONG = "This sentence of the article goes on and on, " + "with ever more of its words, " * 7 + "until it ends."
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        'div style="overflow:hidden"',
+        'div title="hidden gems"',
+        "div title='display:none' data-hidden=1 aria-hidden=false",
+        'div class="content has-sidebar"',
+        'div class="content sidebar"',
+        'div class="no-sidebar"',
+        'div class="layout-sidebar"',
+        'div class="with-left-sidebar"',
+        'div id="cookie-layer"',
+        'section class="post-header"',
+    ],
+)
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrappers_of_whole_articles_keep_them(wrapper, inner):
+    page = f"<body><nav><a href=/>Home</a></nav><{wrapper}><{inner}>" + f"<p>{LONG}</p>" * 3 + f"</{inner}></{wrapper.split()[0]}></body>"
+    assert mincut.main_text(page) == "\n".join([LONG] * 3)
+
+
+@pytest.mark.parametrize("name", ["article-header", "page-header", "entry-header"])
+def test_headline_named_header_stays(name):
+    assert mincut.main_text(f'<h1 class="{name}">A fine headline</h1><p>{LONG}</p>') == f"A fine headline\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "div hidden",
+        "div style='color:red; display : none'",
+        'div class="sidebar"',
+        'div class="sidebar has-content-links"',
+        'section class="post-comments"',
+        'div class="content-sidebar"',
+        'div class="content" role="navigation"',
+    ],
+)
+@pytest.mark.parametrize("around", ["article", "div"])
+def test_boilerplate_beside_the_article_still_goes(wrapper, around):
+    article = f"<{around}>" + f"<p>{LONG}</p>" * 2 + f"</{around}>"
+    page = f"{article}<{wrapper}>" + f"<p>{LONG.replace('article', 'rest')}</p>" * 2 + f"</{wrapper.split()[0]}>"
+    assert mincut.main_text(page) == "\n".join([LONG] * 2)
+
+
+def test_long_comments_do_not_become_the_article():
+    comments = "".join(f'<article class="comment-body"><p>{LONG.replace("article", "comment")}</p></article>' for _ in range(30))
+    page = f'<div class="post"><p>{LONG}</p><p>{LONG}</p></div><div class="comments-area">{comments}</div>'
+    assert mincut.main_text(page) == "\n".join([LONG] * 2)
+
+
 def test_broken_markup_and_odd_pages(spark):
     long = "<article>" + "<p>Some words of a long page." * 5000
     pages = [None, "", "<p", "<<<>>>", "<!-- open", "<script>x", "plain text without any markup at all, but a sentence.", long, "<a href='x", "</p></div>"]

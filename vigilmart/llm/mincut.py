@@ -30,6 +30,7 @@ CLOSES = {"li": "li", "dd": "dd", "dt": "dt", "tr": "tr", "td": "td", "th": "th"
 LISTS = frozenset("ul ol menu dir dl table tbody thead tfoot tr select body".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog button fieldset label".split())
 CONTENT_TAGS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of class, id and role attributes, by what they tell.
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts aside banner breadcrumb breadcrumbs byline comment commentlist "
@@ -39,9 +40,23 @@ BOILERPLATE_WORDS = frozenset(
     "topbar widget".split()
 )
 CONTENT_WORDS = frozenset("article articlebody body content entry main page post story text".split())
+# Words before a boilerplate word that tell what an element has or lacks beside it, as in has-left-sidebar.
+BESIDE_WORDS = frozenset("has have hide no with without".split())
+SIDE_WORDS = frozenset("bottom fixed left right sticky top".split())
+# Content words with which a header is that of the text, not of the site.
+HEADED_WORDS = frozenset("article articlebody content entry post story".split())
+# Boilerplate words for texts of a kind of their own.
+OWN_TEXT_WORDS = frozenset(
+    "ad ads advert advertisement advertising adverts comment commentlist comments consent cookie cookies copyright "
+    "disclaimer disqus gdpr newsletter notice promo promoted recommended related replies reply respond sponsor "
+    "sponsored subscribe".split()
+)
 
 # Weights of the classifier, in units of log odds; above zero for content.
 IN_BOILERPLATE, IN_BOILERPLATE_WORD, IN_CONTENT, IN_CONTENT_WORD, IN_HEADER = -9.0, -9.0, 4.0, 1.0, -3.0
+IN_MIXED_WORDS = -1.0  # a boilerplate word on an element that content words name too
+# Shares of a page's text, and characters of it, from which an element counts as a frame.
+FRAME, FRAME_BESIDE, OWN_TEXT_REST, OWN_TEXT_LEAST = 0.75, 0.9, 240, 600
 PER_WORD, MOST_WORDS, ALL_LINKS, HEADING, SENTENCE, BASE = 0.06, 40, -5.0, 1.0, 0.8, -0.6
 TIE = 1.5  # capacity between blocks at distance one
 ACROSS = 0.2  # the same, into or out of a boilerplate element
@@ -54,8 +69,8 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])|display\s*:\s*none", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none(?![\w-])", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -64,15 +79,18 @@ class Element:
     number: int
     tag: str
     bias: float
-    boilerplate: bool
     content: bool
+    boilerplate: bool = False  # by its tag, or hidden
+    named: bool = False  # by a boilerplate word: the bias holds IN_BOILERPLATE_WORD
+    own_text: bool = False  # named by a word of OWN_TEXT_WORDS
 
 
 @dataclass
 class Block:
     path: tuple[int, ...]
-    bias: float
+    within: tuple[Element, ...]
     tag: str
+    bias: float = 0.0
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -80,29 +98,101 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
+def _words(names: str) -> tuple[set[str], bool, bool]:
+    """Boilerplate words of names; whether they hold content words, and such that outweigh those.
+
+    In ``has-sidebar`` the word tells what stands beside the element's text and doesn't count.
+    In ``article-header`` the header is the article's; ``post-comments`` are comments.
+    """
+    boilerplate, content, alone = set(), False, False
+    for name in names.split():
+        parts = [w.lower() for w in _WORD.findall(name)]
+        words = set()
+        for i, word in enumerate(parts):
+            before = i - 2 if i > 1 and parts[i - 1] in SIDE_WORDS else i - 1
+            if before < 0 or parts[before] not in BESIDE_WORDS:
+                words.add(word)
+        own = words & BOILERPLATE_WORDS
+        if not CONTENT_WORDS.isdisjoint(words):
+            content = True
+            alone = alone or not own or (own == {"header"} and not HEADED_WORDS.isdisjoint(words))
+        boilerplate |= own
+    return boilerplate, content, alone
+
+
 def _element(number: int, tag: str, attributes: str, parents: list[Element]) -> Element:
-    bias, inside = 0.0, any(e.content for e in parents)
-    boilerplate = tag in BOILERPLATE_TAGS
-    content = tag in CONTENT_TAGS
-    if boilerplate:
-        bias += IN_BOILERPLATE
-    if content:
-        bias += IN_CONTENT
+    out = Element(number, tag, 0.0, tag in CONTENT_TAGS)
+    if tag in BOILERPLATE_TAGS:
+        out.bias += IN_BOILERPLATE
+        out.boilerplate = True
+    if out.content:
+        out.bias += IN_CONTENT
     if tag == "header":
-        bias += IN_HEADER if inside else IN_BOILERPLATE
+        out.boilerplate = not any(e.content for e in parents)
+        out.bias += IN_BOILERPLATE if out.boilerplate else IN_HEADER
     if attributes:
-        words = set()
+        given: dict[str, str] = {}
         for m in _ATTRIBUTE.finditer(attributes):
-            words.update(w.lower() for w in _WORD.findall(m[2] or m[3] or m[4] or ""))
-        if _HIDDEN.search(attributes):
-            bias += IN_BOILERPLATE_WORD
-            boilerplate = True
-        if words & BOILERPLATE_WORDS and tag not in ("body", "html", "article", "main"):
-            bias += IN_BOILERPLATE_WORD
-            boilerplate = True
-        elif words & CONTENT_WORDS and not content:
-            bias += IN_CONTENT_WORD
-    return Element(number, tag, bias, boilerplate, content)
+            given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+        if "hidden" in given or _NOT_SHOWN.search(given.get("style", "")):
+            out.bias += IN_BOILERPLATE_WORD
+            out.boilerplate = True
+        boilerplate, content, alone = _words(f"{given.get('class', '')} {given.get('id', '')}")
+        role, main, _ = _words(given.get("role", ""))
+        if tag in HEADINGS:
+            boilerplate.discard("header")
+        out.own_text = not OWN_TEXT_WORDS.isdisjoint(boilerplate)
+        if boilerplate | role and tag not in ("body", "html", "article", "main"):
+            if (alone or main) and not role:
+                out.bias += IN_MIXED_WORDS + (0.0 if out.content else IN_CONTENT_WORD)
+            else:
+                out.bias += IN_BOILERPLATE_WORD
+                out.named = True
+        elif (content or main) and not out.content:
+            out.bias += IN_CONTENT_WORD
+    return out
+
+
+def _told(block: Block) -> int:
+    """Characters of a block that isn't mostly links and stands in no boilerplate tag."""
+    if any(e.boilerplate for e in block.within):
+        return 0
+    text = block.text()
+    return len(text) if 2 * block.linked <= len(text.split()) else 0
+
+
+def _weigh(found: list[Block]) -> None:
+    """Set the bias of every block from the elements it stands in.
+
+    A boilerplate word may name a frame around the main text. Its weight is lifted where the
+    element wraps most of the text in article and main elements, or holds FRAME of all text
+    (FRAME_BESIDE while an article or main outside has some). Comments, notices and the like
+    can outgrow the main text: theirs is lifted only where the page has next to nothing else.
+    """
+    named = {e.number: e for b in found for e in b.within if e.named}
+    if named:
+        total = articles = 0
+        inside, wrapped, told = ({n: 0 for n in named} for _ in range(3))
+        for block in found:
+            size = _told(block)
+            content = [i for i, e in enumerate(block.within) if e.content and not e.own_text]
+            total += size
+            articles += size if content else 0
+            for i, e in enumerate(block.within):
+                if e.named:
+                    inside[e.number] += size
+                    told[e.number] += size if content else 0
+                    wrapped[e.number] += size if content and content[-1] > i else 0
+        for n, e in named.items():
+            if e.own_text:
+                frame = total - inside[n] < OWN_TEXT_REST and (wrapped[n] > 0 or inside[n] >= OWN_TEXT_LEAST)
+            else:
+                share = FRAME_BESIDE if articles > told[n] else FRAME
+                frame = 2 * wrapped[n] > articles or (inside[n] > 0 and inside[n] >= share * total)
+            if frame:
+                e.bias -= IN_BOILERPLATE_WORD
+    for block in found:
+        block.bias = sum(e.bias for e in block.within)
 
 
 def blocks(page: str) -> list[Block]:
@@ -119,9 +209,7 @@ def blocks(page: str) -> list[Block]:
             if not text.strip():
                 return
             outer = [e for e in stack if e.tag in BLOCK_TAGS]
-            current = Block(
-                tuple(e.number for e in outer), sum(e.bias for e in stack), outer[-1].tag if outer else ""
-            )
+            current = Block(tuple(e.number for e in outer), tuple(stack), outer[-1].tag if outer else "")
             out.append(current)
         current.parts.append(text)
         if anchors:
@@ -174,7 +262,9 @@ def blocks(page: str) -> list[Block]:
         anchors += tag == "a"
     if last < len(page):
         add(page[last:])
-    return [b for b in out if b.text()]
+    out = [b for b in out if b.text()]
+    _weigh(out)
+    return out
 
 
 def content_score(block: Block) -> float:
@@ -182,7 +272,7 @@ def content_score(block: Block) -> float:
     words = block.text().split()
     share = min(1.0, block.linked / len(words))
     odds = BASE + block.bias + PER_WORD * min(len(words), MOST_WORDS) + ALL_LINKS * share
-    if block.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    if block.tag in HEADINGS:
         odds += HEADING
     if words[-1][-1] in ".!?\"')" and len(words) > 3:
         odds += SENTENCE
