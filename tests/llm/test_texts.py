@@ -246,6 +246,36 @@ def test_long_comments_do_not_become_the_article():
     assert mincut.main_text(page) == "\n".join([LONG] * 2)
 
 
+@pytest.mark.parametrize(
+    "between",
+    [
+        '<svg class="i"/>',
+        '<svg class="i"><path d="M0"/><title/><text>no</text></svg>',
+        "<svg><foreignObject><div><p>no</p></div></foreignObject></svg>",
+        "<svg><g>no<svg>no</svg>no</g></svg>",
+        "<svg>",
+        "<svg><path/></p>",
+        "<math/>",
+        "<math>",
+        "<object data=x>",
+        "<noscript>",
+        "<noscript><img src=x>no</noscript>",
+        "<select name=a>",
+        "<select name=a><option>no</select>",
+        "<select-box>",
+    ],
+)
+@pytest.mark.parametrize("after", ["", "<svg>no</svg><select><option>no</select><noscript>no</noscript>"])
+def test_embedded_elements_end_where_they_end(between, after):
+    page = f"<article><p>One of the sentences.</p>{between}<p>Two of the sentences.</p>{after}<p>Three of them.</p></article>"
+    assert mincut.main_text(page).split("\n") == ["One of the sentences.", "Two of the sentences.", "Three of them."]
+
+
+def test_formulas_objects_and_drawings_within_a_paragraph():
+    page = "<p>So <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></math> holds, <svg><foreignObject><p>no</p></foreignObject></svg>and <object><param name=a>a plain text</object> stays as it is.</p>"
+    assert mincut.main_text(page) == "So x=2 holds, and a plain text stays as it is."
+
+
 def test_broken_markup_and_odd_pages(spark):
     long = "<article>" + "<p>Some words of a long page." * 5000
     pages = [None, "", "<p", "<<<>>>", "<!-- open", "<script>x", "plain text without any markup at all, but a sentence.", long, "<a href='x", "</p></div>"]

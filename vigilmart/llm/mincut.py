@@ -28,6 +28,9 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": "li", "dd": "dd", "dt": "dt", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 LISTS = frozenset("ul ol menu dir dl table tbody thead tfoot tr select body".split())
+FOREIGN = frozenset("svg math".split())
+# Elements that end an open drawing, except within its foreignObject.
+BREAKS = BLOCK_TAGS | frozenset("b big br code em embed i img ruby s small span strong strike sub sup tt u var font".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog button fieldset label".split())
 CONTENT_TAGS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -63,12 +66,14 @@ ACROSS = 0.2  # the same, into or out of a boilerplate element
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|noscript|template|iframe|textarea|svg|math|select|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|title|template|iframe|textarea)(?![\w-])([^>]*)>.*?(?:</\1\s*>|\Z)"
+    r"|<(noscript|select)(?![\w-])[^>]*>(?:(?!<\3(?![\w-])).)*?</\3\s*>"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.DOTALL | re.IGNORECASE,
 )
+_SVG_END = re.compile(r"</svg", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none(?![\w-])", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -196,14 +201,20 @@ def _weigh(found: list[Block]) -> None:
 
 
 def blocks(page: str) -> list[Block]:
-    """Runs of text between block elements, in page order, with their place in the tree."""
+    """Runs of text between block elements, in page order, with their place in the tree.
+
+    Text of drawings (svg) is left out, up to their end tag or an element that can't stand in one.
+    """
     out: list[Block] = []
     stack: list[Element] = []
     current: Block | None = None
-    number = anchors = last = 0
+    number = anchors = foreign = drawings = last = 0
+    svg_end: int | None = None  # place of the page's last one
 
     def add(raw: str) -> None:
         nonlocal current
+        if drawings:
+            return
         text = html.unescape(raw) if "&" in raw else raw
         if current is None:
             if not text.strip():
@@ -216,8 +227,11 @@ def blocks(page: str) -> list[Block]:
             current.linked += len(text.split())
 
     def close(at: int) -> None:
-        nonlocal anchors
+        nonlocal anchors, foreign, drawings
         anchors -= sum(e.tag == "a" for e in stack[at:])
+        if foreign:
+            foreign -= sum(e.tag in FOREIGN for e in stack[at:])
+            drawings -= sum(e.tag == "svg" for e in stack[at:])
         del stack[at:]
 
     def found(tag: str, within: frozenset[str] = frozenset()) -> int | None:
@@ -228,14 +242,41 @@ def blocks(page: str) -> list[Block]:
                 return None
         return None
 
-    for m in _TOKEN.finditer(page):
+    while (m := _TOKEN.search(page, last)) is not None:
         if m.start() > last:
             add(page[last : m.start()])
         last = m.end()
-        name = m[3] or m[6]
+        name = m[5] or m[8]
         if name is None:
+            if foreign and m[1] and m[2].endswith("/"):  # such a tag has no text there
+                last = m.end(2) + 1
+            continue
+        tag, ending, attributes = name.lower(), bool(m[4] or m[7]), m[6] or m[9] or ""
+        if drawings:
+            at = found(tag if ending else "foreignobject", frozenset({"svg"}))
+            if at is None and tag in BREAKS and (tag != "br" or not ending):
+                at = next(i for i, e in enumerate(stack) if e.tag == "svg")
+                close(at)
+            else:  # within the drawing
+                if ending:
+                    if at is not None:
+                        close(at)
+                elif tag not in VOID_TAGS and not attributes.endswith("/"):
+                    number += 1
+                    stack.append(Element(number, tag, 0.0, False))
+                    foreign += tag in FOREIGN
+                    drawings += tag == "svg"
+                continue
+        if tag in FOREIGN and not ending:
+            if attributes.endswith("/"):
+                continue
+            if tag == "svg":
+                if svg_end is None:
+                    svg_end = max((e.start() for e in _SVG_END.finditer(page)), default=-1)
+                if svg_end < last:
+                    continue
+        elif foreign and attributes.endswith("/") and tag not in BREAKS:
             continue
-        tag, ending = name.lower(), bool(m[2] or m[5])
         if tag == "br":
             if current is not None:
                 current.parts.append(" ")
@@ -258,8 +299,10 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID_TAGS:
             continue
         number += 1
-        stack.append(_element(number, tag, m[4] or m[7] or "", stack))
+        stack.append(_element(number, tag, attributes, stack))
         anchors += tag == "a"
+        foreign += tag in FOREIGN
+        drawings += tag == "svg"
     if last < len(page):
         add(page[last:])
     out = [b for b in out if b.text()]
