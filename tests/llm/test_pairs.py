@@ -77,6 +77,18 @@ def test_rows_without_or_with_repeated_ids(spark, docs):
     assert oddsketch.near_duplicates(rows.where("false")).count() == 0
 
 
+def test_ids_repeated_with_different_texts(spark, docs):
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen".split()
+    a, b, c = (" ".join(f"{w}{k}" for w in words) for k in "abc")
+    near = f"{c} more"
+    rows = [(3, a), (5, a), (5, b), (5, None), (-7, c), (-7, b + " z"), (9, near), (9, "0 first of all texts"), (11, b), (12, "")]
+    found = {(r["doc_id"], r["n_shingles"]): r for r in oddsketch.near_duplicates(docs(*rows)).collect()}
+    # -7 and 5 share (nearly) b, 5 and 3 share a; 9 is near to -7 by a text that isn't its smallest.
+    assert {k[0]: r["component_id"] for k, r in found.items()} == {3: -7, 5: -7, -7: -7, 9: -7, 11: -7, 12: 12}
+    by_id = oddsketch.near_duplicates(docs(*rows)).groupBy("doc_id").agg(F.countDistinct("component_id").alias("n"))
+    assert {r["n"] for r in by_id.collect()} == {1}
+
+
 def test_odd_sketches_estimate_similarity():
     chance = np.random.default_rng(5)
     for share in (0.8, 0.9, 0.95):

@@ -35,6 +35,7 @@ SIMILARITY = 80  # per cent
 MOST_FLIPPED = 140  # of sketch bits, for a pair that may reach SIMILARITY
 SAMPLE_BITS = 9  # sets of up to 2^9 shingles are compared whole in the last round
 SLACK = 4.5
+_LOWEST = -(2**63)
 BLOCK = 2048
 _PIECE = 1 << 15  # shingles hashed at once, so they stay in the cache
 _seeds = np.random.default_rng(20240229)
@@ -136,6 +137,7 @@ def _signed(width: int):
                 yield pd.DataFrame(
                     {
                         "_id": part["_id"].array,
+                        "_row": part["_row"].array,
                         "_n": [len(s) for s in sets],
                         "_digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                         "_bands": band_of,
@@ -180,17 +182,18 @@ def near_duplicates(
 
     Texts are linked where 100 * common >= ``similarity`` * united shingles of ``width`` words
     (a shorter text is one shingle); ``similarity`` is 80 or more. Component: the smallest key
-    reachable by links. NULL and empty texts have no shingle and stand alone. Rows that repeat
-    a key are one document and stay together. Rows without a key are kept, linked with
+    reachable by links. NULL and empty texts have no shingle and link with nothing. Rows that repeat
+    a key are one document and stay together, whatever their texts. Rows without a key are kept, linked with
     nothing and have no component.
     """
-    columns = "_id bigint, _n bigint, _digest binary, _bands array<bigint>, _sketch array<bigint>"
-    source = docs.select(F.col(key).cast("bigint").alias("_id"), F.col(text).alias("_text"))
+    columns = "_id bigint, _row bigint, _n bigint, _digest binary, _bands array<bigint>, _sketch array<bigint>"
+    source = docs.select(F.col(key).cast("bigint").alias("_id"), F.col(text).alias("_text")).withColumn("_row", F.xxhash64("_text"))
     signed = settle(source.mapInPandas(_signed(width), columns), "signed")
     known = signed.where("_id is not null and _digest is not null")
     classes = known.groupBy("_digest").agg(
-        F.min("_id").alias("_node"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands"), F.first("_sketch").alias("_sketch")
+        F.min(F.struct("_id", "_row")).alias("_of"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands"), F.first("_sketch").alias("_sketch")
     )
+    classes = classes.select("_digest", "_of.*", "_n", "_bands", "_sketch", _node(F.col("_of._id"), F.col("_digest")).alias("_node"))
     classes = settle(classes, "classes")
     cards = classes.select("_node", "_n", "_sketch")
     members = classes.select("_node", F.explode("_bands").alias("_bucket"))
@@ -198,32 +201,53 @@ def near_duplicates(
     crowded = settle(members.join(leaders.where("_size > 1"), "_bucket"), "crowded")
     met = crowded.where("_node <> _leader").select(F.col("_node").alias("a"), F.col("_leader").alias("b"))
     met = settle(_sketched(met.distinct(), cards, similarity), "alike")
-    # Whatever shares a bucket may have to be confirmed: these texts are written once.
-    nodes = crowded.select("_node").distinct()
-    texts = source.join(nodes, source["_id"] == nodes["_node"], "left_semi")
-    texts = settle(texts.groupBy("_id").agg(F.min("_text").alias("_text")), "texts")
+    # Whatever shares a bucket may have to be confirmed: a text of each such class is written once.
+    chosen = classes.select("_node", "_id", "_row").join(crowded.select("_node").distinct(), "_node", "left_semi")
+    texts = source.join(chosen, ["_id", "_row"]).groupBy("_id", "_row")
+    texts = settle(texts.agg(F.min("_node").alias("_node"), F.min("_text").alias("_text")).select("_node", "_text"), "texts")
     # Each member first tries the leader whose sketch is nearest, then the others.
     nearest = met.groupBy("a").agg(F.min_by("b", F.struct("_flipped", "b")).alias("b"))
-    links = _links(nearest, texts, width, similarity)
+    links = _links(nearest, texts, width, similarity).unionByName(_repeated(known, classes))
     comps = graph.components(links)
     links = links.unionByName(_links(_apart(met.select("a", "b"), comps), texts, width, similarity))
     comps = graph.components(links)
     links = links.unionByName(_links(_unmet(crowded, texts, comps, width, similarity), texts, width, similarity))
     comps = graph.components(links)
     of_class = classes.join(comps, F.col("_node") == F.col("node"), "left").select(
-        "_digest", F.coalesce("component", "_node").alias("_component")
+        "_digest", _least_id(F.coalesce("component", "_node")).alias("_component")
     )
-    component = F.when(F.col("_id").isNotNull(), F.coalesce("_component", "_id"))
-    return (
-        signed.select("_id", "_n", "_digest")
-        .join(of_class, "_digest", "left")
-        .select(
-            F.col("_id").alias(key),
-            F.col("_n").alias("n_shingles"),
-            component.alias("component_id"),
-            F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"),
-        )
+    rows = signed.select("_id", "_n", "_digest").join(of_class, "_digest", "left")
+    # A row without shingles stands with the rows that repeat its key.
+    bare = signed.where("_id is not null and _digest is null").select("_id").distinct()
+    of_bare = (
+        known.select("_id", "_digest").join(bare, "_id", "left_semi").join(of_class, "_digest").groupBy("_id").agg(F.min("_component").alias("_beside"))
     )
+    rows = rows.join(of_bare, "_id", "left")
+    component = F.when(F.col("_id").isNotNull(), F.coalesce("_component", "_beside", "_id"))
+    return rows.select(
+        F.col("_id").alias(key),
+        F.col("_n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _node(least: Column, digest: Column) -> Column:
+    """A class by its smallest key and its digest, in the order of the keys."""
+    return F.concat(F.unhex(F.lpad(F.hex(least.bitwiseXOR(F.lit(_LOWEST))), 16, "0")), digest)
+
+
+def _least_id(node: Column) -> Column:
+    return F.conv(F.hex(F.substring(node, 1, 8)), 16, -10).cast("bigint").bitwiseXOR(F.lit(_LOWEST))
+
+
+def _repeated(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that share a key."""
+    several = known.groupBy("_id").agg(F.min(F.hex("_digest")).alias("_first"), F.max(F.hex("_digest")).alias("_last"))
+    several = several.where("_first <> _last").select("_id", F.unhex("_first").alias("_first"))
+    pairs = known.select("_id", "_digest").join(several, "_id").where("_digest <> _first").select("_digest", "_first").distinct()
+    a, b = (classes.select(F.col("_digest").alias(d), F.col("_node").alias(n)) for d, n in (("_digest", "a"), ("_first", "b")))
+    return settle(pairs.join(a, "_digest").join(b, "_first").select("a", "b"), "links")
 
 
 def _sketched(pairs: DataFrame, cards: DataFrame, similarity: int) -> DataFrame:
@@ -244,11 +268,11 @@ def _sketched(pairs: DataFrame, cards: DataFrame, similarity: int) -> DataFrame:
 def _links(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
     """The pairs that hold on the full sets."""
     sided = (
-        pairs.join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("_left")), "a")
-        .join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("_right")), "b")
+        pairs.join(texts.select(F.col("_node").alias("a"), F.col("_text").alias("_left")), "a")
+        .join(texts.select(F.col("_node").alias("b"), F.col("_text").alias("_right")), "b")
         .select("a", "b", "_left", "_right")
     )
-    return settle(sided.mapInPandas(_confirmed(width, similarity), "a bigint, b bigint"), "links")
+    return settle(sided.mapInPandas(_confirmed(width, similarity), "a binary, b binary"), "links")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -277,7 +301,7 @@ def _samples(width: int):
                 held.append(np.unique(short[short < np.uint64(1 << limit)]).astype(np.uint32).tobytes())
                 limits.append(limit)
                 sizes.append(len(found))
-            yield pd.DataFrame({"_node": batch["_id"].array, "_held": held, "_limit": limits, "_n": sizes})
+            yield pd.DataFrame({"_node": batch["_node"].array, "_held": held, "_limit": limits, "_n": sizes})
 
     return run
 
@@ -292,7 +316,7 @@ def _outsiders(similarity: int):
 
     def pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
         side = block["_side"].to_numpy()
-        nodes, comps = block["_node"].to_numpy(), block["_component"].to_numpy()
+        nodes, comps = block["_node"].to_numpy(), pd.factorize(block["_component"])[0]
         limits, sizes = block["_limit"].to_numpy(), block["_n"].to_numpy()
         held = [np.frombuffer(h, np.uint32) for h in block["_held"]]
         lookers, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -326,10 +350,10 @@ def _outsiders(similarity: int):
             rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             edges = np.flatnonzero((rows[["_bucket", "_i", "_j"]].diff().fillna(1) != 0).any(axis=1).to_numpy())
             found = [p for f, t in zip(edges[:-1], edges[1:], strict=True) for p in pairs(rows.iloc[f:t])]
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+            yield pd.DataFrame(found, columns=["a", "b"], dtype=object)
             rest = rows.iloc[edges[-1] :] if len(edges) else None
         if rest is not None:
-            yield pd.DataFrame(list(pairs(rest)), columns=["a", "b"], dtype="int64")
+            yield pd.DataFrame(list(pairs(rest)), columns=["a", "b"], dtype=object)
 
     return run
 
@@ -361,8 +385,8 @@ def _unmet(crowded: DataFrame, texts: DataFrame, comps: DataFrame, width: int, s
     )
     placed = settle(placed.join(split, "_bucket"), "open")
     nodes = placed.select("_node").distinct()
-    cards = texts.join(nodes, texts["_id"] == nodes["_node"], "left_semi").mapInPandas(
-        _samples(width), "_node bigint, _held binary, _limit int, _n bigint"
+    cards = texts.join(nodes, "_node", "left_semi").mapInPandas(
+        _samples(width), "_node binary, _held binary, _limit int, _n bigint"
     )
     cards = settle(cards, "samples")
     own = F.pmod(F.xxhash64("_node"), "_rows").cast("int")
@@ -382,6 +406,6 @@ def _unmet(crowded: DataFrame, texts: DataFrame, comps: DataFrame, width: int, s
         .join(cards, "_node")
         .repartition("_bucket", "_i", "_j")
         .sortWithinPartitions("_bucket", "_i", "_j")
-        .mapInPandas(_outsiders(similarity), "a bigint, b bigint")
+        .mapInPandas(_outsiders(similarity), "a binary, b binary")
         .distinct()
     )
