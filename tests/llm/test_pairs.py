@@ -103,6 +103,16 @@ def test_odd_sketches_estimate_similarity():
         assert flipped <= oddsketch.MOST_FLIPPED
 
 
+def test_sampled_sets_drop_fewer_pairs_than_the_bands():
+    from math import exp, lgamma, log, sqrt
+
+    def short(n):  # chance that n samples of a pair at 0.8 fall below the limit
+        limit = 0.8 * n - oddsketch.SLACK * sqrt(0.16 * n)
+        return sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(0.8) + (n - k) * log(0.2)) for k in range(n) if k < limit)
+
+    assert max(short(n) for n in range(200, 1200, 7)) < 5e-8
+
+
 def test_large_sets_hash_alike_in_pieces():
     values = np.unique(np.random.default_rng(2).integers(0, 2**63, 80_000, dtype=np.uint64))
     alone = oddsketch.minhashes([values])
