@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilmart.llm import bpe, cells, mincut, mixing, oddsketch, parsing, secretscan, toxicity, urls, warc
+from vigilmart.llm import alignment, bitsliced, bpe, cells, mincut, mixing, oddsketch, parsing, secretscan, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +107,15 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, model = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned_documents(_table(spark, sf_dir, "documents"), ranks, model)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -118,6 +127,8 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_secret_scans": op10_secret_scans,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_ranked_search": op13_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -225,4 +236,30 @@ ORACLES: dict[str, str] = {
     FROM placed
     """,
     "op10_secret_scans": _secret_sql(),
+    "op13_ranked_search": r"""
+    WITH found AS (
+        SELECT doc_id, row_number() OVER () AS row_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+        FROM documents),
+    sizes AS (SELECT row_id, doc_id, CAST(len(words) AS BIGINT) AS n FROM found WHERE len(words) > 0),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+    counted AS (
+        SELECT row_id, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term, count(*) AS tf
+        FROM (SELECT row_id, unnest(words) AS word FROM found) GROUP BY ALL),
+    asked AS (
+        SELECT item_id, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term, count(*) AS repeats
+        FROM (SELECT item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word
+              FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM counted, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+    scores AS (
+        SELECT item_id, doc_id,
+            CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+        FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN sizes USING (row_id), totals
+        GROUP BY item_id, row_id, doc_id),
+    placed AS (
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+    """,
 }
