@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilmart.llm import alignment, bitsliced, bpe, cells, mincut, mixing, oddsketch, parsing, secretscan, toxicity, urls, warc
+from vigilmart.llm import alignment, bitsliced, bpe, cells, intervals, mincut, mixing, oddsketch, parsing, secretscan, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +107,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.without_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, model = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.aligned_documents(_table(spark, sf_dir, "documents"), ranks, model)
@@ -127,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_secret_scans": op10_secret_scans,
+    "op11_repeat_removal": op11_repeat_removal,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_ranked_search": op13_ranked_search,
     "pipeline": corpus_pipeline.run,
@@ -236,6 +241,27 @@ ORACLES: dict[str, str] = {
     FROM placed
     """,
     "op10_secret_scans": _secret_sql(),
+    "op11_repeat_removal": """
+    WITH d AS (
+        SELECT row_number() OVER () AS row_id, doc_id, hex(encode(coalesce(text, ''))) AS body, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes
+        FROM documents),
+    windows AS (
+        SELECT row_id, first, md5(substr(body, 2 * first + 1, 800)) AS window_md5
+        FROM (SELECT row_id, body, unnest(range(0, n_bytes - 399)) AS first FROM d WHERE n_bytes >= 400)),
+    repeated AS (SELECT row_id, first FROM windows QUALIFY count(*) OVER (PARTITION BY window_md5) > 1),
+    marked AS (
+        SELECT row_id, first, CAST(first > lag(first, 1, -1000) OVER (PARTITION BY row_id ORDER BY first) + 400 AS INTEGER) AS opens
+        FROM repeated),
+    numbered AS (SELECT row_id, first, sum(opens) OVER (PARTITION BY row_id ORDER BY first) AS span FROM marked),
+    spans AS (SELECT row_id, span, min(first) AS first, max(first) + 400 AS last FROM numbered GROUP BY row_id, span),
+    gaps AS (SELECT row_id, first, last, lag(last, 1, 0) OVER (PARTITION BY row_id ORDER BY first) AS before FROM spans),
+    cut AS (
+        SELECT row_id, CAST(sum(last - first) AS BIGINT) AS n_removed, count(*) AS n_spans,
+            string_agg(substr(body, 2 * before + 1, 2 * (first - before)), '' ORDER BY first) || substr(any_value(body), 2 * max(last) + 1) AS kept
+        FROM gaps JOIN d USING (row_id) GROUP BY row_id)
+    SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, body))) AS kept_sha256
+    FROM d LEFT JOIN cut USING (row_id)
+    """,
     "op13_ranked_search": r"""
     WITH found AS (
         SELECT doc_id, row_number() OVER () AS row_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words

@@ -18,15 +18,29 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("bigint").alias("_key"), digest(F.col(text)).alias("_digest"))
 
 
-def carried(rows: DataFrame, measures: DataFrame, copies: str = "copies") -> DataFrame:
-    """Join ``rows`` with the one row of ``measures`` of their ``_digest``.
+def carried(rows: DataFrame, measures: DataFrame, on: str | list[str] = "_digest", copies: str = "copies") -> DataFrame:
+    """Join ``rows`` with the one row of ``measures`` of their key ``on``.
 
-    Texts that more than one row in ``MOST_HOT`` holds are at most ``MOST_HOT``; their measures
-    are sent to all tasks, so that no task has to take all copies of a text. The others are
-    joined by a shuffle.
+    ``copies`` says how many rows have a key. Keys that more than one row in ``MOST_HOT`` has
+    are at most ``MOST_HOT``; their measures are sent to all tasks, so that no task has to take
+    all rows of a key. The others are joined by a shuffle.
     """
+    on = [on] if isinstance(on, str) else on
     total = measures.agg(F.sum(copies)).first()[0] or 0
     often = F.col(copies) * MOST_HOT > F.lit(total)
     hot = F.broadcast(measures.where(often))
-    rest = rows.join(hot.select("_digest"), "_digest", "left_anti")
-    return rows.join(hot, "_digest").unionByName(rest.join(measures.where(~often), "_digest"))
+    rest = rows.join(hot.select(*on), on, "left_anti")
+    return rows.join(hot, on).unionByName(rest.join(measures.where(~often), on))
+
+
+def of_digests(docs: DataFrame, wanted: DataFrame, text: str, most_sent: int = 500_000) -> DataFrame:
+    """``_digest`` and ``_text`` of each text that ``wanted`` names, once.
+
+    Up to ``most_sent`` digests are sent to the tasks that read the texts; with more, one row
+    of every text is taken before the join, so that copies of one text never meet in a task.
+    """
+    source = docs.select(digest(F.col(text)).alias("_digest"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    wanted = wanted.select("_digest")
+    if wanted.count() <= most_sent:
+        return source.join(F.broadcast(wanted), "_digest", "left_semi").groupBy("_digest").agg(F.first("_text").alias("_text"))
+    return source.groupBy("_digest").agg(F.first("_text").alias("_text")).join(wanted, "_digest", "left_semi")
