@@ -135,7 +135,9 @@ def test_whole_texts_are_coded_as_by_the_library(spark, docs, library):
     chance = random.Random(8)
     texts = [*ODD, *(prose(chance, 2000) for _ in range(5)), " " * 20000 + "x", "\n " * 9000]
     rows = [*enumerate(texts), (0, ""), (None, "no id")]
-    found = bpe.coded(docs(*rows), public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
+    coded = bpe.coded(docs(*rows), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert {r["doc_id"]: r["decoded"] for r in coded.collect()}[5] == ODD[5]
+    found = bpe.digested(coded).collect()
     assert len(found) == len(rows)
     expected = []
     for key, text in rows:
@@ -146,6 +148,50 @@ def test_whole_texts_are_coded_as_by_the_library(spark, docs, library):
     assert bpe.coded(docs((1, "a")).where("false"), public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
 
 
+@pytest.mark.parametrize("letter", [" ", "\n", "\u3000", "x", "é", "7", "!", " x", "\n\t", "'s", "<|endoftext|>"])
+@pytest.mark.parametrize("around", [("", ""), ("a ", "b"), ("", " <|endoftext|>")])
+def test_long_runs_are_coded_as_by_the_library(library, ranks, letter, around):
+    coder = bpe.Coder(ranks)
+    for length in (1, 999, 1001, 3_000_000 if letter.isspace() and around[0] else 200_000):
+        text = around[0] + letter * (length // len(letter)) + around[1]
+        ids = coder.encode(text).tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        assert coder.decode(ids) == text
+
+
+class Sliding(bpe.Coder):
+    """A coder whose tokens depend on the whole text: no joint can agree."""
+
+    def plain(self, text):
+        return np.array([len(text) % 256, *super().plain(text)], np.int32)
+
+
+def test_joints_are_compared_and_grow_until_they_agree(ranks):
+    chance = random.Random(9)
+    text = prose(chance, 3000)
+    coder = bpe.Coder(ranks)
+    exact = coder.plain(text).tolist()
+    assert coder.encode(text).tolist() == exact and len(bpe.chunks(text)) > 5 and not coder.grown
+    # Spoil the inner word that a chunk shows its neighbour: the stretch takes the whole chunk in.
+    for spoilt in bpe.chunks(text)[1:4]:
+        chunk = coder.known[spoilt]
+        chunk.ids = chunk.ids.copy()
+        chunk.ids[chunk.heads[0][1] : chunk.heads[1][1]] += 1
+    assert coder.encode(text).tolist() == exact
+    sliding = Sliding(ranks)
+    assert sliding.encode(text).tolist() == sliding.plain(text).tolist() and sliding.grown
+
+
+def test_chunks_used_last_stay_known(ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "_CACHED_CHARS", 5000)
+    chance = random.Random(10)
+    coder = bpe.Coder(ranks)
+    for _ in range(30):
+        text = prose(chance, 300)
+        assert coder.encode(text).tolist() == coder.plain(text).tolist()
+        assert coder.held == sum(map(len, coder.known)) <= 5000 + bpe.MOST
+
+
 def cut_cost(scores, ties, kept):
     cost = sum(s for s, k in zip(scores, kept, strict=True) if s > 0 and not k)
     cost -= sum(s for s, k in zip(scores, kept, strict=True) if s < 0 and k)

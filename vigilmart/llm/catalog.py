@@ -81,7 +81,8 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.coded(_table(spark, sf_dir, "documents"), public_tokenizers.path(corpus_pipeline.VOCABULARY), ids=False)
+    found = bpe.coded(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digested(found).drop("ids")
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
