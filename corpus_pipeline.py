@@ -48,7 +48,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the text they decode to."""
-    return bpe.coded(docs, public_tokenizers.path(VOCABULARY))
+    return bpe.digested(bpe.coded(docs, public_tokenizers.path(VOCABULARY)))
 
 
 STAGES: list[tuple[str, Stage]] = [
