@@ -9,6 +9,7 @@ from vigilmart.functions.columns import match_name
 from vigilmart.sources.workspace import settle
 
 GRAM = 3
+COMPARED = 8  # keys whose join costs about as much as the comparison of one pair
 
 
 def _listed_names(watchlist: DataFrame) -> DataFrame:
@@ -32,88 +33,125 @@ def sanctions_hits(dim_customer: DataFrame, watchlist: DataFrame) -> DataFrame:
     )
 
 
-def _without_one_char(text: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.length(text)),
-        lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))),
-    )
-
-
-def _deletion_variants(text: Column, distance: int) -> Column:
-    """The text and all texts left after deleting up to ``distance`` characters.
+def _deletions(names: DataFrame, column: str, distance: int) -> DataFrame:
+    """All texts left after deleting up to ``distance`` characters, with where they were.
 
-    Two texts within an edit distance d of each other always share one that both reach by
-    at most d deletions, so an equality join on the variants misses no pair.
+    Of a run of one character the first is deleted, as all leave the same text; the gaps tell
+    for each deleted character between which places of the rest it may have stood.
     """
-    ring = F.array(text)
-    rings = [ring]
+    gap = "array<struct<low: int, high: int>>"
+    ring = names.select(column, F.col(column).alias("_rest"), F.lit(1).alias("_from"), F.array().cast(gap).alias("_gaps"))
+    every = ring
+    rest, place = F.col("_rest"), F.col("_place")
+    char, after = F.substring(rest, place, F.lit(1)), F.substring(rest, place, F.length(rest))
+    run = F.length(after) - F.length(F.ltrim(after, char))
+    stood = F.array(F.struct((place - 1).alias("low"), (place + run - 2).alias("high")))
     for _ in range(distance):
-        longer = F.filter(ring, lambda t: F.length(t) > 0)
-        ring = F.array_distinct(F.flatten(F.transform(longer, _without_one_char)))
-        rings.append(ring)
-    return F.array_distinct(F.flatten(F.array(*rings)))
+        ring = (
+            ring.where(F.col("_from") <= F.length(rest))
+            .select("*", F.explode(F.sequence(F.col("_from"), F.length(rest))).alias("_place"))
+            .where((place == F.col("_from")) | (char != F.substring(rest, place - 1, F.lit(1))))
+            .select(
+                column,
+                F.concat(F.substring(rest, F.lit(1), place - 1), F.substring(rest, place + 1, F.length(rest))).alias("_rest"),
+                place.alias("_from"),
+                F.concat("_gaps", stood).alias("_gaps"),
+            )
+        )
+        every = every.unionByName(ring)
+    return every
+
+
+def _n_variants(length: Column, distance: int) -> Column:
+    """An upper bound of the number of deletion variants of a text."""
+    total = ring = F.lit(1.0)
+    for k in range(distance):
+        ring = ring * F.greatest(length - k, F.lit(0)) / (k + 1)
+        total = total + ring
+    return total
 
 
 def _grams(text: Column) -> Column:
-    """The GRAM-character pieces of a text, each with the number of its occurrence."""
-    starts = F.sequence(F.lit(1), F.length(text) - GRAM + 1)
-    pieces = F.when(F.length(text) >= GRAM, F.transform(starts, lambda i: F.substring(text, i, GRAM)))
-    pieces = F.coalesce(pieces, F.array().cast("array<string>"))
-
-    def numbered(all_pieces: Column) -> Column:
-        def number(piece: Column, place: Column) -> Column:
-            upto = F.slice(all_pieces, F.lit(1), place + 1)
-            return F.struct(piece.alias("gram"), F.size(F.filter(upto, lambda x: x == piece)).alias("nth"))
-
-        return F.transform(all_pieces, number)
-
-    return F.element_at(F.transform(F.array(pieces), numbered), 1)
+    """The GRAM-character pieces of a text, each with its place."""
+    pieces = F.transform(
+        F.sequence(F.lit(1), F.length(text) - GRAM + 1), lambda i: F.struct(F.substring(text, i, GRAM).alias("gram"), i.alias("place"))
+    )
+    return F.when(F.length(text) >= GRAM, pieces)
 
 
 def _rarest(names: DataFrame, column: str, frequency: DataFrame, n: int) -> DataFrame:
-    """Keys of the n rarest grams of each name, under one order for all names."""
-    pieces = names.select(column, F.explode(_grams(F.col(column))).alias("_g")).select(column, "_g.gram", "_g.nth")
+    """``gram`` and ``place`` of the n rarest pieces of each name, under one order of all pieces.
+
+    Other places of the last of them are in too, so that pieces of one text never tell apart
+    what is among the rarest and what is not.
+    """
+    pieces = names.select(column, F.inline(_grams(F.col(column))))
     weighed = pieces.join(frequency, "gram", "left").select(
-        column, F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("gram"), F.col("nth")).alias("_g")
-    )
-    first = weighed.groupBy(column).agg(F.slice(F.array_sort(F.collect_list("_g")), 1, n).alias("_first"))
-    return first.select(column, F.explode("_first").alias("_g")).select(
-        column, F.xxhash64("_g.gram", "_g.nth").alias("key")
+        column, F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("gram"), F.col("place")).alias("_g")
     )
+    every = weighed.groupBy(column).agg(F.array_sort(F.collect_list("_g")).alias("_all"))
+    last = F.element_at("_all", n)
+    first = F.filter("_all", lambda g: F.struct(g["n"], g["gram"]) <= F.struct(last["n"], last["gram"]))
+    return every.select(column, F.explode(first).alias("_g")).select(column, "_g.gram", "_g.place")
 
 
 def _by_variants(names: DataFrame, column: str, distance: int) -> DataFrame:
-    variants = F.transform(_deletion_variants(F.col(column), distance), lambda t: F.xxhash64(F.lit("whole"), t))
-    return names.select(column, F.explode(variants).alias("key"))
+    """Digests of what deletions leave of each name, and the gaps."""
+    left = _deletions(names, column, distance)
+    return left.select(column, F.xxhash64("_rest").alias("key"), F.col("_gaps").alias(f"{column}_gaps"))
+
+
+def _may_be_near(one: Column, other: Column, distance: int) -> Column:
+    """Whether names with one rest can be near: what is not deleted on both sides at one gap,
+    as a replaced character is, costs an edit of its own."""
+    both = F.filter(one, lambda g: F.exists(other, lambda h: (g["low"] <= h["high"]) & (h["low"] <= g["high"])))
+    return F.size(one) + F.size(other) - distance <= F.size(both)
 
 
 def candidate_names(names: DataFrame, listed: DataFrame, max_distance: int) -> DataFrame:
     """Pairs of distinct names that may be within ``max_distance`` edits; none is missed.
 
-    An edit changes at most GRAM grams, so of two near names each shares all but
-    GRAM * max_distance of its grams with the other, hence one of its GRAM * max_distance + 1
-    rarest with the rarest of the other. Frequencies are those of the list: what many names
-    have in common, such as a prefix, is never among the rarest and joins nothing. Names too
-    short to have that many grams meet on their deletion variants. The keys of both sides are
-    written, so Spark knows their size before it picks the join.
+    Each listed name is in one of two indexes, and every name asks both.
+
+    *Rare pieces.* An edit changes at most GRAM pieces, so of two near names one of the
+    GRAM * max_distance + 1 rarest pieces of each is among those of the other, at most
+    ``max_distance`` places away. How rare a piece is follows from the list.
+
+    *Deletion variants.* Numbered names have no rare pieces: what tells them apart are a few
+    digits in the midst of zeros. Near names share a text that both reach by ``max_distance``
+    deletions at gaps that go together, and others hardly ever do.
+
+    The pieces of the names are counted by place, which tells how many names a listed one would
+    meet on its pieces. It goes to the variants where these cost less, or where it is too short
+    to have enough pieces. Keys of both sides are written, so Spark knows their size before it
+    picks the joins.
     """
     rare = GRAM * max_distance + 1
-    enough = GRAM + GRAM * max_distance  # length from which a name has that many grams
-    listed_by_gram = listed.where(F.length("listed_name") >= enough)
-    frequency = settle(
-        listed_by_gram.select(F.explode(_grams(F.col("listed_name"))).alias("_g"))
-        .groupBy(F.col("_g.gram").alias("gram"))
-        .agg(F.count("*").alias("_n")),
-        "gram-counts",
+    enough = GRAM + GRAM * max_distance  # length from which a name has that many pieces
+    names, listed = names.where("match_name is not null"), listed.where("listed_name is not null")
+    long = listed.where(F.length("listed_name") >= enough + max_distance)
+    pieces = long.select(F.explode(_grams(F.col("listed_name"))["gram"]).alias("gram"))
+    frequency = settle(pieces.groupBy("gram").agg(F.count("*").alias("_n")), "gram-counts")
+    asked = settle(_rarest(names.where(F.length("match_name") >= enough), "match_name", frequency, rare), "name-pieces")
+    reach = F.explode(F.sequence(F.col("place") - max_distance, F.col("place") + max_distance))
+    held = settle(_rarest(long, "listed_name", frequency, rare).withColumn("place", reach), "list-pieces")
+    met = asked.groupBy("gram", "place").agg(F.count("*").alias("_met"))
+    cost = held.join(met, ["gram", "place"]).groupBy("listed_name").agg(F.sum("_met").alias("_cost"))
+    by_pieces = long.join(cost, "listed_name", "left").where(
+        F.coalesce("_cost", F.lit(0)) * COMPARED <= _n_variants(F.length("listed_name"), max_distance)
     )
-
-    def keyed(side: DataFrame, column: str) -> DataFrame:
-        long = side.where(F.length(column) >= enough)
-        short = side.where(F.length(column) < enough + max_distance)
-        keys = _rarest(long, column, frequency, rare).unionByName(_by_variants(short, column, max_distance))
-        return settle(keys, f"{column.replace('_', '-')}-keys")
-
-    return keyed(names, "match_name").join(keyed(listed, "listed_name"), "key").select("match_name", "listed_name").distinct()
+    by_pieces = settle(by_pieces.select("listed_name"), "list-by-pieces")
+    on_pieces = asked.join(held.join(by_pieces, "listed_name"), ["gram", "place"]).select("match_name", "listed_name")
+
+    by_variants = listed.join(by_pieces, "listed_name", "left_anti")
+    variants = settle(_by_variants(by_variants, "listed_name", max_distance), "list-variants")
+    lengths = variants.select(F.min(F.length("listed_name")), F.max(F.length("listed_name"))).first()
+    if lengths[0] is None:
+        return on_pieces.distinct()
+    near = names.where(F.length("match_name").between(lengths[0] - max_distance, lengths[1] + max_distance))
+    on_variants = settle(_by_variants(near, "match_name", max_distance), "name-variants").join(variants, "key")
+    on_variants = on_variants.where(_may_be_near(F.col("match_name_gaps"), F.col("listed_name_gaps"), max_distance))
+    return on_pieces.unionByName(on_variants.select("match_name", "listed_name")).distinct()
 
 
 def similar_names(names: DataFrame, listed: DataFrame, max_distance: int) -> DataFrame:
