@@ -65,3 +65,33 @@ def test_nulls_repeats_empty_texts_and_no_rows(spark, docs):
     assert toxicity.score(texts, model).count() == 305
     none = labels.where("false")
     assert toxicity.score(texts.where("false"), toxicity.fit(texts.where("false"), none)).count() == 0
+
+
+def test_a_toxic_word_outside_the_sample_is_known(spark, docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_POSITIVE", 40)
+    monkeypatch.setattr(toxicity, "MOST_UNLABELLED", 200)
+    toxic = [(i, f"vile thing number {i} said" if i % 30 else f"grubby remark number {i} said") for i in range(0, 3000, 3)]
+    clean = [(i, f"kind remark thing number {i} said") for i in range(3000) if i % 3]
+    labels = spark.createDataFrame([(i, 1) for i, _ in toxic] + [(i, 0) for i, _ in clean], "doc_id bigint, toxic int")
+    texts = docs(*toxic, *clean)
+    sampled = []
+    train = toxicity.train
+
+    def seen(rows, positive, n_features, prior):
+        sampled.append(len(rows))
+        return train(rows, positive, n_features, prior)
+
+    monkeypatch.setattr(toxicity, "train", seen)
+    model = toxicity.fit(texts, labels)
+    assert sampled == [240]
+    assert model.weights["grubby"] > 0 and model.weights["vile"] > 0 and "kind" not in model.weights
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(texts, model).collect()}
+    assert all(found[i] == 1 for i, t in toxic) and not any(found[i] for i, _ in clean)
+
+
+def test_both_ways_to_the_labels_agree(spark, docs, monkeypatch):
+    rows = [(i, f"vile thing {i}" if i % 5 == 0 else f"fine thing {i}") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    sent = toxicity.fit(docs(*rows), labels)
+    monkeypatch.setattr(toxicity, "MOST_SENT", 0)
+    assert toxicity.fit(docs(*rows), labels) == sent

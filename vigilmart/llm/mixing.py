@@ -23,6 +23,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
+MOST_REPEATED = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -79,17 +80,28 @@ def mix(
 
     ``key`` is a whole number that orders documents of one size. NULL sources form a source of
     their own, the last; documents of size 0 count as any other and weigh nothing; an empty
-    table stays empty. Rows that repeat a key are documents of their own. Columns of ``docs``
-    named as the new ones are replaced. Reruns agree, as nothing depends on row order.
+    table stays empty. Rows that repeat a key, or have none, are documents of their own, ordered
+    by a digest of all their columns. Columns of ``docs`` named as the new ones are replaced.
+    Reruns agree, as nothing depends on row order: rows that tie are equal in every column.
+
+    Documents of one source and size are numbered in buckets by key; rows without a key, and
+    those of keys that more than one row in ``MOST_REPEATED`` has, are dealt by their digest.
     """
     new = ("size", "source_size", "target", "copies")
-    buckets = max(1, math.ceil(math.sqrt(docs.count())))
+    n_rows = docs.count()
+    buckets = max(1, math.ceil(math.sqrt(n_rows)))
+    repeated = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") * MOST_REPEATED > n_rows)
+    hot = [r[key] for r in repeated.where("_n > 1").select(key).collect()]  # at most MOST_REPEATED
+    digest = F.xxhash64(*docs.columns)
+    by_key = F.pmod(F.col(key), F.lit(buckets))
+    by_digest = F.pmod(digest, F.lit(buckets))
     rows = docs.withColumns(
         {
             "_words": size,
             "_source": F.coalesce(F.col(source), F.lit("")),
             "_none": F.col(source).isNull(),
-            "_bucket": F.pmod(F.coalesce(F.col(key), F.lit(0)), F.lit(buckets)),
+            "_bucket": F.when(F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False)), by_digest).otherwise(by_key),
+            "_digest": digest,
         }
     ).drop(*new)
     of = ["_none", "_source"]
@@ -107,7 +119,7 @@ def mix(
     )
     numbered = rows.join(starts, [*of, "_words", "_bucket"]).withColumn(
         "_rank",
-        F.row_number().over(Window.partitionBy(*of, "_words", "_bucket").orderBy(key)) + F.col("_before") + F.col("_below"),
+        F.row_number().over(Window.partitionBy(*of, "_words", "_bucket").orderBy(key, "_digest")) + F.col("_before") + F.col("_below"),
     )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     start = F.when(F.col("_none"), offset(F.lit(None).cast("string"), seed)).otherwise(offset(F.col("_source"), seed))

@@ -4,13 +4,16 @@ Confirmed toxic texts (P) and unlabelled ones (U) train a linear classifier. Wit
 ``prior`` of toxic texts among U, the risk of calling P toxic and U clean is corrected for the
 toxic texts inside U, and the corrected part is kept from falling below zero (nnPU). The
 features of a text are its words and their first characters, each counted once, however long
-the text is. Sampling and feature counting are Spark jobs; numpy trains on the bounded sample;
-texts are scored where they lie, without a shuffle.
+the text is. Features are counted over all labelled texts that aren't held out, by partial
+sums; numpy trains their weights on a bounded sample of these texts; a feature that no sampled
+text holds gets the weight that others have at its log ratio. Texts are scored where they lie,
+without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -19,11 +22,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilmart.sources.workspace import settle
+
 THRESHOLD = 0.3
-# Bounds of what is fitted on: texts sampled for training, and features of the model.
+# Bounds of what is fitted on: labelled texts sampled for training, and features of the model.
 MOST_POSITIVE = 4000
 MOST_UNLABELLED = 12000
-MOST_FEATURES = 4096
+MOST_FEATURES = 65_536
+MOST_SENT = 1_000_000  # labels that are sent to the tasks that read texts; more are joined by a shuffle
 LEAST_EXCESS = 4.0
 PREFIX = 4
 _TOKEN = re.compile(r"\w+")
@@ -51,11 +57,17 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def _explained(texts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _counted(texts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Features with the toxic (``p``) and all (``u``) texts that hold them; '' counts the texts."""
     for batch in texts:
-        yield pd.DataFrame(
-            {"_row": batch["_row"], "_positive": batch["_positive"], "_features": [sorted(features(t)) for t in batch["_text"]]}
-        )
+        p, u = Counter(), Counter()
+        for toxic, text in zip(batch["_toxic"], batch["_text"], strict=True):
+            found = features(text)
+            found.add("")
+            u.update(found)
+            if toxic:
+                p.update(found)
+        yield pd.DataFrame({"f": list(u), "p": [p[f] for f in u], "u": list(u.values())})
 
 
 def risk_step(scores: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
@@ -113,60 +125,54 @@ def fit(
 ) -> Model:
     """Train on texts and labels of rows that aren't held out.
 
-    The sample is the first ``MOST_POSITIVE`` toxic and ``MOST_UNLABELLED`` of all ids by hash.
-    ``prior`` defaults to the share of toxic texts among the labelled ones. Ids labelled more
-    than once are toxic if one label says so; NULL ids, labels and texts teach nothing. With
-    no toxic example every text gets the prior as its score (0.01 without labels).
+    The sample is the first ``MOST_POSITIVE`` toxic and the first ``MOST_UNLABELLED`` of all
+    labelled ids by hash. ``prior`` defaults to the share of toxic texts among the labelled ones.
+    Ids labelled more than once are toxic if one label says so; NULL ids, labels and texts teach
+    nothing. With no toxic example every text gets the prior as its score (0.01 without labels).
     """
     seen = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
         .groupBy(key)
         .agg(F.max(label).alias("_toxic"))
     )
-    share = seen.agg(F.avg("_toxic").alias("share")).first()["share"]
-    prior = min(max(share if prior is None and share is not None else prior or 0.01, 1e-3), 0.5)
-    order = F.xxhash64(F.lit(7), F.col(key))
-    positive = seen.where(F.col("_toxic") == 1).select(key, F.lit(1.0).alias("_positive"))
-    ids = docs.where(F.col(key).isNotNull() & ~held_out(F.col(key))).select(key)
-    # U stands for all texts, the confirmed ones among them; only then does ``prior`` hold for it.
-    unlabelled = ids.select(key, F.lit(0.0).alias("_positive"))
-    sample = (
-        positive.orderBy(order).limit(MOST_POSITIVE).union(unlabelled.orderBy(order).limit(MOST_UNLABELLED))
-    )
-    texts = docs.where(F.col(text).isNotNull()).select(F.col(key), F.col(text).alias("_text"))
-    # At most MOST_POSITIVE + MOST_UNLABELLED ids, so the texts need not move to meet them.
-    texts = texts.join(F.broadcast(sample), key).select(F.xxhash64(key).alias("_row"), "_positive", "_text")
-    parts = texts.mapInPandas(_explained, "_row bigint, _positive double, _features array<string>").persist()
-    counts = parts.select("_positive", F.explode("_features").alias("f")).groupBy("f")
-    totals = parts.agg(F.sum("_positive").alias("p"), F.sum(1 - F.col("_positive")).alias("u")).first()
-    n_p, n_u = float(totals["p"] or 0), float(totals["u"] or 0)
+    seen = settle(seen, "labels")
+    known = seen.agg(F.avg("_toxic").alias("share"), F.count("*").alias("n")).first()
+    prior = min(max(known["share"] if prior is None and known["share"] is not None else prior or 0.01, 1e-3), 0.5)
+    texts = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key)))
+    texts = texts.select(F.col(key), F.col(text).alias("_text"))
+    labelled = texts.join(F.broadcast(seen) if known["n"] <= MOST_SENT else seen, key)
+    counts = labelled.select("_toxic", "_text").mapInPandas(_counted, "f string, p bigint, u bigint")
+    counts = settle(counts.groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where("p >= 2 or f = ''"), "features")
+    totals = counts.where("f = ''").first()
+    n_p, n_u = (float(totals["p"]), float(totals["u"])) if totals else (0.0, 0.0)
     if not n_p:
-        parts.unpersist()
         return Model({}, float(np.log(prior / (1 - prior))))
-    # Features that toxic texts hold far more often than the rest, by standard deviations.
+    # Features that toxic texts hold far more often than all texts, by standard deviations.
     expected = n_p * (F.col("u") + 0.5) / (n_u + 1)
     excess = (F.col("p") - expected) / F.sqrt(expected + 1.0)
-    chosen = [
-        r["f"]
-        for r in counts.agg(F.sum("_positive").alias("p"), F.sum(1 - F.col("_positive")).alias("u"))
-        .where((F.col("p") >= 2) & (excess >= LEAST_EXCESS))
-        .orderBy(excess.desc(), "f")
-        .limit(MOST_FEATURES)
-        .collect()
-    ]
-    place = {f: i for i, f in enumerate(chosen)}
+    chosen = counts.where((F.col("p") >= 2) & (F.col("f") != "") & (excess >= LEAST_EXCESS)).orderBy(excess.desc(), "f").limit(MOST_FEATURES).collect()
+    place = {r["f"]: i for i, r in enumerate(chosen)}
+    ratio = np.array([np.log((r["p"] + 0.5) / (n_p + 1)) - np.log((r["u"] + 0.5) / (n_u + 1)) for r in chosen])
 
     def indexed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [[place[f] for f in fs if f in place] for fs in b["_features"]]
+            found = [sorted(place[f] for f in features(t) if f in place) for t in b["_text"]]
             yield pd.DataFrame({"_row": b["_row"], "_positive": b["_positive"], "_found": found})
 
-    table = parts.mapInPandas(indexed, "_row bigint, _positive double, _found array<int>").toPandas()
-    parts.unpersist()
+    order = F.xxhash64(F.lit(7), F.col(key))
+    positive = seen.where("_toxic = 1").orderBy(order).limit(MOST_POSITIVE).select(key, F.lit(1.0).alias("_positive"))
+    # U stands for all texts, the confirmed ones among them; only then does ``prior`` hold for it.
+    unlabelled = seen.orderBy(order).limit(MOST_UNLABELLED).select(key, F.lit(0.0).alias("_positive"))
+    # At most MOST_POSITIVE + MOST_UNLABELLED ids, so the texts need not move to meet them.
+    sample = texts.join(F.broadcast(positive.unionByName(unlabelled)), key).select(F.xxhash64(key).alias("_row"), "_positive", "_text")
+    table = sample.mapInPandas(indexed, "_row bigint, _positive double, _found array<int>").toPandas()
     table = table.sort_values(["_positive", "_row"], kind="stable")
     rows = [np.asarray(x, dtype=np.int64) for x in table["_found"]]
     weights, bias = train(rows, table["_positive"].to_numpy(), len(chosen), prior)
-    return Model(dict(zip(chosen, weights.tolist(), strict=True)), bias)
+    met = np.isin(np.arange(len(chosen)), np.concatenate([r for r, p in zip(rows, table["_positive"], strict=True) if p] or [np.zeros(0)]))
+    slope = max(float(weights[met] @ ratio[met]), 0.0) / max(float(ratio[met] @ ratio[met]), 1e-9)
+    weights = np.where(met, weights, slope * ratio)
+    return Model({r["f"]: float(w) for r, w in zip(chosen, weights, strict=True)}, bias)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
