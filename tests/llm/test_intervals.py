@@ -34,7 +34,7 @@ def test_interval_tree_finds_all_maximal_repeats(letters):
         suffixes = intervals.Suffixes(strings, groups, least)
         found = {
             (length, tuple(sorted((int(suffixes.string[i]), int(suffixes.offset[i])) for i in range(first, last + 1))))
-            for first, last, length in intervals.maximal(suffixes, least)
+            for first, last, length in intervals.maximal(suffixes)
         }
         assert found == set(occurrences(strings, groups, least))
 

@@ -7,9 +7,10 @@ bytes of its windows. Runs are grouped by anchor in a shuffle, equal contents co
 they move. Then, by the number of different contents of an anchor:
 
 * one content that occurs more than once: all its windows repeat;
-* some, or one whose anchor occurs again inside it: their suffixes are sorted, common prefixes measured, and a stack scan of these builds
-  the tree of common-prefix intervals. Intervals that are left diverse (their suffixes are
-  preceded by different bytes, or start a content) are the maximal repeats;
+* some, or one whose anchor occurs again inside it: their suffixes are sorted, common prefixes
+  measured, and a stack scan of these builds the tree of common-prefix intervals. Intervals
+  that are left diverse (their suffixes are preceded by different bytes, or start a content)
+  are the maximal repeats;
 * more than ``MOST_CONTENTS``: the contents are texts of their own, cut anew with longer grams,
   hence into shorter runs that share more; with grams of a whole window a run is one window.
 
@@ -33,8 +34,7 @@ from vigilmart.sources.workspace import settle
 
 LENGTH = 400
 MOST_CONTENTS = 256
-_BATCH = 1_000_000
-_UNIT = 7  # symbols of 9 bits that fit a rank of 64 bits
+_BATCH = 400_000
 
 _BYTE_HASHES = np.random.default_rng(23).integers(1, 2**63, 256, dtype=np.uint64)
 
@@ -136,57 +136,62 @@ _CUT = "_unit binary, starts array<bigint>, windows array<int>, anchors array<bi
 
 
 class Suffixes:
-    """Suffix array and common prefixes of some strings, those of other groups never equal.
+    """The parts of an enhanced suffix array that can hold maximal repeats of ``least`` bytes.
 
-    Ranks by the first 7, 14, 28, ... symbols are kept; with them the common prefix of two
-    neighbours is put together from powers of two. Only suffixes of ``least`` bytes or more
-    are listed.
+    Suffixes that share their first ``least`` bytes are neighbours in the suffix array. They
+    are found by a hash of these bytes; where all are preceded by the same byte, none of them
+    begins a maximal repeat, and the part is left out. The others are sorted and their common
+    prefixes measured. Strings of different groups have nothing in common.
     """
 
     def __init__(self, strings: list[bytes], groups: list[int], least: int):
+        self.strings, self.least = strings, least
         lengths = np.array([len(s) for s in strings])
-        begins = np.cumsum(lengths + 1) - lengths - 1
-        n = int(lengths.sum() + len(strings))
-        symbols = np.zeros(n + _UNIT, np.int64)
-        data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-        symbols[:n] = data.astype(np.int64) + 1
-        ends = begins + lengths
-        symbols[ends] = 0
-        of = np.repeat(np.arange(len(strings)), lengths + 1)
-        left = ends[of] - np.arange(n)
-        packed = np.zeros(n, np.int64)
-        for k in range(_UNIT):
-            packed = (packed << 9) | np.where(left > k, symbols[k : k + n], 0)
-        ranks = [self._dense(np.unique(packed, return_inverse=True)[1] + np.asarray(groups)[of] * (n + 1))]
-        width = _UNIT
-        while width < lengths.max(initial=0) and ranks[-1].max() + 1 < n:
-            after = np.where(left > width, ranks[-1][np.minimum(np.arange(n) + width, n - 1)] + 1, 0)
-            ranks.append(self._dense((ranks[-1] << 32) | after))
-            width *= 2
-        places = np.flatnonzero(left >= least)
-        self.places = places[np.argsort(ranks[-1][places], kind="stable")]
-        self.string = of[self.places]
-        self.offset = self.places - begins[self.string]
+        self.begins = np.cumsum(lengths) - lengths
+        data = np.frombuffer(b"".join(strings), np.uint8)
+        n = len(data) - least + 1
+        self.places = self.string = self.before = np.zeros(0, np.int64)
+        self.firsts = self.lasts = self.places
+        if n <= 0:
+            return
+        string = np.repeat(np.arange(len(strings)), lengths)[:n]
+        hashes = _over_powers(_BYTE_HASHES[data], least, _mixed)
+        hashes = _mixed(hashes, np.asarray(groups).astype(np.uint64)[string])
+        places = np.flatnonzero(np.arange(n) + least <= (self.begins + lengths)[string])
+        places = places[np.argsort(hashes[places], kind="stable")]
+        opens = np.append(True, hashes[places[1:]] != hashes[places[:-1]])
         # A suffix that starts its string has a left neighbour of its own.
-        self.before = np.where(self.offset > 0, symbols[self.places - 1], 256 + 1 + self.string)
-        a, b = self.places[:-1].copy(), self.places[1:].copy()
-        most = np.minimum(left[a], left[b])
-        common = np.zeros(len(a), np.int64)
-        for level in range(len(ranks) - 1, -1, -1):
-            step = _UNIT << level
-            same = ranks[level][np.minimum(a, n - 1)] == ranks[level][np.minimum(b, n - 1)]
-            common += step * same
-            a, b = a + step * same, b + step * same
-        same = np.asarray(groups)[self.string[:-1]] == np.asarray(groups)[self.string[1:]]
-        for _ in range(_UNIT - 1):
-            same &= symbols[np.minimum(a, n)] == symbols[np.minimum(b, n)]
-            common += same
-            a, b = a + same, b + same
-        self.common = np.minimum(common, most)
-
-    @staticmethod
-    def _dense(values: np.ndarray) -> np.ndarray:
-        return np.unique(values, return_inverse=True)[1].astype(np.int64)
+        string = string[places]
+        before = np.where(places > self.begins[string], data[places - 1], 256 + string)
+        firsts = np.flatnonzero(opens)
+        if len(firsts):
+            diverse = np.minimum.reduceat(before, firsts) != np.maximum.reduceat(before, firsts)
+            kept = np.repeat(diverse, np.diff(np.append(firsts, len(places))))
+            self.places, self.string, self.before = places[kept], string[kept], before[kept]
+            self.firsts = np.flatnonzero(opens[kept])
+            self.lasts = np.append(self.firsts, len(self.places))[1:] - 1
+        self.offset = self.places - self.begins[self.string] if len(self.places) else self.places
+
+    def sort(self, first: int, last: int) -> list[int]:
+        """Put a part in order; the common prefixes of its neighbours."""
+        ends = [self.strings[s][o:] for s, o in zip(self.string[first : last + 1], self.offset[first : last + 1], strict=True)]
+        order = sorted(range(len(ends)), key=ends.__getitem__)
+        for column in (self.places, self.string, self.before, self.offset):
+            column[first : last + 1] = column[first : last + 1][order]
+        ends = [ends[i] for i in order]
+        return [_common(a, b) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
 
 
 def interval_tree(common: list[int], before: list[int], least: int) -> list[tuple[int, int, int]]:
@@ -213,18 +218,13 @@ def interval_tree(common: list[int], before: list[int], least: int) -> list[tupl
     return found
 
 
-def maximal(suffixes: Suffixes, least: int) -> list[tuple[int, int, int]]:
-    """Maximal repeats as (first, last, length) over the suffix array."""
-    far = np.flatnonzero(np.append(suffixes.common < least, True))
-    firsts = np.append(0, far[:-1] + 1)
-    several = far > firsts
-    firsts, lasts = firsts[several], far[several]
+def maximal(suffixes: Suffixes) -> list[tuple[int, int, int]]:
+    """Maximal repeats as (first, last, length) over the suffixes."""
     found: list[tuple[int, int, int]] = []
-    for first, last in zip(firsts.tolist(), lasts.tolist(), strict=True):
-        before = suffixes.before[first : last + 1]
-        if (before != before[0]).any():
-            tree = interval_tree(suffixes.common[first:last].tolist(), before.tolist(), least)
-            found += [(first + a, first + b, length) for a, b, length in tree]
+    for first, last in zip(suffixes.firsts.tolist(), suffixes.lasts.tolist(), strict=True):
+        common = suffixes.sort(first, last)
+        tree = interval_tree(common, suffixes.before[first : last + 1].tolist(), suffixes.least)
+        found += [(first + a, first + b, length) for a, b, length in tree]
     return found
 
 
@@ -240,24 +240,23 @@ def _trees(length: int):
         anchors = list(dict.fromkeys(anchor for anchor, *_ in held))
         number = {anchor: i for i, anchor in enumerate(anchors)}
         suffixes = Suffixes([body for *_, body in held], [number[anchor] for anchor, *_ in held], length)
-        found = maximal(suffixes, length)
+        found = maximal(suffixes)
         longest = np.zeros(len(suffixes.places), np.int64)
         for first, last, size in reversed(found):  # parents first: what is deeper is longer
             longest[first : last + 1] = size
         out = {anchor: ([], [], [], [], [], []) for anchor in anchors}
-        place = np.cumsum(longest > 0) - 1
+        place: dict[int, int] = {}
         for i in np.flatnonzero(longest > 0).tolist():
             anchor, content, _, _ = held[suffixes.string[i]]
             row = out[anchor]
-            if not row[0]:
-                place[i:] -= place[i]
+            place[i] = len(row[0])
             row[0].append(content)
             row[1].append(int(suffixes.offset[i]))
             row[2].append(int(longest[i]))
         for first, last, size in found:
             row = out[held[suffixes.string[first]][0]]
             for column, value in zip(row[3:], (place[first], place[last], size), strict=True):
-                column.append(int(value))
+                column.append(value)
         for anchor, content, times, body in held:
             if times > 1:
                 row = out[anchor]

@@ -33,7 +33,7 @@ def carried(rows: DataFrame, measures: DataFrame, on: str | list[str] = "_digest
     return rows.join(hot, on).unionByName(rest.join(measures.where(~often), on))
 
 
-def of_digests(docs: DataFrame, wanted: DataFrame, text: str, most_sent: int = 500_000) -> DataFrame:
+def of_digests(docs: DataFrame, wanted: DataFrame, text: str, most_sent: int = 250_000) -> DataFrame:
     """``_digest`` and ``_text`` of each text that ``wanted`` names, once.
 
     Up to ``most_sent`` digests are sent to the tasks that read the texts; with more, one row
