@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import shutil
 from decimal import Decimal
 
@@ -8,11 +9,13 @@ from frames import FEB, JAN, MAR, accounts, at, customers, rows, transactions
 
 from pyspark.sql import functions as F
 
+from vigilmart import settings
 from vigilmart.operators import reports, scd2, silver, star
 from vigilmart.operators.dedup import latest_per_key
-from vigilmart.sources.batches import latest_version, publish, write_batch
+from vigilmart.sources.batches import latest_version, publish
 from vigilmart.sources.bronze import as_bronze, bronze_load, read_bronze
 from vigilmart.sources.files import land_entity
+from vigilmart.sources.keyed import KeyedLog
 from vigilmart.streaming import cash, dedup, history
 from vigilmart.streaming.bronze import bronze_stream, stream_files
 from vigilmart.streaming.runs import drain
@@ -82,7 +85,7 @@ def test_first_seen_drops_repeats_across_batches(spark, folder):
     arrive(transactions(spark, (2, 10, DAY, "6"), (3, 10, DAY, "7")), f"{folder}/in")
     stream = stream_files(spark, f"{folder}/in", df.schema, files_per_batch=1)
     drain(dedup.first_seen(stream, f"{folder}/log", ["txn_id"]))
-    out = dedup.read_first_seen(spark, f"{folder}/log", cash.TXN_SCHEMA)
+    out = dedup.read_first_seen(spark, f"{folder}/log", cash.TXN_SCHEMA, ["txn_id"])
     assert rows(out, "txn_id") == [(1,), (2,), (3,)]
 
 
@@ -93,7 +96,7 @@ def test_first_seen_keeps_new_keys_however_late(spark, folder):
     arrive(late.withColumn("last_modified", F.lit("1999-01-01").cast("timestamp_ntz")), f"{folder}/in")
     stream = stream_files(spark, f"{folder}/in", df.schema, files_per_batch=1)
     drain(dedup.first_seen(stream, f"{folder}/log", ["txn_id"]))
-    out = dedup.read_first_seen(spark, f"{folder}/log", cash.TXN_SCHEMA)
+    out = dedup.read_first_seen(spark, f"{folder}/log", cash.TXN_SCHEMA, ["txn_id"])
     assert rows(out, "txn_id", "amount") == [(1, Decimal("5.00")), (2, Decimal("6.00"))]
 
 
@@ -147,6 +150,118 @@ def test_history_of_several_deliveries_in_one_batch(spark, folder):
     assert rows(run_history(spark, folder), *VERSION) == AFTER_THREE
 
 
+def test_one_changed_customer_rewrites_one_bucket(spark, folder):
+    many = [(i, "VERIFIED") for i in range(200)]
+    deliver(spark, folder, JAN, *many)
+    run_history(spark, folder)
+    first = {p["bucket"]: p["run"] for p in history.current_map(spark, f"{folder}/dim", 0)}
+    deliver(spark, folder, FEB, *many[:7], (7, "PENDING"), *many[8:])
+    held = run_history(spark, folder)
+    second = {p["bucket"]: p["run"] for p in history.current_map(spark, f"{folder}/dim", 1)}
+    assert set(first) == set(second) == set(range(history.BUCKETS))
+    assert [b for b in second if second[b] != first[b]] == [b for b in second if second[b] == 1] and list(second.values()).count(1) == 1
+    assert held.count() == 201 and held.where("is_current").count() == 200
+    assert rows(held.where("customer_id = 7"), *VERSION) == [
+        (201, 7, "PENDING", at(FEB), None, True),
+        (8, 7, "VERIFIED", at(JAN), at(FEB), False),
+    ]
+    deliver(spark, folder, MAR, *many[:3])  # no change: no bucket is written
+    assert run_history(spark, folder).count() == 201
+    assert {p["run"] for p in history.current_map(spark, f"{folder}/dim", 2)} == {0, 1}
+
+
+def test_a_hundred_deliveries_in_one_pass_equal_one_by_one(spark):
+    pick = random.Random(3)
+    loads = [f"2024-{1 + i // 28:02d}-{1 + i % 28:02d} 00:00:00" for i in range(100)]
+    schema = f"_load_ts TIMESTAMP_NTZ, {CUSTOMER_SCHEMA}"
+    every = [
+        (at(load), cid, pick.choice("AB"), "s", pick.choice(["US", None, "DE"]), pick.randrange(3), pick.choice(["V", "P", None]), at(load))
+        for load in loads
+        for cid in [None, *range(12)]
+        if cid is None or pick.random() < 0.7
+    ]
+    came = spark.createDataFrame(every, schema).drop("last_modified")
+    start = scd2.first_load(customers(spark, 1, 2, 40).select("customer_id", *scd2.ATTRIBUTES), "2023-01-01 00:00:00")
+    found = scd2.advance_many(start, came, 3)
+    changed = rows(start.join(found, "customer_sk", "left_anti").unionByName(found), *scd2.DIM_COLUMNS)
+    # One by one, in plain Python.
+    held = {r["customer_id"]: [r.asDict()] for r in start.collect()}
+    key, lone = 3, []
+    for load in loads:
+        fresh = []
+        for row in sorted((r for r in every if r[0] == at(load)), key=lambda r: (r[1] is None, r[1] or 0)):
+            new = dict(zip(("valid_from", "customer_id", "full_name", "ssn", "country", "branch_id", "kyc_status"), row[:7], strict=True))
+            new |= {"valid_to": None, "is_current": True}
+            versions = lone if row[1] is None else held.setdefault(row[1], [])
+            last = versions[-1] if versions and row[1] is not None else None
+            if last is not None:
+                differs = [last[c] is not None and new[c] is not None and last[c] != new[c] for c in settings.TRACKED_COLUMNS]
+                if not any(differs):
+                    continue
+                last |= {"valid_to": at(load), "is_current": False}
+            versions.append(new)
+            fresh.append(new)
+        for new in fresh:
+            key += 1
+            new["customer_sk"] = key
+    expected = [tuple(v[c] for c in scd2.DIM_COLUMNS) for versions in [*held.values(), lone] for v in versions]
+    assert sorted(changed, key=repr) == sorted(expected, key=repr)
+    assert len(expected) > 400
+
+
+LOG_SCHEMA = "k BIGINT, v STRING, t BIGINT"
+
+
+def keyed_log(spark, folder, **shape):
+    return KeyedLog(spark, f"{folder}/keyed", LOG_SCHEMA, ["k"], lambda rows: latest_per_key(rows, ["k"], "t"), **shape)
+
+
+def test_a_keyed_log_opens_only_what_a_batch_touches(spark, folder):
+    log = keyed_log(spark, folder, buckets=8)
+    for batch in range(4):  # growing keys: each run has a range of its own
+        log.add(spark.range(batch * 1000, batch * 1000 + 1000).selectExpr("id AS k", f"'{batch}' AS v", f"{batch}L AS t"), batch)
+    assert len(log.parts()) == 32
+    one = spark.createDataFrame([(2500, "x", 9)], LOG_SCHEMA)
+    opened = log.opened(one, before=4)
+    assert len(opened) == 1 and "/runs/2/" in opened[0]
+    assert rows(log.matching(one, before=4), "k", "v") == [(2500, "2")]
+    assert log.opened(spark.createDataFrame([(9999, "x", 9)], LOG_SCHEMA), before=4) == []
+    # The files of a plan over the opened folders are of that bucket and run alone.
+    files = [f for f in log.matching(one, before=4).inputFiles()]
+    assert files and all("/runs/2/_bucket=" in f for f in files)
+
+
+def test_compaction_changes_no_result_and_bounds_the_runs(spark, folder):
+    pick = random.Random(1)
+    log, plain = keyed_log(spark, folder, buckets=4, most_runs=2), {}
+    for batch in range(7):
+        came = {k: (f"{batch}", pick.randrange(100)) for k in pick.sample(range(60), 25)}
+        if batch == 3:
+            came = {None: ("none", 1), **came}
+        for k, (v, t) in came.items():
+            if k not in plain or t > plain[k][1]:
+                plain[k] = (v, t)
+        frame = spark.createDataFrame([(k, v, t) for k, (v, t) in came.items()], LOG_SCHEMA)
+        log.add(frame, batch)
+        log.add(frame, batch)  # replayed
+        if batch:
+            assert rows(log.matching(frame, before=batch), "k").count((None,)) == (batch > 3 and None in came)
+    held = {}
+    for part in log.parts():
+        held[part["bucket"]] = held.get(part["bucket"], 0) + 1
+    assert max(held.values()) <= 2
+    assert sorted(((r["k"], r["v"], r["t"]) for r in log.read().collect()), key=repr) == sorted(((k, *x) for k, x in plain.items()), key=repr)
+
+
+def test_cash_streams_with_compaction_equal_the_batch_report(spark, folder):
+    stream, fact, dim_account, held = cash_inputs(spark, folder)
+    expected = reports.ctr_candidates(fact, dim_account, held)
+    drain(cash.windowed_cash_stream(stream, f"{folder}/log", buckets=2, most_runs=1))
+    found = cash.ctr_from_sums(cash.windows_log(spark, f"{folder}/log", buckets=2).read().where("n > 0"), dim_account, held)
+    assert rows(found, *found.columns) == rows(expected, *found.columns)
+    assert max(p["run"].count("merged") for p in cash.sums_log(spark, f"{folder}/log", buckets=2).parts()) == 1
+
+
 def test_streams_refuse_to_go_on_without_their_checkpoint(spark, folder):
     for load, *versions in DELIVERIES:
         deliver(spark, folder, load, *versions)
@@ -239,9 +354,10 @@ def test_a_replayed_batch_counts_once(spark, folder):
         "SELECT 10L AS account_id, DATE '2024-01-02' AS txn_date, 1L AS n, "
         "cast(6000 AS decimal(22,2)) AS total, 1L AS n_below, cast(6000 AS decimal(22,2)) AS total_below"
     )
+    log = cash.sums_log(spark, f"{folder}/log")
     for _ in range(2):
-        write_batch(sums, f"{folder}/log/sums", 0)
-    write_batch(sums, f"{folder}/log/sums", 1)
+        log.add(sums, 0)
+    log.add(sums, 1)
     assert rows(cash.read_cash_sums(spark, f"{folder}/log"), "n", "total") == [(2, Decimal("12000.00"))]
 
 

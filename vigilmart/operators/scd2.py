@@ -154,6 +154,56 @@ def advance(
     return staged.where("customer_sk IS NOT NULL").unionByName(keyed)
 
 
+def advance_many(
+    current: DataFrame,
+    deliveries: DataFrame,
+    highest_key: int,
+    tracked: Sequence[str] = settings.TRACKED_COLUMNS,
+    null_safe: bool = False,
+    load: str = "_load_ts",
+) -> DataFrame:
+    """What deliveries change in the current versions: those they close, and new ones.
+
+    ``deliveries`` has one row per load time and customer_id, any number of loads. Each key's
+    rows are folded in the order of their load onto its current version: a row that differs
+    in a tracked column closes the version before and opens one. The result equals ``advance``
+    delivery by delivery, keys included, in one pass; keys that stay as they are don't appear.
+    ``current`` needs the current versions of the delivered keys only.
+    """
+    row = [c for c in DIM_COLUMNS if c != "customer_id"]
+    version = ", ".join(f"{c}: {dict(p.split() for p in DIM_SCHEMA.split(', '))[c]}" for c in row)
+    known = F.col("customer_id").isNotNull()
+    opened = F.struct(
+        F.lit(None).cast("bigint").alias("customer_sk"),
+        *ATTRIBUTES,
+        F.col(load).alias("valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+        F.lit(True).alias("is_current"),
+    )
+    steps = deliveries.where(known).select("customer_id", F.struct(F.col(load).alias("at"), opened.alias("new")).alias("step"))
+    steps = steps.groupBy("customer_id").agg(F.array_sort(F.collect_list("step")).alias("steps"))
+    held = current.where(known).select("customer_id", F.struct(*row).cast(f"struct<{version}>").alias("old"))
+
+    def folded(versions: Column, step: Column) -> Column:
+        last = F.try_element_at(versions, F.lit(-1))
+        new = step["new"].cast(f"struct<{version}>")
+        differs = reduce(lambda a, b: a | b, [_differs(last[c], new[c], null_safe) for c in tracked])
+        ended = {"valid_to": step["at"], "is_current": F.lit(False)}
+        closed = F.struct(*[ended.get(c, last[c]).alias(c) for c in row]).cast(f"struct<{version}>")
+        head = F.slice(versions, 1, F.size(versions) - 1)
+        return F.when(F.size(versions) == 0, F.array(new)).when(differs, F.concat(head, F.array(closed, new))).otherwise(versions)
+
+    start = F.when(F.col("old").isNotNull(), F.array("old")).otherwise(F.array().cast(f"array<struct<{version}>>"))
+    met = steps.join(held, "customer_id", "left").select("customer_id", F.aggregate("steps", start, folded).alias("versions"), "old")
+    changed = met.where((F.size("versions") > 1) | F.col("old").isNull()).select("customer_id", F.inline("versions"))
+    # A NULL key matches nothing: each of its rows opens a version and none closes.
+    unknown = deliveries.where(~known).select("customer_id", opened.alias("new")).select("customer_id", "new.*")
+    staged = settle(changed.unionByName(unknown).select(*DIM_COLUMNS), "scd2")
+    fresh = staged.where("customer_sk IS NULL").drop("customer_sk")
+    keyed = dense_key(fresh, ["valid_from", "customer_id"], "customer_sk", start=highest_key)
+    return staged.where("customer_sk IS NOT NULL").unionByName(keyed.select(*DIM_COLUMNS))
+
+
 def apply_snapshot(
     dim: DataFrame,
     src: DataFrame,

@@ -123,33 +123,31 @@ def candidate_names(names: DataFrame, listed: DataFrame, max_distance: int) -> D
 
     The pieces of the names are counted by place, which tells how many names a listed one would
     meet on its pieces. It goes to the variants where these cost less, or where it is too short
-    to have enough pieces. Keys of both sides are written, so Spark knows their size before it
-    picks the joins.
+    to have enough pieces. What is read twice is written; adaptive execution picks the joins.
     """
     rare = GRAM * max_distance + 1
     enough = GRAM + GRAM * max_distance  # length from which a name has that many pieces
     names, listed = names.where("match_name is not null"), listed.where("listed_name is not null")
     long = listed.where(F.length("listed_name") >= enough + max_distance)
     pieces = long.select(F.explode(_grams(F.col("listed_name"))["gram"]).alias("gram"))
-    frequency = settle(pieces.groupBy("gram").agg(F.count("*").alias("_n")), "gram-counts")
+    frequency = pieces.groupBy("gram").agg(F.count("*").alias("_n"))
     asked = settle(_rarest(names.where(F.length("match_name") >= enough), "match_name", frequency, rare), "name-pieces")
     reach = F.explode(F.sequence(F.col("place") - max_distance, F.col("place") + max_distance))
-    held = settle(_rarest(long, "listed_name", frequency, rare).withColumn("place", reach), "list-pieces")
+    held = _rarest(long, "listed_name", frequency, rare).withColumn("place", reach)
     met = asked.groupBy("gram", "place").agg(F.count("*").alias("_met"))
-    cost = held.join(met, ["gram", "place"]).groupBy("listed_name").agg(F.sum("_met").alias("_cost"))
-    by_pieces = long.join(cost, "listed_name", "left").where(
-        F.coalesce("_cost", F.lit(0)) * COMPARED <= _n_variants(F.length("listed_name"), max_distance)
-    )
-    by_pieces = settle(by_pieces.select("listed_name"), "list-by-pieces")
-    on_pieces = asked.join(held.join(by_pieces, "listed_name"), ["gram", "place"]).select("match_name", "listed_name")
-
-    by_variants = listed.join(by_pieces, "listed_name", "left_anti")
-    variants = settle(_by_variants(by_variants, "listed_name", max_distance), "list-variants")
-    lengths = variants.select(F.min(F.length("listed_name")), F.max(F.length("listed_name"))).first()
-    if lengths[0] is None:
-        return on_pieces.distinct()
-    near = names.where(F.length("match_name").between(lengths[0] - max_distance, lengths[1] + max_distance))
-    on_variants = settle(_by_variants(near, "match_name", max_distance), "name-variants").join(variants, "key")
+    cost = held.join(met, ["gram", "place"], "left").groupBy("listed_name").agg(F.coalesce(F.sum("_met"), F.lit(0)).alias("_cost"))
+    cheap = F.col("_cost") * COMPARED <= _n_variants(F.length("listed_name"), max_distance)
+    routes = listed.join(cost, "listed_name", "left").select("listed_name", F.coalesce(cheap, F.lit(False)).alias("_by_pieces"))
+    routes = settle(routes, "list-routes")
+
+    held = held.join(routes.where("_by_pieces"), "listed_name", "left_semi")
+    on_pieces = asked.join(held, ["gram", "place"]).select("match_name", "listed_name")
+
+    by_variants = routes.where("not _by_pieces").select("listed_name")
+    length = F.length("listed_name")
+    lengths = by_variants.select(F.explode(F.sequence(length - max_distance, length + max_distance)).alias("_length")).distinct()
+    near = names.join(lengths, F.length("match_name") == F.col("_length"), "left_semi")
+    on_variants = _by_variants(near, "match_name", max_distance).join(_by_variants(by_variants, "listed_name", max_distance), "key")
     on_variants = on_variants.where(_may_be_near(F.col("match_name_gaps"), F.col("listed_name_gaps"), max_distance))
     return on_pieces.unionByName(on_variants.select("match_name", "listed_name")).distinct()
 

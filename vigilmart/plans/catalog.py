@@ -350,7 +350,7 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, frame = _streamed_deliveries(
         mart(spark, sf_dir), "stream-first-seen", lambda s, log: dedup.first_seen(s, log, ["txn_id"])
     )
-    return dedup.read_first_seen(spark, log, _schema_text(frame))
+    return dedup.read_first_seen(spark, log, _schema_text(frame), ["txn_id"])
 
 
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -12,7 +12,7 @@ from vigilmart import settings
 from vigilmart.functions.columns import cash_credit
 from vigilmart.operators.dedup import latest_per_key
 from vigilmart.operators.reports import over_limit, roll_up_to_customer, split_deposits
-from vigilmart.sources.batches import read_batches, write_batch
+from vigilmart.sources.keyed import KeyedLog
 from vigilmart.streaming.runs import each_batch
 
 SUMS_SCHEMA = (
@@ -42,24 +42,46 @@ def cash_sums(transactions: DataFrame, limit: Decimal = settings.CASH_LIMIT) ->
     return cash.groupBy("account_id", "txn_date").agg(*_sums(limit))
 
 
-def _changed_sums(batch: DataFrame, log: str, batch_id: int, limit: Decimal) -> DataFrame:
+def _latest(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, ["txn_id"], "last_modified")
+
+
+def _added_up(rows: DataFrame) -> DataFrame:
+    sums = rows.groupBy("account_id", "txn_date").agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES])
+    return _as_logged(sums)
+
+
+def _last_emitted(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, ["account_id", "txn_date"], [F.desc("emitted")], ties=[])
+
+
+def transaction_log(spark: SparkSession, log: str, **shape: int) -> KeyedLog:
+    """The latest version of every transaction."""
+    return KeyedLog(spark, f"{log}/txns", TXN_SCHEMA, ["txn_id"], _latest, **shape)
+
+
+def sums_log(spark: SparkSession, log: str, **shape: int) -> KeyedLog:
+    """What batches added to the sums of an account and day."""
+    return KeyedLog(spark, f"{log}/sums", SUMS_SCHEMA, ["account_id", "txn_date"], _added_up, **shape)
+
+
+def windows_log(spark: SparkSession, log: str, **shape: int) -> KeyedLog:
+    """The states of the day windows that batches emitted."""
+    return KeyedLog(spark, f"{log}/windows", f"{SUMS_SCHEMA}, emitted BIGINT", ["account_id", "txn_date"], _last_emitted, **shape)
+
+
+def _changed_sums(batch: DataFrame, log: str, batch_id: int, limit: Decimal, shape: dict[str, int]) -> DataFrame:
     """What a batch changes in the sums: its transactions' latest versions, less what earlier
     batches had counted for them. The versions of the batch are logged for later batches."""
-    spark = batch.sparkSession
     columns = [c.split()[0] for c in TXN_SCHEMA.split(", ")]
-    seen = latest_per_key(batch.select(*columns), ["txn_id"], "last_modified")
-    write_batch(seen, f"{log}/txns", batch_id)
-    own = spark.read.schema(TXN_SCHEMA).parquet(f"{log}/txns/batch_id={batch_id}")
-    ids = own.select(F.col("txn_id").alias("_id"))
-    earlier = read_batches(spark, f"{log}/txns", TXN_SCHEMA, before=batch_id).drop("batch_id")
-    earlier = earlier.join(ids, F.col("txn_id").eqNullSafe(F.col("_id")), "left_semi")
-    counted = latest_per_key(earlier, ["txn_id"], "last_modified")
-    now = latest_per_key(own.unionByName(counted), ["txn_id"], "last_modified")
+    txns = transaction_log(batch.sparkSession, log, **shape)
+    own = txns.add(_latest(batch.select(*columns)), batch_id)
+    counted = txns.matching(own, before=batch_id)
+    now = _latest(own.unionByName(counted))
     less = cash_sums(counted, limit).select(
         "account_id", "txn_date", *[(-F.coalesce(F.col(m), F.lit(0))).alias(m) for m in MEASURES]
     )
-    changes = cash_sums(now, limit).unionByName(less).groupBy("account_id", "txn_date")
-    return _as_logged(changes.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES]))
+    return _added_up(cash_sums(now, limit).unionByName(less))
 
 
 def _as_logged(sums: DataFrame) -> DataFrame:
@@ -68,69 +90,50 @@ def _as_logged(sums: DataFrame) -> DataFrame:
 
 
 def cash_sums_stream(
-    transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT
+    transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT, **shape: int
 ) -> DataStreamWriter:
     """Each batch adds what it changes in the sums per account and day.
 
     Of all versions of a transaction, in this batch or earlier ones, the latest counts, once:
     a redelivery changes nothing, a correction moves the difference. Transactions count
     however late they are, and with or without a date. A replayed batch overwrites its own
-    folders, and looks at batches below it only.
+    runs, and looks at versions below it only. Earlier versions of the batch's transactions
+    are looked up in the buckets, and there in the key ranges, that hold them. ``shape``:
+    ``buckets`` and ``most_runs`` of the logs.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(_changed_sums(batch, log, batch_id, limit), f"{log}/sums", batch_id)
+        sums_log(batch.sparkSession, log, **shape).add(_changed_sums(batch, log, batch_id, limit, shape), batch_id)
 
     return each_batch(transactions, log, handle)
 
 
-def read_cash_sums(spark: SparkSession, log: str, before: int | None = None) -> DataFrame:
-    return (
-        read_batches(spark, f"{log}/sums", SUMS_SCHEMA, before)
-        .groupBy("account_id", "txn_date")
-        .agg(*[F.sum(c).alias(c) for c in MEASURES])
-        .where("n > 0")
-    )
+def read_cash_sums(spark: SparkSession, log: str) -> DataFrame:
+    return sums_log(spark, log).read().where("n > 0")
 
 
 def windowed_cash_stream(
-    transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT
+    transactions: DataFrame, log: str, limit: Decimal = settings.CASH_LIMIT, **shape: int
 ) -> DataStreamWriter:
     """Running day windows per account, emitted again whenever a batch changes them.
 
     For alerts while the day is running. No window ever closes: late, corrected and undated
-    transactions change theirs, at whatever time they come.
+    transactions change theirs, at whatever time they come. Only buckets of changed windows
+    are opened.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(_changed_sums(batch, log, batch_id, limit), f"{log}/sums", batch_id)
-        spark = batch.sparkSession
-        touched = spark.read.schema(SUMS_SCHEMA).parquet(f"{log}/sums/batch_id={batch_id}")
-        touched = touched.select(F.col("account_id").alias("_a"), F.col("txn_date").alias("_d"))
-        sums = (
-            read_batches(spark, f"{log}/sums", SUMS_SCHEMA, before=batch_id + 1)
-            .join(
-                touched,
-                F.col("account_id").eqNullSafe(F.col("_a")) & F.col("txn_date").eqNullSafe(F.col("_d")),
-                "left_semi",
-            )
-            .groupBy("account_id", "txn_date")
-            .agg(*[F.sum(c).alias(c) for c in MEASURES])
-        )
-        write_batch(_as_logged(sums), f"{log}/windows", batch_id)
+        sums = sums_log(batch.sparkSession, log, **shape)
+        added = sums.add(_changed_sums(batch, log, batch_id, limit, shape), batch_id)
+        state = _added_up(added.unionByName(sums.matching(added, before=batch_id)))
+        windows_log(batch.sparkSession, log, **shape).add(state.withColumn("emitted", F.lit(batch_id).cast("bigint")), batch_id)
 
     return each_batch(transactions, log, handle)
 
 
 def read_cash_windows(spark: SparkSession, log: str) -> DataFrame:
     """The last emitted state of every window that still holds a transaction."""
-    last_first = Window.partitionBy("account_id", "txn_date").orderBy(F.desc("batch_id"))
-    return (
-        read_batches(spark, f"{log}/windows", SUMS_SCHEMA)
-        .withColumn("_rank", F.row_number().over(last_first))
-        .where("_rank = 1 AND n > 0")
-        .drop("_rank", "batch_id")
-    )
+    return windows_log(spark, log).read().where("n > 0").drop("emitted")
 
 
 def ctr_from_sums(
