@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import json
+
 import pytest
-from frames import JAN, dim, rows
+from frames import FEB, JAN, accounts, dim, rows, transactions
 
 from pyspark.sql import functions as F
 
 from vigilmart import settings
 from vigilmart.functions.columns import mask_ssn
-from vigilmart.operators import governance
+from vigilmart.operators import governance, star
+from vigilmart.plans import views
+from vigilmart.plans.catalog import mart
 
 
 @pytest.fixture
@@ -65,7 +69,7 @@ def test_a_branch_mapped_twice_does_not_repeat_rows(spark, held):
 def test_governed_masks_what_is_tagged(spark, held):
     tagged = governance.classify(held, {"full_name": "PII_RESTRICTED"})
     seen = governance.governed(tagged, "AUDITOR", governance.branch_access(spark)).first()
-    assert (seen.full_name, seen.ssn) == ("XXX-XX-A", "123-45-6789")
+    assert (seen.full_name, seen.ssn) == ("XXX-XX-A", "XXX-XX-6789")
     plain = governance.governed(held, "AUDITOR", governance.branch_access(spark)).first()
     assert (plain.full_name, plain.ssn) == ("A", "XXX-XX-6789")
 
@@ -117,3 +121,80 @@ def test_visible_rows_and_branches(spark, held):
 def test_open_roles_are_not_joined(spark, held):
     plan = governance.row_access(held, "AUDITOR", governance.branch_access(spark))
     assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def nested(spark):
+    return spark.sql(
+        "SELECT 1L AS customer_id, 1 AS branch_id, '123-45-6789' AS SSN, named_struct('ssn', '123-45-6789', 'n', 1) AS person,"
+        " array(named_struct('id', 7, 'ssn', '123-45-6780')) AS held, map('ssn', '123-45-6781', 'x', 'y') AS facts,"
+        " parse_json('{\"ssn\":\"123-45-6789\",\"n\":1,\"kin\":{\"ssn\":\"1-2-3456\",\"age\":4},\"list\":[{\"ssn\":\"9-9-9999\"}],\"z\":null}') AS data"
+    )
+
+
+@pytest.mark.parametrize("role", ["AUDITOR", "SYSADMIN", "nobody"])
+def test_no_plain_value_is_left_in_any_shape(spark, role):
+    seen = governance.masked(nested(spark), role)
+    row = seen.withColumn("data", F.to_json("data")).first()
+    assert row["SSN"] == "XXX-XX-6789"
+    assert row["person"]["ssn"] == "XXX-XX-6789" and row["person"]["n"] == 1
+    assert row["held"][0]["ssn"] == "XXX-XX-6780" and row["held"][0]["id"] == 7
+    assert row["facts"] == {"ssn": "XXX-XX-6781", "x": "y"}
+    data = json.loads(row["data"])
+    assert data["ssn"] == "XXX-XX-6789" and data["n"] == 1 and data["kin"] == {"ssn": "XXX-XX-3456", "age": 4}
+    assert data["list"] is None and data["z"] is None  # a list that names it is hidden
+    assert "123-45" not in str(row)
+
+
+def test_cleared_roles_see_all_shapes(spark):
+    assert governance.masked(nested(spark), "compliance_analyst ").select("person").first()["person"]["ssn"] == "123-45-6789"
+
+
+def test_an_untagged_sensitive_column_beside_tagged_ones_is_masked(spark):
+    df = governance.classify(spark.sql("SELECT 'A' AS full_name, '123-45-6789' AS ssn, 9 AS pin"), {"full_name": "PII", "pin": "PII_RESTRICTED"})
+    assert rows(governance.masked(df, "AUDITOR"), "full_name", "ssn", "pin") == [("A", "XXX-XX-6789", None)]
+    assert governance.classifications(governance.masked(df, "AUDITOR")) == {"full_name": "PII", "pin": "PII_RESTRICTED"}
+
+
+def test_odd_variants_are_hidden_from_uncleared_roles(spark):
+    odd = spark.sql("SELECT parse_json(j) AS data FROM VALUES ('[{\"ssn\":\"123\"}]'), ('\"123-45-6789\"'), (NULL), ('{}') AS v(j)")
+    assert [r[0] for r in governance.masked(odd, "AUDITOR").select(F.to_json("data")).collect()] == [None, None, None, "{}"]
+
+
+def test_frames_without_a_branch_are_scoped_by_their_key(spark):
+    held = dim(
+        spark,
+        (1, 1, "A", "s", 1, JAN, None, True),
+        (2, 2, "B", "s", 9, JAN, None, True),
+        (3, 3, "C", "s", 9, JAN, FEB, False),
+        (4, 3, "C", "s", 2, FEB, None, True),
+    )
+    accts = star.dim_account(accounts(spark, (10, 1), (20, 2), (30, 3), (40, None), (50, 77)))
+    ways = governance.scopes(held, accts)
+    mapping = governance.branch_access(spark)
+    moved = transactions(spark, *[(i, i * 10, "2024-01-02", "5") for i in range(1, 7)])
+    seen = governance.governed(moved, "compliance_analyst", mapping, "transactions", ways)
+    assert rows(seen, "account_id") == [(10,), (30,)]
+    assert seen.columns == moved.columns
+    assert rows(governance.governed(accts, "COMPLIANCE_ANALYST", mapping, ways=ways), "customer_id") == [(1,), (3,)]
+    assert governance.governed(moved, "AUDITOR", mapping, "transactions", ways).count() == 6
+    for entity, given in (("transactions", {}), (None, {}), ("transactions", None)):
+        with pytest.raises(ValueError, match="no branch"):
+            governance.governed(moved, "COMPLIANCE_ANALYST", mapping, entity, given)
+
+
+def test_views_follow_the_role_of_the_session(spark):
+    m = mart(spark, "/root/testdata/sf0.001")
+    session = views.register(m)
+    assert session.sql("SELECT * FROM dim_customer").count() == 0  # no role, no row
+    counts = {}
+    for role in ("AUDITOR", " compliance_analyst", "intern", None):
+        views.as_role(session, role)
+        counts[role] = [session.sql(f"SELECT * FROM {v}").count() for v in ("dim_customer", "dim_account", "fact_transaction")]
+    assert counts["AUDITOR"] == [m.dim_customer.count(), m.dim_account.count(), m.fact.count()]
+    assert 0 < counts[" compliance_analyst"][0] < counts["AUDITOR"][0]
+    assert 0 < counts[" compliance_analyst"][2] < counts["AUDITOR"][2]
+    assert counts["intern"] == counts[None] == [0, 0, 0]
+    auditor = views.as_role(session, "AUDITOR").sql("SELECT ssn FROM dim_customer")
+    views.as_role(session, "COMPLIANCE_ANALYST")
+    assert auditor.where("ssn NOT LIKE 'XXX-XX-%'").count() == 0  # a frame keeps the role it was made under
+    assert session.sql("SELECT ssn FROM dim_customer").where("ssn LIKE 'XXX-%'").count() == 0

@@ -154,10 +154,10 @@ def test_one_changed_customer_rewrites_one_bucket(spark, folder):
     many = [(i, "VERIFIED") for i in range(200)]
     deliver(spark, folder, JAN, *many)
     run_history(spark, folder)
-    first = {p["bucket"]: p["run"] for p in history.current_map(spark, f"{folder}/dim", 0)}
+    first = {p["bucket"]: p["run"] for p in history.current_map(spark, f"{folder}/dim", 1)}
     deliver(spark, folder, FEB, *many[:7], (7, "PENDING"), *many[8:])
     held = run_history(spark, folder)
-    second = {p["bucket"]: p["run"] for p in history.current_map(spark, f"{folder}/dim", 1)}
+    second = {p["bucket"]: p["run"] for p in history.current_map(spark, f"{folder}/dim")}
     assert set(first) == set(second) == set(range(history.BUCKETS))
     assert [b for b in second if second[b] != first[b]] == [b for b in second if second[b] == 1] and list(second.values()).count(1) == 1
     assert held.count() == 201 and held.where("is_current").count() == 200
@@ -167,7 +167,7 @@ def test_one_changed_customer_rewrites_one_bucket(spark, folder):
     ]
     deliver(spark, folder, MAR, *many[:3])  # no change: no bucket is written
     assert run_history(spark, folder).count() == 201
-    assert {p["run"] for p in history.current_map(spark, f"{folder}/dim", 2)} == {0, 1}
+    assert {p["run"] for p in history.current_map(spark, f"{folder}/dim")} == {0, 1}
 
 
 def test_a_hundred_deliveries_in_one_pass_equal_one_by_one(spark):
@@ -290,6 +290,17 @@ def test_history_without_marker_files(spark, folder):
         hadoop.unset(option)
 
 
+def test_a_map_folder_without_a_file_is_no_version(spark, folder, tmp_path):
+    log = keyed_log(spark, folder)
+    log.add(spark.createDataFrame([(1, "a", 1)], LOG_SCHEMA), 0)
+    (tmp_path / "keyed" / "map" / "v=5").mkdir()
+    again = keyed_log(spark, folder)
+    assert rows(again.read(), "k", "v") == [(1, "a")]
+    assert again.parts(0) == []
+    log.add(spark.createDataFrame([], LOG_SCHEMA), 1)
+    assert rows(keyed_log(spark, folder).read(), "k", "v") == [(1, "a")]
+
+
 def test_versions_of_which_none_is_complete_are_an_error(spark, folder, tmp_path):
     (tmp_path / "dim" / "v=1").mkdir(parents=True)
     with pytest.raises(RuntimeError, match="none is complete"):

@@ -127,7 +127,10 @@ def candidate_names(names: DataFrame, listed: DataFrame, max_distance: int) -> D
     """
     rare = GRAM * max_distance + 1
     enough = GRAM + GRAM * max_distance  # length from which a name has that many pieces
-    names, listed = names.where("match_name is not null"), listed.where("listed_name is not null")
+    # Short names become many keys each, so they are dealt out although they are small.
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = names.where("match_name is not null").repartition(parts, "match_name")
+    listed = listed.where("listed_name is not null").repartition(parts, "listed_name")
     long = listed.where(F.length("listed_name") >= enough + max_distance)
     pieces = long.select(F.explode(_grams(F.col("listed_name"))["gram"]).alias("gram"))
     frequency = pieces.groupBy("gram").agg(F.count("*").alias("_n"))

@@ -25,6 +25,7 @@ from vigilmart.operators import (
     star,
 )
 from vigilmart.operators.dedup import latest_per_key
+from vigilmart.plans import views
 from vigilmart.plans.build import Mart, build, side_by_side
 from vigilmart.sources import adapters, bronze, files
 from vigilmart.sources.bronze import bronze_load, read_bronze
@@ -209,6 +210,38 @@ def _mask_both_roles(m: Mart) -> DataFrame:
     )
 
 
+def _ways(m: Mart) -> dict[str, DataFrame]:
+    return governance.scopes(m.dim_customer, m.dim_account)
+
+
+def _bronze_as(entity: str, fields: dict[str, str], role: str) -> Query:
+    """Bronze rows as the role may see them, their fields taken out of the VARIANT."""
+
+    def query(m: Mart) -> DataFrame:
+        seen = governance.governed(m.bronze[entity], role, governance.branch_access(m.spark), entity, _ways(m))
+        return silver.typed(seen, fields)
+
+    return _of_mart(query)
+
+
+def _accounts_as_analyst(m: Mart) -> DataFrame:
+    return governance.governed(m.accounts, "COMPLIANCE_ANALYST", governance.branch_access(m.spark), "accounts", _ways(m))
+
+
+def _by_role(query: str) -> Query:
+    """A query in SQL over the named views, as the session sees it under each role."""
+
+    def run(m: Mart) -> DataFrame:
+        spark = views.register(m)
+        rows = None
+        for role in COUNTED_ROLES:
+            seen = views.as_role(spark, role).sql(query).select(F.lit(role).alias("role_name"), "*")
+            rows = seen if rows is None else rows.unionByName(seen)
+        return rows
+
+    return _of_mart(run)
+
+
 def _row_access(m: Mart) -> DataFrame:
     return governance.row_access(
         m.dim_customer, "COMPLIANCE_ANALYST", governance.branch_access(m.spark)
@@ -447,6 +480,14 @@ QUERIES: dict[str, Query] = {
     "sanctions_fuzzy": _of_mart(lambda m: screening.sanctions_fuzzy(m.dim_customer, m.watchlist)),
     "mask_ssn": _of_mart(_mask_both_roles),
     "row_access": _of_mart(_row_access),
+    "bronze_as_auditor": _bronze_as("customers", silver.CUSTOMER_FIELDS, "AUDITOR"),
+    "bronze_customers_as_analyst": _bronze_as("customers", silver.CUSTOMER_FIELDS, "COMPLIANCE_ANALYST"),
+    "bronze_transactions_as_analyst": _bronze_as("transactions", silver.TRANSACTION_FIELDS, "COMPLIANCE_ANALYST"),
+    "accounts_region_scoped": _of_mart(_accounts_as_analyst),
+    "sql_customers_by_role": _by_role("SELECT customer_id, full_name, ssn, branch_id FROM dim_customer"),
+    "sql_ctr_by_role": _by_role("SELECT * FROM reporting_ctr_candidates"),
+    "sql_structuring_by_role": _by_role("SELECT * FROM reporting_structuring_flags"),
+    "sql_sanctions_by_role": _by_role("SELECT * FROM reporting_sanctions_hits"),
     "ctr_region_scoped": _of_mart(
         lambda m: reports.ctr_candidates(m.fact, m.dim_account, _as_analyst(m))
     ),

@@ -470,6 +470,14 @@ _KINDS = {
     "watchlist": {"name": "STRING", "list_source": "STRING"},
 }
 
+def _by_role(query: str) -> str:
+    """A query over ``{customer}``, as the open roles and as the analyst see it; ``{role}`` names the role."""
+    seen = (("ACCOUNTADMIN", "dim_customer"), ("AUDITOR", "dim_customer"), ("COMPLIANCE_ANALYST", "analyst_customer"))
+    return " UNION ALL ".join(f"SELECT '{role}' AS role_name, * FROM ({query.format(customer=c, role=role)})" for role, c in seen)
+
+
+_ANALYST_ACCOUNTS = "(SELECT account_id FROM silver_accounts WHERE customer_id IN (SELECT customer_id FROM analyst_customer))"
+
 ORACLES: dict[str, str] = {
     "scan_parquet": _with("transactions") + "SELECT * FROM transactions",
     "scan_customers": _with("customers") + "SELECT * FROM customers",
@@ -587,6 +595,22 @@ ORACLES: dict[str, str] = {
            'XXX-XX-' || right(ssn, 4) AS ssn_sysadmin
          FROM dim_customer""",
     "row_access": _with("analyst_customer") + f"SELECT {_DIM} FROM analyst_customer",
+    "bronze_as_auditor": _with("customers")
+    + "SELECT * REPLACE ('XXX-XX-' || right(ssn, 4) AS ssn) FROM customers",
+    "bronze_customers_as_analyst": _with("customers") + "SELECT * FROM customers WHERE branch_id <= 6",
+    "bronze_transactions_as_analyst": _with("transactions", "silver_accounts", "analyst_customer")
+    + f"SELECT * FROM transactions WHERE account_id IN {_ANALYST_ACCOUNTS}",
+    "accounts_region_scoped": _with("silver_accounts", "analyst_customer")
+    + "SELECT * FROM silver_accounts WHERE customer_id IN (SELECT customer_id FROM analyst_customer)",
+    "sql_customers_by_role": _with("dim_customer", "analyst_customer")
+    + _by_role(
+        "SELECT customer_id, full_name, CASE WHEN '{role}' = 'AUDITOR' THEN 'XXX-XX-' || right(ssn, 4) ELSE ssn END AS ssn, branch_id FROM {customer}"
+    ),
+    "sql_ctr_by_role": _with("fact", "analyst_customer")
+    + _by_role(_cash("{customer}", "", "sum(f.amount) > 10000", "cash_txn_count")),
+    "sql_structuring_by_role": _with("fact", "analyst_customer")
+    + _by_role(_cash("{customer}", "AND f.amount < 10000", "count(*) >= 3 AND sum(f.amount) > 10000", "deposit_count")),
+    "sql_sanctions_by_role": _with("dim_customer", "analyst_customer", "silver_watch") + _by_role(_hits("{customer}")),
     "ctr_region_scoped": _with("fact", "analyst_customer")
     + _cash("analyst_customer", "", "sum(f.amount) > 10000", "cash_txn_count"),
     "sanctions_region_scoped": _with("analyst_customer", "silver_watch") + _hits("analyst_customer"),

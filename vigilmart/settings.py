@@ -25,6 +25,11 @@ SSN_MASK_PREFIX = "XXX-XX-"
 
 CLASSIFICATION_TAG = "data_classification"
 CLASSIFICATIONS = ("PUBLIC", "INTERNAL", "PII", "PII_RESTRICTED")
+# Names that are restricted wherever they stand, tagged or not.
+SENSITIVE_NAMES = ("ssn",)
+# Restricted fields by entity, as dotted paths; what an entity's rows are scoped by.
+RESTRICTED_PATHS = {"customers": ("ssn",)}
+SCOPED_BY = {"customers": "branch_id", "accounts": "customer_id", "transactions": "account_id"}
 CUSTOMER_TAGS = {"ssn": "PII_RESTRICTED", "full_name": "PII", "country": "INTERNAL"}
 
 CALENDAR_START = "2020-01-01"

@@ -1,8 +1,7 @@
 """Tables of streams in hash buckets of their keys, so a batch opens only what it touches.
 
 A batch writes a run: its rows, one folder per bucket. The map of a version lists the runs that
-hold a bucket, with the range of the first key in each; it is published like any version, after
-its runs. Whoever looks up keys opens the runs of their buckets whose ranges meet theirs. When
+hold a bucket, with the range of the first key in each; it is one file, written after its runs. Whoever looks up keys opens the runs of their buckets whose ranges meet theirs. When
 a bucket that a batch touches has collected too many runs, they are merged into one, and the
 next map lists that one alone; older versions keep theirs.
 """
@@ -13,13 +12,12 @@ from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructType
 
-from vigilmart.sources.batches import latest_version, publish, read_version
-
-BUCKETS = 32
+BUCKETS = 8  # for small tables; take so many that a bucket is some 100 MB
 MOST_RUNS = 8
 BUCKET = "_bucket"
 MAP_SCHEMA = "bucket INT, run STRING, n BIGINT, low STRING, high STRING, nulls BOOLEAN"
@@ -46,6 +44,29 @@ def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)])
 
 
+def write_map(spark: SparkSession, root: str, schema: str, rows: list[tuple], version: int) -> None:
+    """Publish a version: its map is one file, so what is seen of it is whole."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{root}/map/v={version}")
+
+
+def last_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """The highest published version, below ``before`` if given; folders without a file don't count."""
+    try:
+        files = spark.read.schema("n BIGINT").option("recursiveFileLookup", "true").parquet(f"{root}/map").inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    versions = {int(part[2:]) for f in files for part in f.split("/")[-2:-1] if part.startswith("v=")}
+    return max((v for v in versions if before is None or v < before), default=None)
+
+
+def read_map(spark: SparkSession, root: str, schema: str, before: int | None = None) -> list[Row]:
+    """The rows of the last map, below ``before`` if given."""
+    version = last_version(spark, root, before)
+    return [] if version is None else spark.read.schema(schema).parquet(f"{root}/map/v={version}").collect()
+
+
 class KeyedLog:
     """Rows by key over all batches; ``merge`` makes of several rows of a key what counts."""
 
@@ -61,14 +82,16 @@ class KeyedLog:
     ):
         self.spark, self.root, self.schema, self.keys, self.merge = spark, root.rstrip("/"), schema, list(keys), merge
         self.buckets, self.most_runs = buckets, most_runs
+        self._maps: dict[int | None, list[Row]] = {}
+        self._own: dict[int, DataFrame] = {}
+        self._added: dict[int, list[Row]] = {}
         self.whole = isinstance(StructType.fromDDL(schema)[self.keys[0]].dataType, IntegralType)
 
     def parts(self, before: int | None = None) -> list[Row]:
-        """The map of the last version: at most buckets x runs rows."""
-        version = latest_version(self.spark, self.root, before)
-        if version is None:
-            return []
-        return read_version(self.spark, self.root, version, MAP_SCHEMA).collect()
+        """The map of the last version, below ``before`` if given: at most buckets x runs rows."""
+        if before is None or before not in self._maps:
+            self._maps[before] = read_map(self.spark, self.root, MAP_SCHEMA, before)
+        return self._maps[before]
 
     def _paths(self, parts: Iterable[Row]) -> list[str]:
         return [f"{self.root}/runs/{p['run']}/{BUCKET}={p['bucket']}" for p in parts]
@@ -95,7 +118,8 @@ class KeyedLog:
     def opened(self, rows: DataFrame, before: int) -> list[str]:
         """The folders in which keys of ``rows`` may lie, in the version before a batch."""
         parts = self.parts(before)
-        touched = {r["bucket"]: r for r in self._stats(rows, None)} if parts else {}
+        stats = self._added.get(before) if rows is self._own.get(before) else None
+        touched = {r["bucket"]: r for r in stats or self._stats(rows, None)} if parts else {}
         return self._paths(p for p in parts if p["bucket"] in touched and self._meet(p, touched[p["bucket"]]))
 
     def matching(self, rows: DataFrame, before: int) -> DataFrame:
@@ -120,7 +144,8 @@ class KeyedLog:
             write_run(merged, self.keys, self.buckets, f"{self.root}/runs/{run}-merged")
             again = read_parts(self.spark, self.schema, [f"{self.root}/runs/{run}-merged"])
             parts = [*[p for p in parts if p["bucket"] not in full], *self._stats(again, f"{run}-merged")]
-        publish(self.spark.createDataFrame([tuple(p) for p in parts], MAP_SCHEMA).coalesce(1), self.root, batch_id)
+        write_map(self.spark, self.root, MAP_SCHEMA, [tuple(p) for p in parts], batch_id)
+        self._own[batch_id], self._added[batch_id] = written, new
         return written
 
     def read(self) -> DataFrame:

@@ -18,35 +18,31 @@ from vigilmart.operators import scd2
 from vigilmart.operators.dedup import latest_per_key
 from vigilmart.operators.silver import CUSTOMER_FIELDS
 from vigilmart.functions.columns import field
-from vigilmart.sources.batches import latest_version, publish, read_batches, read_version, write_batch
-from vigilmart.sources.keyed import BUCKET, bucket_of, read_parts, write_run
+from vigilmart.sources.batches import read_batches, write_batch
+from vigilmart.sources.keyed import BUCKET, bucket_of, last_version, read_map, read_parts, write_map, write_run
 from vigilmart.sources.workspace import settle
 from vigilmart.streaming.bronze import stream_from_bronze
 from vigilmart.streaming.runs import each_batch
 
-BUCKETS = 32
+BUCKETS = 8
 KEY = ["customer_id"]
 # Bucket by bucket the run that holds it; on every row the last surrogate key and load time.
 MAP_SCHEMA = "bucket INT, run BIGINT, n BIGINT, last_key BIGINT, last_load TIMESTAMP_NTZ"
 
 
-def current_map(spark: SparkSession, root: str, version: int | None) -> list[Row]:
-    """One row per bucket of a version."""
-    return [] if version is None else read_version(spark, f"{root}/current", version, MAP_SCHEMA).collect()
-
-
 def _paths(root: str, parts: Sequence[Row]) -> list[str]:
     return [f"{root}/buckets/{p['run']}/{BUCKET}={p['bucket']}" for p in parts]
 
 
-def read_current(spark: SparkSession, root: str, version: int | None) -> DataFrame:
-    return read_parts(spark, scd2.DIM_SCHEMA, _paths(root, current_map(spark, root, version)))
+def current_map(spark: SparkSession, root: str, before: int | None = None) -> list[Row]:
+    """One row per bucket of the last version, below ``before`` if given."""
+    return read_map(spark, f"{root}/current", MAP_SCHEMA, before)
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
     """The whole history as of the last finished batch."""
-    version = latest_version(spark, f"{root}/current")
-    current = read_current(spark, root, version)
+    version = last_version(spark, f"{root}/current")
+    current = read_parts(spark, scd2.DIM_SCHEMA, _paths(root, current_map(spark, root)))
     if version is None:
         return current
     closed = read_batches(spark, f"{root}/closed", scd2.DIM_SCHEMA)
@@ -80,7 +76,7 @@ def history_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        before = current_map(session, root, latest_version(session, f"{root}/current", before=batch_id))
+        before = current_map(session, root, before=batch_id)
         came = settle(deliveries(batch).withColumn(BUCKET, bucket_of(KEY, buckets)), "deliveries")
         found = came.groupBy(BUCKET).agg(F.min("_load_ts").alias("first"), F.max("_load_ts").alias("last")).collect()
         if not found:
@@ -105,7 +101,7 @@ def history_stream(
         parts = [(p["bucket"], p["run"], p["n"]) for p in before if p["bucket"] not in rewritten]
         parts += [(r["bucket"], batch_id, r["n"]) for r in counts]
         state = (last_key, max(r["last"] for r in found))
-        publish(session.createDataFrame([(*p, *state) for p in sorted(parts)], MAP_SCHEMA).coalesce(1), f"{root}/current", batch_id)
+        write_map(session, f"{root}/current", MAP_SCHEMA, [(*p, *state) for p in sorted(parts)], batch_id)
 
     source = stream_from_bronze(spark, raw, "customers", files_per_batch)
     return each_batch(source, f"{root}/current", handle)
