@@ -25,7 +25,7 @@ from vigilmart.operators import (
     star,
 )
 from vigilmart.operators.dedup import latest_per_key
-from vigilmart.plans import views
+from vigilmart.plans import incremental, views
 from vigilmart.plans.build import Mart, build, side_by_side
 from vigilmart.sources import adapters, bronze, files
 from vigilmart.sources.bronze import bronze_load, read_bronze
@@ -168,6 +168,16 @@ def fact_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries that repeat, correct, move and outdate each other, month by month."""
+    m = mart(spark, sf_dir)
+    store = incremental.FactStore(spark, new_folder(spark, "fact"))
+    dims = (m.dim_account, m.dim_transaction_type, m.dim_customer, m.dim_branch, m.dim_date)
+    for version, delivery in enumerate(adapters.transaction_deliveries(m.transactions)):
+        store.refresh(delivery, *dims, version)
+    return store.read()
+
+
 def fact_with_customer_sk(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mart(spark, sf_dir)
     return star.fact_transaction(
@@ -456,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "dim_account": _of_mart(lambda m: star.dim_account(m.accounts)),
     "fact_transaction": fact_transaction,
     "fact_reconciliation": _of_mart(lambda m: star.fact_reconciliation(m.fact, m.transactions)),
+    "fact_incremental": fact_incremental,
     "fact_with_customer_sk": fact_with_customer_sk,
     "fact_point_in_time": fact_point_in_time,
     "ctr_candidates": _of_mart(

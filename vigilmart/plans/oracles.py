@@ -542,6 +542,10 @@ ORACLES: dict[str, str] = {
     "dim_account": _with("dim_account") + "SELECT * FROM dim_account",
     "fact_transaction": _with("fact") + "SELECT * EXCLUDE (customer_sk) FROM fact",
     "fact_with_customer_sk": _with("fact") + "SELECT * FROM fact",
+    "fact_incremental": _with("fact")
+    + """SELECT * EXCLUDE (customer_sk) REPLACE (
+           CASE WHEN txn_id % 50 <> 7 THEN txn_date END AS txn_date, CASE WHEN txn_id % 50 <> 7 THEN date_sk END AS date_sk)
+         FROM fact""",
     "fact_reconciliation": _with("fact")
     + """SELECT (SELECT count(*) FROM fact) AS fact_rows,
            (SELECT count(*) FROM silver_txn) AS silver_rows""",

@@ -8,6 +8,7 @@ next map lists that one alone; older versions keep theirs.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import and_
@@ -46,7 +47,14 @@ def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
 
 def write_map(spark: SparkSession, root: str, schema: str, rows: list[tuple], version: int) -> None:
     """Publish a version: its map is one file, so what is seen of it is whole."""
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{root}/map/v={version}")
+    names = [f.name for f in StructType.fromDDL(schema)]
+    listed = json.dumps([dict(zip(names, row, strict=True)) for row in rows], default=str)
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(listed), f"array<struct<{_typed(schema)}>>")))
+    table.coalesce(1).write.mode("overwrite").parquet(f"{root}/map/v={version}")
+
+
+def _typed(schema: str) -> str:
+    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
 
 
 def last_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
