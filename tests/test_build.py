@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilmart import settings
 from vigilmart.operators import governance, quality, reports, scd2, silver
-from vigilmart.plans.build import build, published
+from vigilmart.plans.build import build, build_next, expired, latest_published, published
 from vigilmart.sources import workspace
 from vigilmart.sources.bronze import bronze_schema, peek
 from vigilmart.sources.files import ENTITIES, entity_path, file_manifest, land_entity, scan_entity
@@ -152,3 +152,47 @@ def test_a_day_filter_on_a_report_reaches_the_fact_scan(spark, conf, tmp_path):
     assert "PartitionFilters: [isnotnull(txn_month" in plan
     assert "GreaterThanOrEqual(txn_date,2024-01-02)" in plan
     assert one_day.count() == 1
+
+
+def test_readers_are_pointed_to_the_last_build_that_passed(spark, tmp_path):
+    base = str(tmp_path / "builds")
+    good = land(spark, str(tmp_path / "good"))
+    bad = land(spark, str(tmp_path / "bad"), extra_account=(30, 99))
+    assert latest_published(spark, base) is None
+    build_next(spark, good, base, as_of=JAN)
+    assert latest_published(spark, base) == f"{base}/build-0"
+    with pytest.raises(quality.QualityGateError):
+        build_next(spark, bad, base, as_of=JAN)
+    assert latest_published(spark, base) == f"{base}/build-0"
+    build_next(spark, good, base, as_of=JAN)
+    assert latest_published(spark, base) == f"{base}/build-2"
+    assert published(spark, latest_published(spark, base))
+    assert expired(spark, base, keep=1) == [f"{base}/build-0", f"{base}/build-1"]
+    assert expired(spark, base, keep=2) == [f"{base}/build-1"]
+
+
+def test_unreadable_rows_go_to_quarantine_and_the_others_load(spark, tmp_path):
+    landing = land(spark, str(tmp_path / "landing"))
+    texts = scan_entity(spark, landing, "transactions").selectExpr(
+        "* EXCEPT (amount)", "CASE txn_id WHEN 2 THEN 'much' ELSE cast(amount AS string) END AS amount"
+    )
+    other = str(tmp_path / "other")
+    for entity in ENTITIES:
+        land_entity(texts if entity == "transactions" else scan_entity(spark, landing, entity), other, entity)
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        build(spark, other, str(tmp_path / "strict"), JAN)
+    m = build(spark, other, str(tmp_path / "lenient"), JAN, on_fail="report", bad_rows="quarantine")
+    assert rows(m.fact, "txn_id") == [(1,), (3,)]
+    held = spark.read.parquet(f"{tmp_path}/lenient/quarantine/transactions")
+    assert held.count() + m.transactions.count() == m.bronze["transactions"].count() == 3
+    assert [(p["field"], p["reason"]) for p in held.first()["problems"]] == [("amount", "not a decimal(12,2)")]
+    assert spark.read.parquet(f"{tmp_path}/lenient/quarantine/customers").count() == 0
+
+
+def test_sifting_keeps_nulls_and_absent_fields(spark):
+    odd = spark.sql(
+        "SELECT try_parse_json(j) AS data FROM VALUES ('{\"a\":1}'), ('{\"a\":null}'), ('{}'), ('{\"a\":\"x\"}'), ('{\"a\":{\"b\":1}}'), ('[1]'), (NULL) AS v(j)"
+    )
+    good, bad = silver.sifted(odd, {"a": "bigint"})
+    assert good.count() == 3
+    assert sorted(str(r["problems"][0]["reason"]) for r in bad.collect()) == ["no object", "no object", "not a bigint", "not a bigint"]

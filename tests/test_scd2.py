@@ -133,3 +133,13 @@ def test_an_empty_source_changes_nothing(spark, operator):
     first = loaded(spark, (1, "VERIFIED", "US", "A"))
     after = operator(first, src(spark), FEB)
     assert rows(after, *scd2.DIM_COLUMNS) == rows(first, *scd2.DIM_COLUMNS)
+
+
+@pytest.mark.parametrize("step", [scd2.apply_snapshot, scd2.close_out, scd2.insert_missing])
+def test_several_source_rows_of_a_customer_are_an_error(spark, step):
+    first = loaded(spark, (1, "VERIFIED", "US", "A"))
+    twice = src(spark, (1, "PENDING", "US", "A"), (7, "PENDING", "US", "B"), (7, "VERIFIED", "US", "B"))
+    with pytest.raises(Exception, match="several source rows of customer 7"):
+        step(first, twice, FEB).collect()
+    nobody = src(spark, (None, "PENDING", "US", "A"), (None, "PENDING", "US", "B"))
+    assert step(first, nobody, FEB).count() >= 1

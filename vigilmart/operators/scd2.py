@@ -46,6 +46,22 @@ def _changed(old: str, new: str, tracked: Sequence[str], null_safe: bool) -> Col
     return reduce(lambda a, b: a | b, tests)
 
 
+def _one_row(count: Column) -> Column:
+    """True, or an error that names the customer with several source rows."""
+    several = F.concat(F.lit("several source rows of customer "), F.col("customer_id").cast("string"))
+    return F.when(F.col("customer_id").isNotNull() & (count > 1), F.raise_error(several).cast("boolean")).otherwise(True)
+
+
+def one_row_per_customer(src: DataFrame) -> DataFrame:
+    """The source; reading it fails where a customer_id has several rows. NULL keys match nothing.
+
+    The rows of a key are counted where they meet, so a join on customer_id after it needs no
+    shuffle of its own.
+    """
+    count = F.count("*").over(Window.partitionBy("customer_id"))
+    return src.withColumn("_sound", _one_row(count)).where("_sound").drop("_sound")
+
+
 def _fresh_versions(src: DataFrame, as_of: Instant) -> DataFrame:
     return src.select(
         "customer_id",
@@ -74,9 +90,10 @@ def close_out(
 ) -> DataFrame:
     """End the current versions whose tracked columns differ from the source.
 
-    Only the current slice meets the source; closed history passes by.
+    Only the current slice meets the source; closed history passes by. Several source rows of
+    one customer are an error.
     """
-    source = src.select("customer_id", *tracked, F.lit(True).alias("seen"))
+    source = one_row_per_customer(src).select("customer_id", *tracked, F.lit(True).alias("seen"))
     joined = dim.where("is_current").alias("old").join(
         source.alias("new"), F.col("old.customer_id") == F.col("new.customer_id"), "left"
     )
@@ -92,7 +109,9 @@ def close_out(
 
 
 def insert_missing(dim: DataFrame, src: DataFrame, as_of: Instant) -> DataFrame:
-    """Add a current version for every source customer that has none."""
+    """Add a current version for every source customer that has none; several source rows of one
+    customer are an error."""
+    src = one_row_per_customer(src)
     has_version = dim.where("is_current").select("customer_id")
     fresh = _fresh_versions(src.join(has_version, "customer_id", "left_anti"), as_of)
     keyed = dense_key(fresh, ["customer_id"], "customer_sk", start=last_key(dim))
@@ -112,7 +131,8 @@ def advance(
     Current versions and source rows meet in one exchange on customer_id. A key yields its
     versions, closed where changed, and the source row when no version stays current.
     The result of that step is written once, so new rows get their keys from a finished
-    table. ``src`` must have one row per customer_id, as ``silver.customer_src`` gives.
+    table. ``src`` must have one row per customer_id, as ``silver.customer_src`` gives; this is
+    checked where the rows of a key meet.
     """
     row = [c for c in DIM_COLUMNS if c != "customer_id"]
     held = current.select("customer_id", F.struct(*row).alias("old"), F.lit(None).alias("new"))
@@ -126,6 +146,8 @@ def advance(
     keyed_row = F.col("customer_id").isNotNull()
     matched = (
         both.withColumn("src", F.max("new").over(per_key))
+        .withColumn("sound", _one_row(F.count("new").over(per_key)))
+        .where("sound")
         .withColumn(
             "closes",
             keyed_row

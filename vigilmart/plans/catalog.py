@@ -114,6 +114,30 @@ def _peek(m: Mart) -> DataFrame:
     return rows.orderBy(*[F.col(c).asc_nulls_last() for c in ("customer_id", "last_modified")]).limit(1)
 
 
+def _sifted_transactions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The transactions as texts, some amounts and days of them unreadable, landed and sifted."""
+    rows = files.scan_entity(spark, built(spark, sf_dir)[0], "transactions")
+    texts = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]).withColumns(
+        {
+            "amount": F.when(F.col("txn_id") % 100 == 9, "n/a").otherwise(F.col("amount")),
+            "txn_date": F.when(F.col("txn_id") % 50 == 9, "2024-02-30").otherwise(F.col("txn_date")),
+        }
+    )
+    landing, raw = new_folder(spark, "landing"), new_folder(spark, "raw")
+    files.land_entity(texts, landing, "transactions")
+    bronze_load(spark, landing, raw, FIRST, entities=("transactions",))
+    return silver.sifted(read_bronze(spark, raw, "transactions"), silver.TRANSACTION_FIELDS)
+
+
+def rejected_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = _sifted_transactions(spark, sf_dir)[1]
+    return rejected.select(field("txn_id", "bigint"), F.array_join("problems.field", ",").alias("fields"))
+
+
+def accepted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.typed(_sifted_transactions(spark, sf_dir)[0], silver.TRANSACTION_FIELDS, strict=False)
+
+
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, m = built(spark, sf_dir)
     return bronze.rows_by_folder(m.bronze, files.file_manifest(spark, landing))
@@ -437,6 +461,8 @@ QUERIES: dict[str, Query] = {
     "file_manifest": file_manifest,
     "silver_accounts": _of_mart(lambda m: silver.accounts(m.bronze["accounts"])),
     "silver_transactions": _of_mart(lambda m: silver.transactions(m.bronze["transactions"])),
+    "rejected_transactions": rejected_transactions,
+    "accepted_transactions": accepted_transactions,
     "silver_watchlist": _of_mart(lambda m: silver.watchlist(m.bronze["watchlist"])),
     "customer_src": _of_mart(lambda m: silver.customer_src(m.bronze["customers"])),
     "customer_lookup": _of_mart(lambda m: silver.customer_lookup(m.dim_customer, LOOKED_UP_NAME)),

@@ -489,6 +489,10 @@ ORACLES: dict[str, str] = {
     "bronze_land_watchlist": _with("watch") + f"SELECT *, {_BRONZE} FROM watch",
     "silver_accounts": _with("silver_accounts") + "SELECT * FROM silver_accounts",
     "silver_transactions": _with("silver_txn") + "SELECT * FROM silver_txn",
+    "rejected_transactions": _with("transactions")
+    + """SELECT txn_id, CASE WHEN txn_id % 100 = 9 THEN 'txn_date,amount' ELSE 'txn_date' END AS fields
+         FROM transactions WHERE txn_id % 50 = 9""",
+    "accepted_transactions": _with("transactions") + "SELECT * FROM transactions WHERE txn_id % 50 <> 9",
     "silver_watchlist": _with("silver_watch") + "SELECT * FROM silver_watch",
     "customer_src": _with("src") + "SELECT * FROM src",
     "customer_lookup": _with("dim_customer")

@@ -57,16 +57,20 @@ def _typed(schema: str) -> str:
     return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
 
 
-def last_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    """The highest published version, below ``before`` if given; folders without a file don't count."""
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """The published versions; folders without a file don't count."""
     try:
         files = spark.read.schema("n BIGINT").option("recursiveFileLookup", "true").parquet(f"{root}/map").inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return []
         raise
-    versions = {int(part[2:]) for f in files for part in f.split("/")[-2:-1] if part.startswith("v=")}
-    return max((v for v in versions if before is None or v < before), default=None)
+    return sorted({int(part[2:]) for f in files for part in f.split("/")[-2:-1] if part.startswith("v=")})
+
+
+def last_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """The highest published version, below ``before`` if given."""
+    return max((v for v in versions(spark, root) if before is None or v < before), default=None)
 
 
 def read_map(spark: SparkSession, root: str, schema: str, before: int | None = None) -> list[Row]:
