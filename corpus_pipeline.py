@@ -59,7 +59,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("bpe", encoded),
 ]
 
-# A trained classifier and the tokenizer are beyond SQL; the stages are tested by brute force.
+# A trained classifier and the tokenizer are beyond SQL; a test compares run() with a plain version.
 ORACLE_SQL = None
 
 
