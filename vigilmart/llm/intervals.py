@@ -361,8 +361,9 @@ def _found(cut: DataFrame, bodies, level: int, length: int, every: bool, most_co
         below = units.select("_unit", "_body").mapInPandas(_cut(_grams(length)[level + 1], length), _CUT)
         below = settle(below.join(units.select("_unit", "copies"), "_unit"), "cut")
         inner = _found(below, lambda wanted: units.select("_unit", "_body").join(wanted, "_unit", "left_semi"), level + 1, length, every, most_contents)
-        inner = inner.join(units.select("_unit", "anchor", "content"), "_unit")
-        found = found.unionByName(inner.select("anchor", "content", F.col("start").cast("int").alias("offset"), F.col("length").cast("int").alias("length"), "repeat"))
+        of_anchor = F.conv(F.hex(F.substring("_unit", 1, 8)), 16, -10).cast("bigint").alias("anchor")
+        of_content = F.substring("_unit", 9, 16).alias("content")
+        found = found.unionByName(inner.select(of_anchor, of_content, F.col("start").cast("int").alias("offset"), F.col("length").cast("int").alias("length"), "repeat"))
     spans = found.groupBy("anchor", "content").agg(F.collect_list(F.struct("offset", "length", "repeat")).alias("_spans"))
     spans = settle(spans.join(known.select("anchor", "content", "rows"), ["anchor", "content"]), "spans")
     placed = texts.carried(rows.select("_unit", "start", "anchor", "content"), spans, ["anchor", "content"], "rows")
