@@ -93,15 +93,15 @@ def runs(data: np.ndarray, ends: np.ndarray, gram: int, length: int) -> tuple[np
     return starts, windows, least[starts].view(np.int64), again
 
 
-def _stretches(batches: Iterable[pd.DataFrame], length: int) -> Iterator[list[tuple[bytes, int, bytes]]]:
-    """Batches of (unit, offset, bytes) of about ``_BATCH`` bytes; longer texts in overlapping stretches."""
+def _stretches(batches: Iterable[pd.DataFrame], length: int) -> Iterator[list[tuple[bytes, int, int, bytes]]]:
+    """Batches of (unit, copies, offset, bytes) of about ``_BATCH`` bytes; longer texts in overlapping stretches."""
     held, size = [], 0
     for batch in batches:
-        for unit, body in zip(batch["_unit"], batch["_body"], strict=True):
+        for unit, copies, body in zip(batch["_unit"], batch["copies"], batch["_body"], strict=True):
             data = body.encode() if isinstance(body, str) else bytes(body)
             for at in range(0, max(len(data) - length + 1, 0), _BATCH):
                 part = data[at : at + _BATCH + length - 1]
-                held.append((bytes(unit), at, part))
+                held.append((bytes(unit), copies, at, part))
                 size += len(part)
                 if size >= _BATCH:
                     yield held
@@ -115,8 +115,8 @@ def _cut(gram: int, length: int):
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for held in _stretches(batches, length):
-            whole = b"".join(part for _, _, part in held)
-            ends = np.cumsum([len(part) for _, _, part in held])
+            whole = b"".join(part for *_, part in held)
+            ends = np.cumsum([len(part) for *_, part in held])
             starts, windows, anchors, again = runs(np.frombuffer(whole, np.uint8), ends, gram, length)
             view = memoryview(whole)
             contents = [
@@ -124,15 +124,15 @@ def _cut(gram: int, length: int):
             ]
             bounds = np.searchsorted(starts, np.append(0, ends))
             rows = []
-            for i, (unit, offset, part) in enumerate(held):
+            for i, (unit, copies, offset, part) in enumerate(held):
                 of = slice(bounds[i], bounds[i + 1])
-                rows.append((unit, starts[of] - (ends[i] - len(part)) + offset, windows[of], anchors[of], contents[of], again[of]))
-            yield pd.DataFrame(rows, columns=["_unit", "starts", "windows", "anchors", "contents", "again"])
+                rows.append((unit, copies, starts[of] - (ends[i] - len(part)) + offset, windows[of], anchors[of], contents[of], again[of]))
+            yield pd.DataFrame(rows, columns=["_unit", "copies", "starts", "windows", "anchors", "contents", "again"])
 
     return run
 
 
-_CUT = "_unit binary, starts array<bigint>, windows array<int>, anchors array<bigint>, contents array<binary>, again array<boolean>"
+_CUT = "_unit binary, copies bigint, starts array<bigint>, windows array<int>, anchors array<bigint>, contents array<binary>, again array<boolean>"
 
 
 class Suffixes:
@@ -301,7 +301,8 @@ def _pieces(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bodies(contents: DataFrame, bodies) -> DataFrame:
-    """``contents`` with their bytes, each from one text that holds it; ``bodies`` gives texts by unit."""
+    """``contents`` with their bytes, each from one text that holds it; ``bodies`` gives texts by unit,
+    those wanted at least."""
     wanted = contents.select(
         F.col("_at._unit").alias("_unit"), F.struct("anchor", "content", "times", F.col("_at.start").alias("start"), "size").alias("_one")
     )
@@ -358,9 +359,8 @@ def _found(cut: DataFrame, bodies, level: int, length: int, every: bool, most_co
     if not last and not many.isEmpty():
         name = F.concat(F.unhex(F.lpad(F.hex("anchor"), 16, "0")), "content")
         units = settle(_bodies(many, bodies).select("anchor", "content", name.alias("_unit"), F.col("times").alias("copies"), "_body"), "crowded")
-        below = units.select("_unit", "_body").mapInPandas(_cut(_grams(length)[level + 1], length), _CUT)
-        below = settle(below.join(units.select("_unit", "copies"), "_unit"), "cut")
-        inner = _found(below, lambda wanted: units.select("_unit", "_body").join(wanted, "_unit", "left_semi"), level + 1, length, every, most_contents)
+        below = settle(units.select("_unit", "copies", "_body").mapInPandas(_cut(_grams(length)[level + 1], length), _CUT), "cut")
+        inner = _found(below, lambda wanted: units.select("_unit", "_body"), level + 1, length, every, most_contents)
         of_anchor = F.conv(F.hex(F.substring("_unit", 1, 8)), 16, -10).cast("bigint").alias("anchor")
         of_content = F.substring("_unit", 9, 16).alias("content")
         found = found.unionByName(inner.select(of_anchor, of_content, F.col("start").cast("int").alias("offset"), F.col("length").cast("int").alias("length"), "repeat"))
@@ -373,12 +373,13 @@ def _found(cut: DataFrame, bodies, level: int, length: int, every: bool, most_co
 
 
 def _repeats(docs: DataFrame, text: str, length: int, every: bool, most_contents: int) -> DataFrame:
-    source = docs.select(texts.digest(F.col(text)).alias("_unit"), F.coalesce(F.col(text), F.lit("")).alias("_body"))
+    body = F.coalesce(F.col(text), F.lit("")).alias("_body")
+    source = docs.select(texts.digest(F.col(text)).alias("_unit"), F.lit(1).cast("bigint").alias("copies"), body)
     cut = source.where(F.octet_length("_body") >= length).mapInPandas(_cut(_grams(length)[0], length), _CUT)
     # Long texts come in stretches; copies of a text are the same stretches and counted as one.
     parts = ["starts", "windows", "anchors", "contents", "again"]
     cut = cut.withColumn("_first", F.element_at("starts", 1)).groupBy("_unit", "_first").agg(
-        F.count("*").alias("copies"), F.first(F.struct(*parts)).alias("_cut")
+        F.sum("copies").alias("copies"), F.first(F.struct(*parts)).alias("_cut")
     )
     cut = settle(cut.select("_unit", "copies", "_cut.*"), "cut")
 
