@@ -168,3 +168,18 @@ def test_audit_of_empty_replicas(spark):
     archive = warc.archived(spark.createDataFrame([(1, "u", "x")], "page_id bigint, url string, html string"))
     assert warc.audit(archive.where("false"), archive.where("false")).count() == 0
     assert [r["status"] for r in warc.audit(archive, archive.where("false")).collect()] == ["missing"]
+
+
+def test_mix_of_rows_without_a_key_or_with_one_for_all_does_not_depend_on_their_order(spark, docs):
+    rows = [(None if i % 3 else 7, f"{chr(97 + i % 26)} {i} words", "s" if i % 2 else None) for i in range(3000)]
+
+    def taken(given, parts):
+        found = mixing.mix(docs(*given).repartition(parts), mixing.word_count(F.col("text")))
+        return sorted(((r["text"], r["copies"]) for r in found.collect()), key=str)
+
+    once = taken(rows, 1)
+    assert once == taken(rows[::-1], 5)
+    assert {copies for _, copies in once} == {1, 2} and len(once) == 3000
+    keyless = mixing.mix(docs(*[(None, t, "s") for _, t, _ in rows]), mixing.word_count(F.col("text")))
+    buckets = keyless._jdf.queryExecution().analyzed().toString()
+    assert "xxhash64" in buckets
