@@ -5,7 +5,11 @@ import random
 import pytest
 from frames import FEB, JAN, dim, rows
 
+from pyspark.sql import functions as F
+
+from vigilmart.functions.columns import match_name
 from vigilmart.operators import screening
+from vigilmart.sources import adapters
 
 
 def watch(spark, *entries):
@@ -94,6 +98,17 @@ def test_names_with_one_long_prefix_do_not_all_meet(spark):
     assert screening.similar_names(names, listed, 2).where("distance = 0").count() == 500
 
 
+@pytest.mark.parametrize("size", ["0.01", "0.1"])
+def test_numbered_names_hardly_meet_unless_near(spark, size):
+    root = f"/root/testdata/sf{size}"
+    names = adapters.customers(spark, root).select(match_name(F.col("full_name")).alias("match_name")).distinct()
+    listed = adapters.watchlist(spark, root).select(match_name(F.col("name")).alias("listed_name")).distinct()
+    pairs = names.count() * listed.count()
+    met = screening.candidate_names(names, listed, 2)
+    near = met.where(F.levenshtein("match_name", "listed_name") <= 2).count()
+    assert met.count() < max(0.02 * pairs, 2 * near)
+
+
 def test_empty_inputs(spark):
     empty, listed = named(spark), watch(spark, ("Ada", "L"))
     for screen in (screening.sanctions_hits, screening.sanctions_fuzzy):

@@ -42,6 +42,7 @@ MID_MONTH = "2024-01-15 00:00:00"
 # The row counts that the scorecard expects, and the roles its samples show.
 EXPECTED_ROWS = {"customers": 500, "accounts": 773, "transactions": 31153}
 LOOKED_UP_NAME = "Customer#000000001"
+STREAM_BUCKETS = 2  # the tables of these queries are a few MB
 SAMPLE_ROLES = ("COMPLIANCE_ANALYST", "AUDITOR")
 COUNTED_ROLES = ("ACCOUNTADMIN", "AUDITOR", "COMPLIANCE_ANALYST")
 
@@ -195,7 +196,7 @@ def fact_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three deliveries that repeat, correct, move and outdate each other, month by month."""
     m = mart(spark, sf_dir)
-    store = incremental.FactStore(spark, new_folder(spark, "fact"))
+    store = incremental.FactStore(spark, new_folder(spark, "fact"), buckets=STREAM_BUCKETS)
     dims = (m.dim_account, m.dim_transaction_type, m.dim_customer, m.dim_branch, m.dim_date)
     for version, delivery in enumerate(adapters.transaction_deliveries(m.transactions)):
         store.refresh(delivery, *dims, version)
@@ -395,7 +396,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in range(3):
         lines.where(F.col("l_suppkey") % 3 == part).write.mode("append").parquet(f"{folder}/arrivals")
         stream = bronze_streams.stream_files(spark, f"{folder}/arrivals", lines.schema)
-        drain(dedup.latest_log(stream, f"{folder}/log", LINE_KEYS, _line_order(), ties=[]))
+        drain(dedup.latest_log(stream, f"{folder}/log", LINE_KEYS, _line_order(), ties=[], buckets=STREAM_BUCKETS))
     return dedup.read_latest(spark, f"{folder}/log", _schema_text(lines), LINE_KEYS, _line_order(), ties=[])
 
 
@@ -415,7 +416,7 @@ def _streamed_deliveries(
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of transactions delivered several times, in several versions, what came first."""
     log, frame = _streamed_deliveries(
-        mart(spark, sf_dir), "stream-first-seen", lambda s, log: dedup.first_seen(s, log, ["txn_id"])
+        mart(spark, sf_dir), "stream-first-seen", lambda s, log: dedup.first_seen(s, log, ["txn_id"], buckets=STREAM_BUCKETS)
     )
     return dedup.read_first_seen(spark, log, _schema_text(frame), ["txn_id"])
 
@@ -430,18 +431,18 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
         stop = f"{folder}/landing-{load[:10]}"
         files.land_entity(delivered, stop, "customers")
         bronze_load(spark, stop, f"{folder}/raw", load, mode="append", entities=("customers",))
-        drain(history.history_stream(spark, f"{folder}/raw", f"{folder}/dim"))
+        drain(history.history_stream(spark, f"{folder}/raw", f"{folder}/dim", buckets=STREAM_BUCKETS))
     return history.read_history(spark, f"{folder}/dim")
 
 
 def _cash_stream(
     name: str,
-    start: Callable[[DataFrame, str], DataStreamWriter],
+    start: Callable[..., DataStreamWriter],
     read: Callable[[SparkSession, str], DataFrame],
     report: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] = cash.ctr_from_sums,
 ) -> Query:
     def query(m: Mart) -> DataFrame:
-        log, _ = _streamed_deliveries(m, name, start)
+        log, _ = _streamed_deliveries(m, name, lambda s, log: start(s, log, buckets=STREAM_BUCKETS))
         return report(read(m.spark, log), m.dim_account, m.dim_customer)
 
     return _of_mart(query)
