@@ -76,20 +76,29 @@ def duplicate_measure(df: DataFrame, key: str, measure: str) -> DataFrame:
     return repeats.agg(F.count_if(F.col("n") > 1).alias(measure))
 
 
-def orphan_measure(child: DataFrame, parent: DataFrame, key: str, measure: str) -> DataFrame:
-    """Child rows whose key has no parent; counted per key first, so hot keys are one row."""
-    per_key = child.groupBy(key).agg(F.count("*").alias("n"))
+def orphan_measure(
+    child: DataFrame, parent: DataFrame, key: str, measure: str, rows: Column | None = None
+) -> DataFrame:
+    """Child rows whose key has no parent; counted per key first, so hot keys are one row.
+
+    ``rows``: how many rows one of ``child`` stands for, if it is counted already.
+    """
+    per_key = child.groupBy(key).agg((F.count("*") if rows is None else F.sum(rows)).alias("n"))
     orphans = per_key.join(parent.select(key), key, "left_anti")
     return orphans.agg(F.sum("n").alias(measure))
 
 
-def transaction_measures(transactions: DataFrame) -> DataFrame:
-    return transactions.agg(
+def transaction_counts() -> list[Column]:
+    return [
         F.count("*").alias("silver_rows"),
         F.count_if(~F.col("txn_type").isin(*settings.TXN_TYPES)).alias("accepted_txn_type"),
         F.count_if(~F.col("direction").isin(*settings.DIRECTIONS)).alias("accepted_direction"),
         F.count_if(F.col("amount") <= 0).alias("amount_positive"),
-    )
+    ]
+
+
+def transaction_measures(transactions: DataFrame) -> DataFrame:
+    return transactions.agg(*transaction_counts())
 
 
 def row_measure(df: DataFrame, measure: str) -> DataFrame:
@@ -174,18 +183,33 @@ def strict_one_current(dim_customer: DataFrame) -> DataFrame:
 
 def scorecard(t: Tables, expected: Mapping[str, int] | None) -> DataFrame:
     """All checks, unordered; those of row counts only where the counts to expect are given."""
-    current = t.dim_customer.where("is_current")
-    counted = CARDINALITY_ENTITIES if expected is not None else ()
-    frames = [
-        *[row_measure(t.bronze[e], f"bronze_{e}_count") for e in counted],
+    fact = [
         row_measure(t.fact, "fact_rows"),
         transaction_measures(t.transactions),
-        customer_measures(t.dim_customer).drop("scd2_one_current_strict"),
-        duplicate_measure(t.dim_account, "account_id", "pk_dim_account_unique"),
         duplicate_measure(t.fact, "txn_id", "pk_fact_txn_unique"),
-        orphan_measure(t.accounts, current, "customer_id", "fk_account_to_customer"),
         orphan_measure(t.fact, t.dim_account, "account_sk", "fk_fact_to_account"),
     ]
+    return scorecard_with(fact, t.bronze, t.accounts, t.dim_customer, t.dim_account, expected)
+
+
+def scorecard_with(
+    fact_measures: list[DataFrame],
+    bronze: Mapping[str, DataFrame],
+    accounts: DataFrame,
+    dim_customer: DataFrame,
+    dim_account: DataFrame,
+    expected: Mapping[str, int] | None,
+) -> DataFrame:
+    """The scorecard where the measures of the transactions and the fact are known already."""
+    current = dim_customer.where("is_current")
+    counted = CARDINALITY_ENTITIES if expected is not None else ()
+    frames = [
+        *[row_measure(bronze[e], f"bronze_{e}_count") for e in counted],
+        *fact_measures,
+        customer_measures(dim_customer).drop("scd2_one_current_strict"),
+        duplicate_measure(dim_account, "account_id", "pk_dim_account_unique"),
+        orphan_measure(accounts, current, "customer_id", "fk_account_to_customer"),
+    ]
     checks = [
         *[_cardinality_check(e, expected[e]) for e in counted],
         _reconciliation_check(),

@@ -7,7 +7,7 @@ run that wrote it; untouched months keep their files, and a version is seen once
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ FACT_SCHEMA = (
     "txn_id BIGINT, account_sk BIGINT, txn_type_sk BIGINT, branch_sk BIGINT, date_sk BIGINT, txn_date DATE, txn_type STRING, "
     "direction STRING, amount DECIMAL(12,2)"
 )
-MAP_SCHEMA = "month STRING, run BIGINT, n BIGINT"
+MAP_SCHEMA = "month STRING, run BIGINT, n BIGINT, in_fact BOOLEAN"
 UNDATED = "undated"
 COLUMNS = [c.split()[0] for c in TXN_SCHEMA.split(", ")]
 
@@ -34,11 +34,17 @@ def _latest(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["txn_id"], "last_modified")
 
 
-def _month(rows: DataFrame) -> DataFrame:
+def by_month(rows: DataFrame) -> DataFrame:
     return rows.withColumn(MONTH, F.coalesce(F.date_format("txn_date", "yyyy-MM"), F.lit(UNDATED)))
 
 
-def _differing(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+def months_written(table: DataFrame) -> set[str]:
+    """The months for which a table partitioned by month has files."""
+    folders = {part for file in table.inputFiles() for part in file.split("/")[-2:-1]}
+    return {f.removeprefix(f"{MONTH}=") for f in folders if f.startswith(f"{MONTH}=")}
+
+
+def differing(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys whose row is new, gone or another one."""
     row = F.struct(*[F.col(c) for c in new.columns if c != key])
     left = old.select(F.col(key).alias("_old_key"), row.alias("_old"), F.lit(True).alias("_held"))
@@ -60,13 +66,21 @@ class FactStore:
         return read_map(self.spark, f"{self.root}/fact", MAP_SCHEMA, before)
 
     def _paths(self, kind: str, parts: Iterable[Row]) -> list[str]:
-        return [f"{self.root}/runs/{p['run']}/{kind}/{MONTH}={p['month']}" for p in parts]
+        """Folders of months; one whose transactions all lack an account or type has no fact."""
+        held = [p for p in parts if kind != "fact" or p["in_fact"] is not False]
+        return [f"{self.root}/runs/{p['run']}/{kind}/{MONTH}={p['month']}" for p in held]
+
+    def _parts(self, months: Collection[str] | None) -> list[Row]:
+        return [p for p in self.months() if months is None or p["month"] in months]
+
+    def read(self, months: Collection[str] | None = None) -> DataFrame:
+        return read_parts(self.spark, FACT_SCHEMA, self._paths("fact", self._parts(months)))
 
-    def read(self) -> DataFrame:
-        return read_parts(self.spark, FACT_SCHEMA, self._paths("fact", self.months()))
+    def transactions(self, months: Collection[str] | None = None) -> DataFrame:
+        return read_parts(self.spark, TXN_SCHEMA, self._paths("txns", self._parts(months)))
 
     def _write(self, rows: DataFrame, schema: str, path: str) -> DataFrame:
-        _month(rows).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+        by_month(rows).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)
         return read_parts(self.spark, schema, [path])
 
     def _hung(self, table: DataFrame, name: str, key: str, version: int, parts: list[Row]) -> DataFrame:
@@ -78,11 +92,11 @@ class FactStore:
         if held is None or not parts:
             return months
         before = self.spark.read.schema(table.schema).parquet(f"{self.root}/{name}/{held}")
-        changed = settle(_differing(before, now, key).withColumnRenamed(key, "_key"), "changed")
+        changed = settle(differing(before, now, key).withColumnRenamed(key, "_key"), "changed")
         if changed.isEmpty():
             return months
         rows = read_parts(self.spark, TXN_SCHEMA, self._paths("txns", parts))
-        return _month(rows.join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")).select(MONTH)
+        return by_month(rows.join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")).select(MONTH)
 
     def refresh(
         self,
@@ -104,11 +118,11 @@ class FactStore:
         came = settle(_latest(delivery.select(*COLUMNS)), "came")
         earlier = settle(self.log.matching(came, before=version), "earlier")
         now = settle(_latest(came.unionByName(earlier)), "now")
-        changed = settle(_differing(earlier, now, "txn_id"), "changed")
+        changed = settle(differing(earlier, now, "txn_id"), "changed")
         self.log.add(came, version)
         same = F.col("txn_id").eqNullSafe(F.col("_id"))
         ids = changed.select(F.col("txn_id").alias("_id"))
-        moved = _month(earlier.unionByName(now).join(ids, same, "left_semi")).select(MONTH)
+        moved = by_month(earlier.unionByName(now).join(ids, same, "left_semi")).select(MONTH)
         chain = (
             dim_account.select("account_id", "account_sk", "customer_id")
             .join(star.current_customers(dim_customer, "branch_id"), "customer_id", "left")
@@ -122,9 +136,9 @@ class FactStore:
         kept = kept.join(ids, same, "left_anti").unionByName(now.join(ids, same, "left_semi"))
         rows = self._write(kept, TXN_SCHEMA, f"{self.root}/runs/{version}/txns")
         fact = star.fact_transaction(rows, dim_account, dim_transaction_type, dim_customer, dim_branch, dim_date)
-        self._write(fact, FACT_SCHEMA, f"{self.root}/runs/{version}/fact")
-        counts = _month(rows).groupBy(MONTH).agg(F.count("*").alias("n")).collect()
-        new = [(p["month"], p["run"], p["n"]) for p in parts if p["month"] not in touched]
-        new += [(r[MONTH], version, r["n"]) for r in counts]
+        in_fact = months_written(self._write(fact, FACT_SCHEMA, f"{self.root}/runs/{version}/fact"))
+        counts = by_month(rows).groupBy(MONTH).agg(F.count("*").alias("n")).collect()
+        new = [tuple(p) for p in parts if p["month"] not in touched]
+        new += [(r[MONTH], version, r["n"], r[MONTH] in in_fact) for r in counts]
         write_map(self.spark, f"{self.root}/fact", MAP_SCHEMA, sorted(new), version)
         return touched

@@ -411,6 +411,36 @@ _DIRTY_BODY = re.sub(
 )
 
 
+# The fact after deliveries that leave some transactions without a day.
+_UNDATED = """, undated AS (SELECT * REPLACE (
+           CASE WHEN txn_id % 50 <> 7 THEN txn_date END AS txn_date, CASE WHEN txn_id % 50 <> 7 THEN date_sk END AS date_sk)
+         FROM fact) """
+
+
+def _summary(fact: str) -> str:
+    ctr = _CTR_BODY.replace("FROM fact", f"FROM {fact}")
+    return f"""SELECT CAST(sum(amount) FILTER (WHERE txn_type='CASH' AND direction='CREDIT')
+             AS DECIMAL(38,2)) AS total_cash_credits,
+           count(*) AS txn_count,
+           round(CAST(sum(amount) AS DOUBLE) / count(amount), 6) AS avg_txn_value,
+           round(CAST(100 * sum(amount) FILTER (WHERE txn_type='CASH') AS DOUBLE)
+             / CAST(sum(amount) AS DOUBLE), 6) AS cash_pct_of_volume,
+           (SELECT count(DISTINCT customer_id) FROM ({ctr})) AS ctr_customers
+         FROM {fact}"""
+
+
+def _branches(fact: str) -> str:
+    return f"""SELECT b.branch_name, count(*) AS txn_count,
+           CAST(sum(f.amount) AS DECIMAL(38,2)) AS total_amount
+         FROM {fact} f LEFT JOIN dim_branch b ON b.branch_sk = f.branch_sk GROUP BY 1"""
+
+
+def _trend(fact: str) -> str:
+    return f"""SELECT txn_date, count(*) AS txn_count,
+           CAST(sum(amount) AS DECIMAL(38,2)) AS total_amount
+         FROM {fact} GROUP BY 1"""
+
+
 def _gate(tables: str, body: str) -> str:
     return (
         _with("fact", "accounts", "customers")
@@ -546,10 +576,7 @@ ORACLES: dict[str, str] = {
     "dim_account": _with("dim_account") + "SELECT * FROM dim_account",
     "fact_transaction": _with("fact") + "SELECT * EXCLUDE (customer_sk) FROM fact",
     "fact_with_customer_sk": _with("fact") + "SELECT * FROM fact",
-    "fact_incremental": _with("fact")
-    + """SELECT * EXCLUDE (customer_sk) REPLACE (
-           CASE WHEN txn_id % 50 <> 7 THEN txn_date END AS txn_date, CASE WHEN txn_id % 50 <> 7 THEN date_sk END AS date_sk)
-         FROM fact""",
+    "fact_incremental": _with("fact") + _UNDATED + "SELECT * EXCLUDE (customer_sk) FROM undated",
     "fact_reconciliation": _with("fact")
     + """SELECT (SELECT count(*) FROM fact) AS fact_rows,
            (SELECT count(*) FROM silver_txn) AS silver_rows""",
@@ -665,24 +692,17 @@ ORACLES: dict[str, str] = {
          SELECT CASE WHEN count(*) FILTER (WHERE status='FAIL') = 0 THEN 'ALL CHECKS PASSED'
            ELSE count(*) FILTER (WHERE status='FAIL') || ' CHECK(S) FAILED' END AS overall_result
          FROM checks""",
-    "kpi_summary": _with("fact")
-    + f""", ctr AS ({_CTR_BODY})
-         SELECT CAST(sum(amount) FILTER (WHERE txn_type='CASH' AND direction='CREDIT')
-             AS DECIMAL(38,2)) AS total_cash_credits,
-           count(*) AS txn_count,
-           round(CAST(sum(amount) AS DOUBLE) / count(amount), 6) AS avg_txn_value,
-           round(CAST(100 * sum(amount) FILTER (WHERE txn_type='CASH') AS DOUBLE)
-             / CAST(sum(amount) AS DOUBLE), 6) AS cash_pct_of_volume,
-           (SELECT count(DISTINCT customer_id) FROM ctr) AS ctr_customers
-         FROM fact""",
-    "kpi_branch_breakdown": _with("fact")
-    + """SELECT b.branch_name, count(*) AS txn_count,
-           CAST(sum(f.amount) AS DECIMAL(38,2)) AS total_amount
-         FROM fact f LEFT JOIN dim_branch b ON b.branch_sk = f.branch_sk GROUP BY 1""",
-    "kpi_volume_trend": _with("fact")
-    + """SELECT txn_date, count(*) AS txn_count,
-           CAST(sum(amount) AS DECIMAL(38,2)) AS total_amount
-         FROM fact GROUP BY 1""",
+    "kpi_summary": _with("fact") + _summary("fact"),
+    "kpi_branch_breakdown": _with("fact") + _branches("fact"),
+    "kpi_volume_trend": _with("fact") + _trend("fact"),
+    "kpi_summary_rollup": _with("fact") + _UNDATED + _summary("undated"),
+    "kpi_summary_months": _with("fact")
+    + _UNDATED
+    + """, summed AS (SELECT * FROM undated WHERE txn_date >= DATE '2024-01-01' AND txn_date < DATE '2024-04-01') """
+    + _summary("summed"),
+    "kpi_branch_breakdown_rollup": _with("fact") + _UNDATED + _branches("undated"),
+    "kpi_volume_trend_rollup": _with("fact") + _UNDATED + _trend("undated"),
+    "dq_scorecard_rollup": _CARD,
     "stream_bronze": _with("transactions") + "SELECT * FROM transactions",
     "stream_dedup": _LATEST_LINES,
     "stream_first_seen": _delivered(
