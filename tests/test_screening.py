@@ -131,6 +131,18 @@ def test_names_are_broadcast_only_by_their_written_size(spark, conf):
     assert rows(large, "match_name", "listed_name", "distance") == found
 
 
+def test_many_variants_are_not_sent_to_all_tasks(spark):
+    """The file of 400 names is small, their 60,000 variants are not."""
+    names = spark.range(500).selectExpr("'CUSTOMER#' || lpad(cast(id AS string), 9, '0') AS match_name")
+    listed = names.limit(400).withColumnRenamed("match_name", "listed_name")
+    met = screening.candidate_names(names, listed, 2)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [key#" not in plan
+    assert "SortMergeJoin [key#" in plan
+    near = names.crossJoin(listed).where(F.levenshtein("match_name", "listed_name") <= 2)
+    assert near.exceptAll(met).count() == 0
+
+
 def test_a_name_shared_by_most_customers_is_compared_once(spark):
     shared = spark.range(20_000).selectExpr(
         "id AS customer_sk",

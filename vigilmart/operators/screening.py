@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilmart.functions.columns import match_name
-from vigilmart.sources.workspace import settle
+from vigilmart.sources.workspace import by_rows, settle
 
 GRAM = 3
 COMPARED = 8  # keys whose join costs about as much as the comparison of one pair
@@ -86,7 +86,7 @@ def _rarest(names: DataFrame, column: str, frequency: DataFrame, n: int) -> Data
     what is among the rarest and what is not.
     """
     pieces = names.select(column, F.inline(_grams(F.col(column))))
-    weighed = pieces.join(frequency, "gram", "left").select(
+    weighed = pieces.join(by_rows(frequency), "gram", "left").select(
         column, F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("gram"), F.col("place")).alias("_g")
     )
     every = weighed.groupBy(column).agg(F.array_sort(F.collect_list("_g")).alias("_all"))
@@ -123,34 +123,40 @@ def candidate_names(names: DataFrame, listed: DataFrame, max_distance: int) -> D
 
     The pieces of the names are counted by place, which tells how many names a listed one would
     meet on its pieces. It goes to the variants where these cost less, or where it is too short
-    to have enough pieces. What is read twice is written; adaptive execution picks the joins.
+    to have enough pieces. What is read twice is written. Pieces, variants and names are sent to
+    all tasks only where they are few, as their files are far smaller than they are.
     """
     rare = GRAM * max_distance + 1
     enough = GRAM + GRAM * max_distance  # length from which a name has that many pieces
-    # Short names become many keys each, so they are dealt out although they are small.
+    # Short names become many keys each, so they are dealt out although they are small; by a hash
+    # of their own, as Spark leaves out a second shuffle by the column of a first.
     parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = names.where("match_name is not null").repartition(parts, "match_name")
-    listed = listed.where("listed_name is not null").repartition(parts, "listed_name")
+    names = names.where("match_name is not null").repartition(parts, F.xxhash64("match_name"))
+    listed = settle(listed.where("listed_name is not null"), "listed")
+    n_listed = listed.count()
     long = listed.where(F.length("listed_name") >= enough + max_distance)
     pieces = long.select(F.explode(_grams(F.col("listed_name"))["gram"]).alias("gram"))
-    frequency = pieces.groupBy("gram").agg(F.count("*").alias("_n"))
+    frequency = settle(pieces.groupBy("gram").agg(F.count("*").alias("_n")), "gram-counts")
     asked = settle(_rarest(names.where(F.length("match_name") >= enough), "match_name", frequency, rare), "name-pieces")
     reach = F.explode(F.sequence(F.col("place") - max_distance, F.col("place") + max_distance))
-    held = _rarest(long, "listed_name", frequency, rare).withColumn("place", reach)
-    met = asked.groupBy("gram", "place").agg(F.count("*").alias("_met"))
+    held = settle(_rarest(long, "listed_name", frequency, rare).withColumn("place", reach), "list-pieces")
+    n_held = held.count()
+    met = by_rows(asked.groupBy("gram", "place").agg(F.count("*").alias("_met")), asked.count())
     cost = held.join(met, ["gram", "place"], "left").groupBy("listed_name").agg(F.coalesce(F.sum("_met"), F.lit(0)).alias("_cost"))
     cheap = F.col("_cost") * COMPARED <= _n_variants(F.length("listed_name"), max_distance)
-    routes = listed.join(cost, "listed_name", "left").select("listed_name", F.coalesce(cheap, F.lit(False)).alias("_by_pieces"))
+    routes = listed.join(by_rows(cost, n_listed), "listed_name", "left").select("listed_name", F.coalesce(cheap, F.lit(False)).alias("_by_pieces"))
     routes = settle(routes, "list-routes")
 
-    held = held.join(routes.where("_by_pieces"), "listed_name", "left_semi")
-    on_pieces = asked.join(held, ["gram", "place"]).select("match_name", "listed_name")
+    held = held.join(by_rows(routes.where("_by_pieces"), n_listed), "listed_name", "left_semi")
+    on_pieces = asked.join(by_rows(held, n_held), ["gram", "place"]).select("match_name", "listed_name")
 
-    by_variants = routes.where("not _by_pieces").select("listed_name")
+    by_variants = routes.where("not _by_pieces").select("listed_name").repartition(parts, "listed_name")
     length = F.length("listed_name")
+    n_left = by_variants.agg(F.sum(_n_variants(length, max_distance))).first()[0] or 0
     lengths = by_variants.select(F.explode(F.sequence(length - max_distance, length + max_distance)).alias("_length")).distinct()
     near = names.join(lengths, F.length("match_name") == F.col("_length"), "left_semi")
-    on_variants = _by_variants(near, "match_name", max_distance).join(_by_variants(by_variants, "listed_name", max_distance), "key")
+    left = by_rows(_by_variants(by_variants, "listed_name", max_distance), n_left)
+    on_variants = _by_variants(near, "match_name", max_distance).join(left, "key")
     on_variants = on_variants.where(_may_be_near(F.col("match_name_gaps"), F.col("listed_name_gaps"), max_distance))
     return on_pieces.unionByName(on_variants.select("match_name", "listed_name")).distinct()
 
@@ -179,12 +185,12 @@ def sanctions_fuzzy(
         max_distance,
     )
     found = (
-        pairs.join(listed, "listed_name")
+        pairs.join(by_rows(listed, watchlist.count()), "listed_name")
         .groupBy("match_name", "list_source")
         .agg(F.min("distance").alias("distance"))
     )
     return (
-        customers.join(found, "match_name")
+        customers.join(by_rows(settle(found, "found")), "match_name")
         .groupBy("customer_id", "full_name", "list_source")
         .agg(F.min("distance").alias("distance"))
     )
