@@ -231,6 +231,15 @@ def test_a_keyed_log_opens_only_what_a_batch_touches(spark, folder):
     assert files and all("/runs/2/_bucket=" in f for f in files)
 
 
+def test_many_keys_are_not_sent_to_all_tasks(spark, folder):
+    """60,000 ids in order are a small file, but fill the driver as a table of a join."""
+    log = keyed_log(spark, folder, buckets=2)
+    came = log.add(spark.range(60_000).selectExpr("id AS k", "'a' AS v", "1L AS t"), 0)
+    found = log.matching(came, before=1)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 60_000
+
+
 def test_compaction_changes_no_result_and_bounds_the_runs(spark, folder):
     pick = random.Random(1)
     log, plain = keyed_log(spark, folder, buckets=4, most_runs=2), {}

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilmart import settings
+from vigilmart.sources.workspace import by_rows
 
 
 class QualityGateError(RuntimeError):
@@ -84,7 +85,7 @@ def orphan_measure(
     ``rows``: how many rows one of ``child`` stands for, if it is counted already.
     """
     per_key = child.groupBy(key).agg((F.count("*") if rows is None else F.sum(rows)).alias("n"))
-    orphans = per_key.join(parent.select(key), key, "left_anti")
+    orphans = per_key.join(by_rows(parent.select(key), parent.count()), key, "left_anti")
     return orphans.agg(F.sum("n").alias(measure))
 
 

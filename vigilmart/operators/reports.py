@@ -11,6 +11,7 @@ from vigilmart import settings
 from vigilmart.functions.columns import cash_credit, money
 from vigilmart.operators.star import current_customers
 from vigilmart.operators.keys import dense_key
+from vigilmart.sources.workspace import by_rows
 
 
 def daily_sums(rows: DataFrame, account_key: str) -> DataFrame:
@@ -32,9 +33,11 @@ def roll_up_to_customer(
     They are summed per customer and day before they meet the customers, so a customer with
     very many accounts brings one row per day to the join.
     """
-    owned = daily.join(dim_account.select(account_key, "customer_id"), account_key)
+    owners = by_rows(dim_account.select(account_key, "customer_id"), dim_account.count())
+    owned = daily.join(owners, account_key)
     per_customer = _summed(owned, "customer_id", "txn_date")
-    named = per_customer.join(current_customers(dim_customer, "full_name"), "customer_id")
+    names = by_rows(current_customers(dim_customer, "full_name"), dim_customer.count())
+    named = per_customer.join(names, "customer_id")
     return _summed(named, "customer_id", "full_name", "txn_date")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigilmart import settings
 from vigilmart.functions.columns import date_key, txn_type_label, weekday_from_sunday
 from vigilmart.operators.keys import dense_key
+from vigilmart.sources.workspace import by_rows
 
 
 EARLIEST = "0001-01-01 00:00:00"
@@ -120,17 +121,18 @@ def fact_transaction(
 
     Account, current customer and branch are joined with each other first: the facts, by
     far the largest side, then move at most once, on account_id. No side is forced into a
-    broadcast; dimensions come as written tables, so Spark broadcasts those whose file size
-    is under its limit and sort-merges the others, splitting a hot account's partition.
+    broadcast; dimensions come as written tables, so Spark broadcasts those of few rows and
+    sort-merges the others, splitting a hot account's partition.
     """
     extra = ["customer_sk"] if with_customer_sk else []
     chain = (
         dim_account.select("account_id", "account_sk", "customer_id")
-        .join(current_customers(dim_customer, "branch_id", *extra), "customer_id", "left")
+        .join(by_rows(current_customers(dim_customer, "branch_id", *extra), dim_customer.count()), "customer_id", "left")
         .join(dim_branch.select("branch_id", "branch_sk"), "branch_id", "left")
         .select("account_id", "account_sk", "branch_sk", *extra)
     )
     same_account = F.col("t.account_id") == F.col("a.account_id")
+    chain = by_rows(chain, dim_account.count())
     return _star(transactions, chain, dim_transaction_type, dim_date, same_account, *extra)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vigilmart.operators import star
 from vigilmart.operators.dedup import latest_per_key
 from vigilmart.sources.keyed import KeyedLog, last_version, read_map, read_parts, write_map
-from vigilmart.sources.workspace import MONTH, settle, write_table
+from vigilmart.sources.workspace import MONTH, by_rows, settle, write_table
 
 TXN_SCHEMA = (
     "txn_id BIGINT, account_id BIGINT, txn_date DATE, amount DECIMAL(12,2), txn_type STRING, direction STRING, "
@@ -96,7 +96,7 @@ class FactStore:
         if changed.isEmpty():
             return months
         rows = read_parts(self.spark, TXN_SCHEMA, self._paths("txns", parts))
-        return by_month(rows.join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")).select(MONTH)
+        return by_month(rows.join(by_rows(changed), F.col(key).eqNullSafe(F.col("_key")), "left_semi")).select(MONTH)
 
     def refresh(
         self,
@@ -121,11 +121,11 @@ class FactStore:
         changed = settle(differing(earlier, now, "txn_id"), "changed")
         self.log.add(came, version)
         same = F.col("txn_id").eqNullSafe(F.col("_id"))
-        ids = changed.select(F.col("txn_id").alias("_id"))
+        ids = by_rows(changed.select(F.col("txn_id").alias("_id")))
         moved = by_month(earlier.unionByName(now).join(ids, same, "left_semi")).select(MONTH)
         chain = (
             dim_account.select("account_id", "account_sk", "customer_id")
-            .join(star.current_customers(dim_customer, "branch_id"), "customer_id", "left")
+            .join(by_rows(star.current_customers(dim_customer, "branch_id"), dim_customer.count()), "customer_id", "left")
             .join(dim_branch.select("branch_id", "branch_sk"), "branch_id", "left")
             .select("account_id", "account_sk", "branch_sk")
         )

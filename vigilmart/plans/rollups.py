@@ -21,7 +21,7 @@ from vigilmart.operators import kpis, quality, reports
 from vigilmart.operators.star import current_customers
 from vigilmart.plans.incremental import UNDATED, FactStore, by_month, differing, months_written
 from vigilmart.sources.keyed import last_version, read_map, read_parts, write_map
-from vigilmart.sources.workspace import MONTH, settle, write_table
+from vigilmart.sources.workspace import MONTH, by_rows, settle, write_table
 
 SCHEMAS = {
     "days": "txn_date DATE, branch_sk BIGINT, n BIGINT, amounts BIGINT, total DECIMAL(38,2), cash DECIMAL(38,2), "
@@ -110,8 +110,9 @@ class Rollups:
         meets one of the new files.
         """
         counted = lambda rows: rows.groupBy("txn_id", "in_month").agg(F.count("*").alias("n"))
-        came = counted(self._key_rows(new))
-        asked = came.select(F.col("txn_id").alias("_id")).distinct()
+        keys = self._key_rows(new)
+        came = counted(keys)
+        asked = by_rows(came.select(F.col("txn_id").alias("_id")).distinct(), keys.count())
         there = self._key_rows(meeting(kept, new)).join(asked, F.col("txn_id").eqNullSafe(F.col("_id")), "left_semi")
         rows = came.unionByName(counted(there))
         if before is not None:
@@ -134,7 +135,7 @@ class Rollups:
         moved = settle(differing(before, now, "account_sk").withColumnRenamed("account_sk", "_key"), "moved")
         if moved.isEmpty():
             return set()
-        cash = self._part("cash", kept).join(moved, F.col("account_sk").eqNullSafe(F.col("_key")), "left_semi")
+        cash = self._part("cash", kept).join(by_rows(moved), F.col("account_sk").eqNullSafe(F.col("_key")), "left_semi")
         return {r[0] for r in by_month(cash).select(MONTH).distinct().collect()}
 
     def refresh(self, dim_account: DataFrame, dim_customer: DataFrame, version: int) -> list[str]:
@@ -161,7 +162,7 @@ class Rollups:
         written = {"days": months_written(days), "accounts": months_written(accounts), "cash": months_written(cash)}
 
         owned = dim_account.select("account_sk", "customer_id").join(
-            current_customers(dim_customer).distinct(), "customer_id", "left_semi"
+            by_rows(current_customers(dim_customer).distinct(), dim_customer.count()), "customer_id", "left_semi"
         )
         moved = self._moved_accounts(owned.select("account_sk", "customer_id"), version, kept)
         again = self._part("cash", [p for p in kept if p["month"] in moved]).unionByName(cash)

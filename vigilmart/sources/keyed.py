@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructType
 
+from vigilmart.sources.workspace import by_rows
+
 BUCKETS = 8  # for small tables; take so many that a bucket is some 100 MB
 MOST_RUNS = 8
 BUCKET = "_bucket"
@@ -129,15 +131,25 @@ class KeyedLog:
 
     def opened(self, rows: DataFrame, before: int) -> list[str]:
         """The folders in which keys of ``rows`` may lie, in the version before a batch."""
-        parts = self.parts(before)
+        return self._opened(self._touched(rows, before), before)
+
+    def _touched(self, rows: DataFrame, before: int) -> dict[int, Row]:
+        """How many rows each bucket gets and the range of their keys; empty if nothing is held yet."""
         stats = self._added.get(before) if rows is self._own.get(before) else None
-        touched = {r["bucket"]: r for r in stats or self._stats(rows, None)} if parts else {}
-        return self._paths(p for p in parts if p["bucket"] in touched and self._meet(p, touched[p["bucket"]]))
+        return {r["bucket"]: r for r in stats or self._stats(rows, None)} if self.parts(before) else {}
+
+    def _opened(self, touched: dict[int, Row], before: int) -> list[str]:
+        return self._paths(p for p in self.parts(before) if p["bucket"] in touched and self._meet(p, touched[p["bucket"]]))
 
     def matching(self, rows: DataFrame, before: int) -> DataFrame:
         """What earlier batches hold of the keys of ``rows``, merged."""
-        earlier = read_parts(self.spark, self.schema, self.opened(rows, before))
+        touched = self._touched(rows, before)
+        opened = self._opened(touched, before)
+        earlier = read_parts(self.spark, self.schema, opened)
+        if not opened:
+            return self.merge(earlier)
         asked = rows.select(*[F.col(k).alias(f"_{k}") for k in self.keys]).distinct()
+        asked = by_rows(asked, sum(r["n"] for r in touched.values()))
         return self.merge(earlier.join(asked, same_keys(self.keys, [f"_{k}" for k in self.keys]), "left_semi"))
 
     def add(self, rows: DataFrame, batch_id: int) -> DataFrame:
