@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
 import random
+import re
+import threading
 
 import numpy as np
 import pytest
@@ -192,3 +196,89 @@ def test_unsound_vectors_link_with_nothing(spark):
             assert (links, component, kept) == (0, key, True)
     assert cells.near_duplicates(frame.where("false")).count() == 0
     assert cells.near_duplicates(frame.where("vec_id = 4")).count() == 1
+
+
+def linked_by_brute_force(vectors, labels):
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.93) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    """Labels of over 384 vectors are cut into cells, cells into blocks of 96."""
+    monkeypatch.setattr(cells, "TILE", 96)
+    monkeypatch.setattr(cells, "BLOCK_VALUES", 64)
+    monkeypatch.setattr(cells, "VECTORS_PER_CELL", 150)
+    monkeypatch.setattr(cells, "CHUNK_BYTES", 8192)
+
+
+@pytest.mark.parametrize("element", ["float", "double"])
+def test_vectors_equal_brute_force_in_cells_blocks_and_rounds(spark, small_blocks, element):
+    chance = np.random.default_rng(8)
+    left, right = close_pairs(chance, 0.935, 200)
+    hub = chance.normal(size=64)
+    dense = hub / np.linalg.norm(hub) + 0.02 * chance.normal(size=(400, 64))
+    loose = hub / np.linalg.norm(hub) + 0.034 * chance.normal(size=(150, 64))
+    vectors = np.concatenate([left, right, dense, loose, np.repeat(left[:1], 20, 0), chance.normal(size=(1800, 64))])
+    vectors = vectors.astype(np.float32).astype(np.float64)
+    labels = np.where(np.arange(len(vectors)) % 20 < 19, 1, 2 + np.arange(len(vectors)) % 3)
+    frame = spark.createDataFrame(
+        [(int(i), [float(x) for x in v], int(k)) for i, (v, k) in enumerate(zip(vectors, labels, strict=True))],
+        f"vec_id bigint, embedding array<{element}>, label int",
+    )
+    linked = linked_by_brute_force(vectors, labels)
+    found = {r["vec_id"]: r for r in cells.near_duplicates(frame.repartition(5)).collect()}
+    counts = np.array([found[i]["n_links"] for i in range(len(vectors))])
+    assert (counts <= linked.sum(1)).all()  # no pair counts twice where several cells see it
+    assert counts.sum() >= 0.999 * linked.sum()
+    truth = groups(range(len(vectors)), [(int(a), int(b)) for a, b in zip(*np.nonzero(linked), strict=True) if a < b])
+    assert all(truth[found[i]["component_id"]] == truth[i] for i in range(len(vectors)))
+    assert sum(found[i]["component_id"] != truth[i] for i in range(len(vectors))) <= 2
+
+
+def test_vectors_at_the_limit_are_told_in_double_precision(spark):
+    turn = [np.arccos(0.93) + x for x in (-1e-9, 1e-9)]
+    rows = [(0, [1.0, 0.0], 1), (1, [float(np.cos(turn[0])), float(np.sin(turn[0]))], 1), (2, [float(np.cos(turn[1])), -float(np.sin(turn[1]))], 1)]
+    found = cells.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()
+    assert {r["vec_id"]: r["n_links"] for r in found} == {0: 1, 1: 1, 2: 0}
+
+
+def test_vectors_take_little_disk(spark, monkeypatch, tmp_path):
+    """At no time do shuffles and intermediate tables take four times the input."""
+    monkeypatch.setattr(cells, "TILE", 256, raising=False)
+    monkeypatch.setattr(cells, "BLOCK_VALUES", 64, raising=False)
+    monkeypatch.setattr(cells, "VECTORS_PER_CELL", 200)
+    vectors = np.random.default_rng(6).normal(size=(12_000, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>, label int")
+    frame.repartition(4).write.parquet(path := f"{tmp_path}/embeddings.parquet")
+    places = [str(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    places.append(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+
+    def used(tops, kind):
+        total = 0
+        for top in tops:
+            for at, _, names in os.walk(top):
+                for name in names:
+                    if re.search(kind, name):
+                        with contextlib.suppress(OSError):  # a file may go meanwhile
+                            total += os.lstat(f"{at}/{name}").st_size
+        return total
+
+    kind, over, most = r"^shuffle_.*data$|^part-", threading.Event(), 0
+    before = used(places, kind)
+
+    def watch():
+        nonlocal most
+        while not over.wait(0.02):
+            most = max(most, used(places, kind) - before)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert cells.near_duplicates(spark.read.parquet(path)).where("n_links = 0").count() == len(vectors)
+    finally:
+        over.set()
+        watcher.join()
+    assert 0 < most < 4 * used([path], r"parquet$")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilmart.sources.workspace import settle
+from vigilmart.sources.workspace import settle_tidily
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -22,7 +22,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     written to the shared folder. NULL ends and loops are left out.
     """
     edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-    edges = settle(edges.where("a is not null and b is not null and a <> b").distinct(), "links")
+    edges = settle_tidily(edges.where("a is not null and b is not null and a <> b").distinct(), "links")
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -41,7 +41,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = settle(small, "links")
+        edges = settle_tidily(small, "links")
         now = _state(edges)
         if now == state:
             break
